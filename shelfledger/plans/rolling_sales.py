@@ -51,6 +51,7 @@ def stock_day_sales(tables: Mapping[str, DataFrame], as_of: date | str | Column
     out = lookup(out, banners, [("branch", "branch_code")])
     one = F.lit(1)
     copies = F.coalesce("n_item", one) * F.coalesce("n_branch", one)
+    kind = sold.schema["sold_qty"].dataType
     return out.select(
         F.date_sub("extract_day", 1).alias("BizDate"),
         F.col("branch").alias("Location"),
@@ -58,7 +59,7 @@ def stock_day_sales(tables: Mapping[str, DataFrame], as_of: date | str | Column
         F.col("itemcode").alias("Itemcode"),
         "Description",
         "Banner",
-        F.coalesce(F.col("sold_qty") * copies, F.lit(0)).alias("Qty"),
+        F.coalesce((F.col("sold_qty") * copies).cast(kind), F.lit(0)).alias("Qty"),
         F.col("avgdailysales").alias("AvgDailySales"),
     )
 
