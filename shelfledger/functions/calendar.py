@@ -6,24 +6,41 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+# English short names.
+MONTHS = ["Jan", "Feb", "Mar", "Apr", "May", "Jun", "Jul", "Aug", "Sep", "Oct", "Nov", "Dec"]
+WEEKDAYS = ["Mon", "Tue", "Wed", "Thu", "Fri", "Sat", "Sun"]
+
+
+def _pick(labels: list[str], place: Column) -> Column:
+    """The label at a 1-based place. A constant array is many times cheaper per row than
+    ``date_format``."""
+    return F.element_at(F.array(*[F.lit(x) for x in labels]), place)
+
+
+def _numbered(names: list[str], sep: str) -> list[str]:
+    return [f"{i:02d}{sep}{name}" for i, name in enumerate(names, 1)]
+
+
 def calendar_year(d: Column) -> Column:
     """``Yr1998``"""
-    return F.date_format(d, "'Yr'yyyy")
+    return F.concat(F.lit("Yr"), F.lpad(F.year(d).cast("string"), 4, "0"))
 
 
 def calendar_month(d: Column) -> Column:
     """``06. Jun``"""
-    return F.date_format(d, "MM'. 'MMM")
+    return _pick(_numbered(MONTHS, ". "), F.month(d))
 
 
 def calendar_day_month(d: Column) -> Column:
     """``06. 30`` (month, then day)"""
-    return F.date_format(d, "MM'. 'dd")
+    return F.concat(
+        _pick([f"{i:02d}. " for i in range(1, 13)], F.month(d)), F.lpad(F.dayofmonth(d).cast("string"), 2, "0")
+    )
 
 
 def month_label(d: Column) -> Column:
     """``Jun 1998``"""
-    return F.date_format(d, "MMM yyyy")
+    return F.concat(_pick([f"{m} " for m in MONTHS], F.month(d)), F.lpad(F.year(d).cast("string"), 4, "0"))
 
 
 def week_monday(d: Column) -> Column:
@@ -49,12 +66,12 @@ def wk(d: Column) -> Column:
 
 def calendar_day_week(d: Column) -> Column:
     """``01.Mon`` to ``07.Sun``"""
-    return F.concat(F.lpad((F.weekday(d) + 1).cast("string"), 2, "0"), F.date_format(d, "'.'E"))
+    return _pick(_numbered(WEEKDAYS, "."), F.weekday(d) + 1)
 
 
 def delivery_month(d: Column) -> Column:
     """``06.Jun``"""
-    return F.date_format(d, "MM'.'MMM")
+    return _pick(_numbered(MONTHS, "."), F.month(d))
 
 
 def calendar_wk_num(d: Column) -> Column:
