@@ -15,7 +15,9 @@ def first_by_priority(df: DataFrame, keys: Sequence[str], priority: Sequence[Col
     key holding most of the rows moves one row per task. The remaining columns break ties, so
     that reruns choose the same row.
     """
-    order = [*priority, *[F.col(f"`{c}`") for c in df.columns if c not in keys]]
+    named = [c for c in priority if isinstance(c, str)]
+    rest = [c for c in df.columns if c not in keys and c not in named]
+    order = [*priority, *[F.col(f"`{c}`") for c in rest]]
     ranked = df.withColumn("_rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
     return ranked.filter(F.col("_rank") == 1).drop("_rank")
 

@@ -119,13 +119,14 @@ def write_slices(
 ) -> None:
     """One ordered CSV file with header per slice, below ``file_ver=n``.
 
+    The whole path is replaced, so that a shorter rerun leaves no slice of a longer one behind.
     ``suffix=".txt"`` names the same content as text files.
     """
     version = _version(rows)
     (
         number_rows(df, order, unique_order).withColumn("file_ver", version)
         .repartition("file_ver").sortWithinPartitions("file_ver", "_row").drop("_row")
-        .write.mode("overwrite").partitionBy("file_ver")
+        .write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("file_ver")
         .option("header", True).option("extension", suffix.lstrip(".")).csv(path)
     )
 
@@ -164,7 +165,7 @@ def write_fixed_width(
     (
         head.unionByName(lines)
         .repartition("file_ver").sortWithinPartitions("file_ver", "_row").drop("_row")
-        .write.mode("overwrite").partitionBy("file_ver").text(path)
+        .write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("file_ver").text(path)
     )
 
 

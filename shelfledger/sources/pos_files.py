@@ -7,9 +7,12 @@ writes them; all its parts are one file here.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import re
+from collections.abc import Iterator, Mapping, Sequence
 from functools import reduce
 
+import pandas as pd
+from pyarrow.fs import FileSystem
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -23,6 +26,7 @@ FILE_STEM = r"([^/=]+_[^/_=]+_[0-9]{8})\.csv"
 FILE_SOURCE = r"^(.*?[^/=]+_[^/_=]+_[0-9]{8}\.csv)"
 MONTH_FOLDER = r"^(.*?_[0-9]{6})/"
 
+HEAD_BYTES = 4096
 CORRUPT = "_corrupt_record"
 NUMBER = "decimal(18,4)"
 
@@ -73,29 +77,59 @@ def read_pos_csv(
     return _flag_bad_numbers(df, line, dict.fromkeys(numeric_cols, number_type), F.col(CORRUPT).isNotNull())
 
 
-def file_headers(spark: SparkSession, roots: str | Sequence[str], glob: str = "*.csv") -> DataFrame:
-    """``file_path`` and snake_case column names ``names`` of every file.
+def _arrow_uri(path: str) -> str:
+    return re.sub(r"^s3[an]:", "s3:", path)
 
-    The header is the first line of the block that starts at 0. It takes a pass over the text,
-    but only one candidate per file and task is shuffled.
-    """
-    lines = (
+
+def _first_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The first line of each file, reading no further than its end."""
+    for files in batches:
+        lines = []
+        for path in files["file_path"]:
+            system, inner = FileSystem.from_uri(_arrow_uri(path))
+            with system.open_input_stream(inner) as stream:
+                head = b""
+                while b"\n" not in head and (chunk := stream.read(HEAD_BYTES)):
+                    head += chunk
+            lines.append(head.partition(b"\n")[0].decode("utf-8-sig", "replace").rstrip("\r"))
+        yield pd.DataFrame({"file_path": files["file_path"], "header": lines})
+
+
+def _scanned_lines(spark: SparkSession, roots: str | Sequence[str], glob: str) -> DataFrame:
+    """The first line of each file by a pass over the text, for storage only Spark can open."""
+    return (
         spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", glob).text(roots)
         .select("value", "_metadata.file_path", "_metadata.file_block_start")
         .withColumn("_at", F.monotonically_increasing_id())
         .filter("file_block_start = 0")
+        .groupBy("file_path").agg(F.min_by("value", "_at").alias("header"))
     )
+
+
+def file_headers(
+    spark: SparkSession, roots: str | Sequence[str], glob: str = "*.csv", peek: bool = True
+) -> DataFrame:
+    """``file_path`` and snake_case column names ``names`` of every file.
+
+    Tasks open the files they are given and read one line of each. ``peek=False`` scans the
+    text with Spark's reader instead, which reads everything.
+    """
+    if peek:
+        files = (
+            spark.read.format("binaryFile").option("recursiveFileLookup", True)
+            .option("pathGlobFilter", glob).load(roots).select("_metadata.file_path")
+        )
+        lines = files.mapInPandas(_first_lines, "file_path string, header string").filter("header <> ''")
+    else:
+        lines = _scanned_lines(spark, roots, glob)
     tidy = lambda x: F.regexp_replace(F.lower(F.trim(F.regexp_replace(x, '^"|"$', ""))), "[ -]", "_")
-    return (
-        lines.groupBy("file_path").agg(F.min_by("value", "_at").alias("header"))
-        .select("file_path", F.transform(F.split("header", ","), tidy).alias("names"))
-    )
+    return lines.select("file_path", F.transform(F.split("header", ","), tidy).alias("names"))
 
 
 def read_csv_tree(
     spark: SparkSession, roots: str | Sequence[str], columns: Sequence[str] | None = None,
     numeric_cols: Sequence[str] = (), glob: str = "*.csv", header: Sequence[str] | None = None,
-    on_error: str = "permissive", number_type: str = NUMBER,
+    on_error: str = "permissive", number_type: str = NUMBER, peek: bool = True,
 ) -> DataFrame:
     """Every CSV file below the roots, matched by header name, whatever the column order.
 
@@ -108,7 +142,7 @@ def read_csv_tree(
     layouts = None
     if header is None:
         kept = scratch_path(spark, "headers")
-        file_headers(spark, roots, glob).write.parquet(kept)
+        file_headers(spark, roots, glob, peek).write.parquet(kept)
         layouts = spark.read.parquet(kept)
         common = layouts.select("names").distinct().limit(2).collect()
         if len(common) == 1:

@@ -1,0 +1,91 @@
+from datetime import date
+
+import pytest
+from pyspark.sql import functions as F
+
+from shelfledger.functions import classify, measures
+
+C = F.col
+
+
+def _one(spark, column):
+    return spark.range(1).select(column).first()[0]
+
+
+@pytest.mark.parametrize("dept, label, export", [
+    ("10", "1 - GROCERY", "1 - GROCERY"), ("35", "3 - PERISHABLE", "3 - PERISHABLES"),
+    ("5", "5 - HEALTH & BEA", "5 - HEALTH & BEAUTY"), ("70", "7 - SERVICES", None), ("8", "8 - NON TRADE", None),
+    ("90", "9 - OTHER", None), ("", "9 - OTHER", None), (None, "9 - OTHER", None), (" 10", "9 - OTHER", None),
+])
+def test_division(spark, dept, label, export):
+    d = F.lit(dept).cast("string")
+    assert _one(spark, classify.division(d)) == label
+    assert _one(spark, classify.export_division(d)) == export
+
+
+AS_OF = date(2025, 3, 1)
+OPEN, PAST = date(2025, 3, 1), date(2025, 2, 28)
+
+
+@pytest.mark.parametrize("got, noted, ordered, expiry, status", [
+    (11.0, 10.0, 10.0, OPEN, "Over Delivery"),
+    (5.0, 4.0, 10.0, PAST, "Over Delivery"),      # over the receipt's own order quantity
+    (None, None, -1.0, OPEN, "Over Delivery"),    # nothing received counts as 0
+    (10.0, 10.0, 10.0, PAST, "Full Delivery"),
+    (5.0, 5.0, 10.0, OPEN, "Full Delivery"),
+    (None, None, 0.0, OPEN, "Full Delivery"),
+    (None, None, None, None, "Full Delivery"),
+    (5.0, 10.0, 10.0, OPEN, "Partial Delivery"),
+    (5.0, None, 10.0, OPEN, "Partial Delivery"),
+    (None, None, 10.0, OPEN, "No Delivery"),
+    (0.0, 10.0, 10.0, OPEN, "No Delivery"),
+    (5.0, 10.0, 10.0, PAST, "Expired"),           # a late partial delivery
+    (None, None, 10.0, PAST, "Expired"),
+    (5.0, 10.0, 10.0, None, "Others"),
+    (-1.0, 10.0, 10.0, OPEN, "Others"),
+])
+def test_delivery_status(spark, got, noted, ordered, expiry, status):
+    df = spark.createDataFrame([(got, noted, ordered, expiry)], "g double, q double, p double, e date")
+    row = df.select(classify.delivery_status(C("g"), C("q"), C("p"), C("e"), F.lit(AS_OF))).first()
+    assert row[0] == status
+
+
+@pytest.mark.parametrize("banner, name, label", [
+    ("Giant Super", "A", "02.SUPERMARKET"), ("Giant Super", "A TMC", "02. TMC - SUPERMARKET"),
+    ("Giant Hyper", "A", "02.HYPERMARKET"), ("Giant Hyper", "TMC", "02. TMC - HYPERMARKET"),
+    ("Upscale", "A", "03.UPSCALE"), ("UPSCALE", "A", "03.UPSCALE"), ("upscale", "A", "upscale"),
+    ("Giant Mini", "DC", "04.GIANT MINI"), ("Giant Mini", "Mini DC", "07.DISTRIBUTION CENTRE - GIANT MINI"),
+    ("Distribution Centre", "Mini", "06.DISTRIBUTION CENTRE - GIANT"),
+    ("Distribution Centre", "DC Mini", "07.DISTRIBUTION CENTRE - GIANT MINI"),
+    ("HQ", "A", ""), ("Else", "A", "Else"), (None, "A", None),
+])
+def test_banner(spark, banner, name, label):
+    assert _one(spark, classify.normalise_banner(F.lit(banner).cast("string"), F.lit(name))) == label
+
+
+def test_order_type(spark):
+    codes = spark.createDataFrame([(0,), (1,), (9,), (99,), (5,), (None,)], "c int")
+    got = [r[0] for r in codes.select(classify.order_type(C("c"))).collect()]
+    assert got == ["00-DSP/Con", "01-Flow-through", "09-NT-DSP", "99-NT", None, None]
+
+
+def test_null_rules(spark):
+    df = spark.createDataFrame([(None, "a", 5.0, None, 0.0)], "n string, s string, x double, i int, z double")
+    row = df.select(
+        classify.code_label(C("n"), C("s")), classify.code_label(C("s"), C("s")), classify.is_parent(C("n"), C("s")),
+        classify.non_ibt(C("i"), C("x")), classify.signed(C("n"), C("x")), classify.signed(F.lit("OUT"), C("x")),
+        classify.completion(C("i"), C("x")), classify.completion(C("x"), C("z")), classify.completion(C("x"), C("i")),
+    ).first()
+    assert tuple(row) == (None, "a-a", False, 0.0, 5.0, -5.0, 0.0, None, None)
+
+
+def test_measures(spark):
+    df = spark.createDataFrame(
+        [("a", 0, 2.0, 10.0), ("a", 1, 3.0, 20.0), ("a", None, 4.0, 40.0)], "k string, flag int, qty double, amount double")
+    split = df.groupBy("k").agg(*measures.consign_split(C("flag"), C("qty"), C("amount"))).first()
+    assert tuple(split) == ("a", 2.0, 10.0, 3.0, 20.0)
+    nums = spark.createDataFrame([(10.0, None, 12.0), (None, None, None), (10.0, 1.0, 2.0)], "p double, d double, s double")
+    got = nums.select(measures.net_price(C("p"), C("d"), C("s")), measures.safe_ratio(C("p"), C("d"))).collect()
+    assert [tuple(r) for r in got] == [(0.0, None), (0.0, None), (7.0, 10.0)]
+    assert df.filter("qty > 9").agg(measures.zero_sum(C("qty"))).first()[0] == 0.0
+    assert _one(spark, measures.safe_ratio(F.lit(1), F.lit(0))) is None
