@@ -9,12 +9,12 @@ that has grown with the data.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-COPIES = "_copies"
-
 
 def header_lines(header: DataFrame, lines: DataFrame, on: tuple[str, str]) -> DataFrame:
     """Documents with their lines; ``on`` is (header key, line key)."""
@@ -48,15 +48,14 @@ def lookup(
     """
     if unique:
         assert_unique(dim, [r for _, r in on])
-    renamed = [f"_key{i}" for i in range(len(on))]
-    for new, (_, old) in zip(renamed, on):
-        dim = dim.withColumn(new, F.col(old))
-    dim = dim.drop(*[r for _, r in on])
-    condition: Column | None = None
-    for new, (left, _) in zip(renamed, on):
-        term = df[left] == dim[new]
-        condition = term if condition is None else condition & term
-    return df.join(dim, condition, "left").drop(*renamed)
+    keys = [f"_key{i}" for i in range(len(on))]
+    own = [right for _, right in on]
+    named = dim.select(
+        *[F.col(f"`{c}`") for c in dim.columns if c not in own],
+        *[F.col(f"`{right}`").alias(key) for key, right in zip(keys, own)],
+    )
+    condition = reduce(and_, [df[left] == named[key] for key, (left, _) in zip(keys, on)])
+    return df.join(named, condition, "left").drop(*keys)
 
 
 def assert_unique(dim: DataFrame, keys: Sequence[str]) -> None:
