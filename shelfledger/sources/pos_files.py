@@ -13,6 +13,7 @@ from functools import reduce
 
 import pandas as pd
 from pyarrow.fs import FileSystem
+from pyarrow.lib import ArrowException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -77,22 +78,33 @@ def read_pos_csv(
     return _flag_bad_numbers(df, line, dict.fromkeys(numeric_cols, number_type), F.col(CORRUPT).isNotNull())
 
 
-def _arrow_uri(path: str) -> str:
-    return re.sub(r"^s3[an]:", "s3:", path)
+def _peeked_lines(spark: SparkSession, roots: str | Sequence[str], glob: str) -> DataFrame:
+    """The first line of each file, NULL where a task cannot open the file by itself.
 
+    Each task reads no further than the line's end.
+    """
 
-def _first_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """The first line of each file, reading no further than its end."""
-    for files in batches:
-        lines = []
-        for path in files["file_path"]:
-            system, inner = FileSystem.from_uri(_arrow_uri(path))
+    # nested, so that it is shipped to the executors by value and they need not have this package
+    def first_line(path: str) -> str | None:
+        try:
+            system, inner = FileSystem.from_uri(re.sub(r"^s3[an]:", "s3:", path))
             with system.open_input_stream(inner) as stream:
                 head = b""
                 while b"\n" not in head and (chunk := stream.read(HEAD_BYTES)):
                     head += chunk
-            lines.append(head.partition(b"\n")[0].decode("utf-8-sig", "replace").rstrip("\r"))
-        yield pd.DataFrame({"file_path": files["file_path"], "header": lines})
+        except (OSError, ArrowException):
+            return None
+        return head.partition(b"\n")[0].decode("utf-8-sig", "replace").rstrip("\r")
+
+    def first_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for files in batches:
+            yield pd.DataFrame({"file_path": files["file_path"], "header": files["file_path"].map(first_line)})
+
+    files = (
+        spark.read.format("binaryFile").option("recursiveFileLookup", True)
+        .option("pathGlobFilter", glob).load(roots).select("_metadata.file_path")
+    )
+    return files.mapInPandas(first_lines, "file_path string, header string")
 
 
 def _scanned_lines(spark: SparkSession, roots: str | Sequence[str], glob: str) -> DataFrame:
@@ -109,21 +121,25 @@ def _scanned_lines(spark: SparkSession, roots: str | Sequence[str], glob: str) -
 def file_headers(
     spark: SparkSession, roots: str | Sequence[str], glob: str = "*.csv", peek: bool = True
 ) -> DataFrame:
-    """``file_path`` and snake_case column names ``names`` of every file.
+    """``file_path`` and snake_case column names ``names`` of every file that is not empty.
 
-    Tasks open the files they are given and read one line of each. ``peek=False`` scans the
-    text with Spark's reader instead, which reads everything.
+    The list is stored in the scratch folder, so that its size is known to the joins it goes
+    into. Tasks open the files they are given and read one line of each. Where the storage is
+    one only Spark can open, or with ``peek=False``, Spark's reader scans the text instead,
+    which reads everything.
     """
+    kept = scratch_path(spark, "headers")
     if peek:
-        files = (
-            spark.read.format("binaryFile").option("recursiveFileLookup", True)
-            .option("pathGlobFilter", glob).load(roots).select("_metadata.file_path")
-        )
-        lines = files.mapInPandas(_first_lines, "file_path string, header string").filter("header <> ''")
-    else:
-        lines = _scanned_lines(spark, roots, glob)
+        _peeked_lines(spark, roots, glob).write.parquet(kept)
+        peek = spark.read.parquet(kept).filter("header IS NULL").isEmpty()
+    if not peek:
+        kept = scratch_path(spark, "headers")
+        _scanned_lines(spark, roots, glob).write.parquet(kept)
     tidy = lambda x: F.regexp_replace(F.lower(F.trim(F.regexp_replace(x, '^"|"$', ""))), "[ -]", "_")
-    return lines.select("file_path", F.transform(F.split("header", ","), tidy).alias("names"))
+    return (
+        spark.read.schema("file_path string, header string").parquet(kept).filter("header <> ''")
+        .select("file_path", F.transform(F.split("header", ","), tidy).alias("names"))
+    )
 
 
 def read_csv_tree(
@@ -141,9 +157,7 @@ def read_csv_tree(
     """
     layouts = None
     if header is None:
-        kept = scratch_path(spark, "headers")
-        file_headers(spark, roots, glob, peek).write.parquet(kept)
-        layouts = spark.read.parquet(kept)
+        layouts = file_headers(spark, roots, glob, peek)
         common = layouts.select("names").distinct().limit(2).collect()
         if len(common) == 1:
             header = common[0].names

@@ -101,3 +101,15 @@ def test_headers_of_odd_files(spark, tmp_path):
     _file(tmp_path, "a b", "open.csv", "only-header")
     got = {r.file_path.rsplit("/", 1)[1]: r.names for r in pos_files.file_headers(spark, str(tmp_path)).collect()}
     assert got == {"one.csv": ["a", "b_c"], "two.csv": ["x" * 10_000, "y"], "open.csv": ["only_header"]}
+
+
+def test_storage_tasks_cannot_open_is_scanned(spark, tmp_path, monkeypatch):
+    _file(tmp_path, "f", "a.csv", "A,B\n1,2\n")
+
+    class Closed:
+        @staticmethod
+        def from_uri(uri):
+            raise OSError(uri)
+
+    monkeypatch.setattr(pos_files, "FileSystem", Closed)
+    assert [r.names for r in pos_files.file_headers(spark, str(tmp_path)).collect()] == [["a", "b"]]
