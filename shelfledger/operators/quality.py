@@ -67,10 +67,16 @@ def verify_load(
 
 
 def duplicate_counts(df: DataFrame, key_sets: Sequence[Sequence[str]]) -> DataFrame:
-    """For each key set, how many rows repeat an earlier key."""
+    """For each key set, how many rows repeat an earlier key.
+
+    The input is read once: it is counted by all keys together, and each key set adds those
+    counts up.
+    """
+    every = list(dict.fromkeys(k for keys in key_sets for k in keys))
+    finest = df.groupBy(*every).agg(F.count(F.lit(1)).alias("_n"))
     counts = [
-        df.groupBy(*keys)
-        .agg((F.count(F.lit(1)) - 1).alias("_extra"))
+        finest.groupBy(*keys)
+        .agg((F.sum("_n") - 1).alias("_extra"))
         .agg(F.coalesce(F.sum("_extra"), F.lit(0)).alias("duplicates"))
         .select(F.lit(",".join(keys)).alias("key_set"), "duplicates")
         for keys in key_sets
