@@ -4,14 +4,15 @@ import os
 
 import pytest
 
-import __spark_entry__ as contract
+from sampledata.oracle import all_sql
+from sampledata.queries import all_queries
 
 duckdb = pytest.importorskip("duckdb")
 DATA = "/root/testdata/sf0.001"
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem"]
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(DATA), reason="sample data not present")
-QUERIES, SQL = contract.queries(), contract.oracle_sql()
+QUERIES, SQL = all_queries(), all_sql()
 
 
 def _sorted(rows):
