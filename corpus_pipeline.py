@@ -3,29 +3,64 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from shelfledger.llm import near_dedup
+from shelfledger.llm import decontamination, langid, mixing, near_dedup, token_files
 from shelfledger.llm.common import ship_code, stored
+from shelfledger.llm.queries import remainder, table, tokenizer
+from shelfledger.session import scratch_path
 
+# Least share of a text's n-grams that its language holds. Prose has over 0.8; noise has next to none.
+LEAST_SCORE = 0.15
 # Five-word shingles, 80 % alike.
 NEAR = near_dedup.Settings(words=5, percent=80, rows=4, bands=28)
 
 
+def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps documents written in one of the labelled languages."""
+    ship_code(spark)
+    model = langid.fit(docs.filter(remainder(F.col("doc_id"), 5) != 0))
+    found = langid.predict(docs, model, carry=tuple(docs.columns))
+    return found.filter((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= LEAST_SCORE)).select(*docs.columns)
+
+
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each class of near copies."""
     ship_code(spark)
     return near_dedup.drop_near_copies(docs, NEAR)
 
 
-STAGES = [("near-dedup", near_copies)]
+def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps documents without a benchmark item."""
+    ship_code(spark)
+    return decontamination.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Repeats and thins the sources to their target weights; a document stands as often as it is taken."""
+    return mixing.mixed_rows(docs)
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Writes the token files and returns each document's place in them."""
+    ship_code(spark)
+    path = scratch_path(spark, "pipeline-tokens")
+    token_files.write(docs, path, tokenizer())
+    return token_files.read(spark, path)
+
+
+STAGES = [
+    ("language-id", known_language), ("near-dedup", near_copies), ("decontamination", decontaminated),
+    ("mixing", mixed), ("tokens", tokens),
+]
 
-# Hash order decides what the mix takes, and SQL has no tokenizer: tested against brute force instead.
+# SQL has neither the learned model nor the tokenizer: tested against brute force instead.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Applies the stages to ``documents``; each stage's rows are written before the next one reads them."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir), f"stage-{name}")
     return STAGES[-1][1](spark, docs, sf_dir)

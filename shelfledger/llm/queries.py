@@ -5,9 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from shelfledger.llm import near_dedup
+from shelfledger.llm import (
+    chat, decontamination, exact_dedup, langid, line_dedup, mixing, near_dedup, quality, site_style, token_files,
+)
 from shelfledger.llm.common import ship_code
+from shelfledger.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -26,10 +30,88 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def remainder(id_col, by: int):
+    """crc32 of the id as text, modulo ``by``; null for a null id."""
+    return F.crc32(id_col.cast("string")) % by
+
+
+def tokenizer() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+@query
+def op1_quality_classifier(spark, sf_dir):
+    found = quality.scored(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), learn_from=lambda i: remainder(i, 4) != 2
+    )
+    return found.select(
+        "doc_id", F.coalesce(remainder(F.col("doc_id"), 4) == 2, F.lit(True)).alias("held_out"), "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"),
+    )
+
+
+@query
+def op2_line_dedup(spark, sf_dir):
+    found = line_dedup.without_boilerplate(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "lines_removed", F.length("text").cast("bigint").alias("n_chars"), F.md5("text").alias("text_md5"))
+
+
+@query
+def op3_exact_dedup(spark, sf_dir):
+    return exact_dedup.copies(table(spark, sf_dir, "documents"))
+
+
+@query
+def op4_language_id(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    model = langid.fit(docs.filter(remainder(F.col("doc_id"), 5) != 0))
+    return langid.predict(docs, model).select(
+        "doc_id", F.coalesce(remainder(F.col("doc_id"), 5) == 0, F.lit(True)).alias("held_out"), "lang_pred", "score"
+    )
+
+
+@query
+def op5_benchmark_decontamination(spark, sf_dir):
+    found = decontamination.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.withColumn("contaminated", F.lit(True))
+
+
+@query
+def op6_chat_formatting(spark, sf_dir):
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = r"\### Assistant: </turn> ok"
+    own = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id bigint, turn bigint, role string, text string")
+    return chat.digests(chat.formatted(rows.union(own)))
+
+
+@query
+def op7_source_mixing(spark, sf_dir):
+    return mixing.taken(mixing.mix(table(spark, sf_dir, "documents")))
+
+
+@query
+def op8_html_extraction(spark, sf_dir):
+    return site_style.extracted(table(spark, sf_dir, "pages"))
+
+
+@query
+def op9_token_output(spark, sf_dir):
+    path = scratch_path(spark, "tokens")
+    token_files.write(table(spark, sf_dir, "documents"), path, tokenizer())
+    return token_files.read(spark, path)
+
+
 @query
 def op10_minhash_near_dedup(spark, sf_dir):
     return near_dedup.classes(table(spark, sf_dir, "documents"))
 
 
 #: SQL of those queries that DuckDB can run over whole tables.
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op3_exact_dedup": """
+        WITH keyed AS (SELECT doc_id, sha256(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS text_sha256 FROM documents),
+        grouped AS (SELECT text_sha256, max(doc_id) AS keep_id, count(*) AS group_size FROM keyed GROUP BY text_sha256)
+        SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM keyed JOIN grouped USING (text_sha256)""",
+}
