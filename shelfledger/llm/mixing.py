@@ -1,8 +1,8 @@
 """Mixing sources to target weights by a multivariate-hypergeometric splitting tree.
 
 Each source's documents are dealt by hash into blocks. A source's target, in words, is met by whole
-passes over its blocks plus a part of one more: blocks in permuted order, and documents of the one
-block that only partly fits. The block draws of all sources are then dealt to output shards of equal
+passes over its blocks plus a part of one more: blocks in permuted order as long as they fit, and of one
+block more the documents that fit. The block draws of all sources are then dealt to output shards of equal
 numbers of draws: from the root down, each node hands its left half a hypergeometric number of every
 source's draws, so the leaves hold exact quotas with the distribution of a random deal. Each leaf takes
 the next range of every source's draws, so shards are disjoint, and orders its rows by hash.
@@ -22,9 +22,8 @@ from shelfledger.llm.common import small, stored
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = 3  # sources weigh 1, 2, 3, repeating
 MOST_REPEATS = 3
-DOCS_PER_BLOCK = 16
 MOST_BLOCKS = 1024  # of a source; a block of a larger source just holds more documents
-ROUNDS = 5  # over the block that fits partly
+ROUNDS = 5  # of filling what is left with what still fits
 
 
 @dataclass(frozen=True)
@@ -66,7 +65,7 @@ def targets(units: DataFrame) -> DataFrame:
             f"""cast(CASE WHEN left.weight > 0 THEN least({MOST_REPEATS} * x.words, x.weight * left.words / left.weight)
                 ELSE {MOST_REPEATS} * x.words END AS double)"""
         ).alias("target"),
-        F.expr(f"cast(least({MOST_BLOCKS}, ceil(x.docs / {DOCS_PER_BLOCK})) AS bigint)").alias("blocks"),
+        F.least(F.lit(MOST_BLOCKS), "x.docs").cast("bigint").alias("blocks"),
     )
 
 
@@ -118,22 +117,22 @@ def quota_tree(quotas: DataFrame, levels: int, seed: int) -> DataFrame:
     return nodes.select((F.col("node") - 2**levels).alias("shard"), "quotas")
 
 
-def _partly(units: DataFrame) -> DataFrame:
-    """Of the units of each source's partly fitting block, those that fit, with their draw.
+def _fitted(rows: DataFrame, *order) -> DataFrame:
+    """``rows`` with ``picked``, and ``rest`` lowered to the words of each place that stay open.
 
-    In hash order, as many as fit; then, in what is left, as many of the smaller ones as fit; and again.
+    In the given order, as many rows as fit into ``rest``; then, in what is left, as many of the smaller
+    ones as fit; and again.
     """
-    own = Window.partitionBy("place").orderBy("hash", "doc_id")
     whole = Window.partitionBy("place")
-    words = F.col("size") * F.col("n")
-    rows = units.withColumn("picked", F.lit(False))
+    upto = whole.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.withColumn("picked", F.lit(False))
     for _ in range(ROUNDS):
-        open_ = ~F.col("picked") & (words <= F.col("rest"))
-        rows = rows.withColumn("sum", F.sum(F.when(open_, words).otherwise(0)).over(own.rowsBetween(Window.unboundedPreceding, 0)))
+        open_ = ~F.col("picked") & (F.col("words") <= F.col("rest"))
+        rows = rows.withColumn("sum", F.sum(F.when(open_, F.col("words")).otherwise(0)).over(upto))
         rows = rows.withColumn("new", open_ & (F.col("sum") <= F.col("rest")))
-        rows = rows.withColumn("rest", F.col("rest") - F.sum(F.when(F.col("new"), words).otherwise(0)).over(whole))
+        rows = rows.withColumn("rest", F.col("rest") - F.sum(F.when(F.col("new"), F.col("words")).otherwise(0)).over(whole))
         rows = rows.withColumn("picked", F.col("picked") | F.col("new"))
-    return rows.filter("picked")
+    return rows.drop("sum", "new")
 
 
 def mix(docs: DataFrame, shard_words: int = 50_000_000, seed: int = 11, id_col: str = "doc_id", text_col: str = "text",
@@ -164,16 +163,16 @@ def mix(docs: DataFrame, shard_words: int = 50_000_000, seed: int = 11, id_col:
         .withColumn("pass", F.explode(F.sequence(F.lit(0).cast("bigint"), "passes")))
         .withColumn("rest", F.greatest(F.lit(0.0), F.col("target") - F.col("passes") * F.col("source_size")))
     )
-    permuted = Window.partitionBy("place", "pass").orderBy(F.xxhash64(F.lit(seed + 2), "place", "pass", "block"))
-    before = F.sum("words").over(permuted) - F.col("words")
-    drawn = blocks.withColumn("before", before).withColumn(
-        "part", F.when((F.col("pass") < F.col("passes")) | (F.col("before") + F.col("words") <= F.col("rest")), "whole")
-        .when(F.col("before") < F.col("rest"), "some")
-    ).filter("part is not null")
+    permuted = F.xxhash64(F.lit(seed + 2), "place", "pass", "block")
+    last = _fitted(blocks.filter((F.col("pass") == F.col("passes")) & (F.col("rest") > 0)), permuted, "block")
+    last = last.withColumn("next", F.row_number().over(Window.partitionBy("place").orderBy("picked", permuted, "block")))
+    last = last.withColumn("part", F.when(F.col("picked"), "whole").when((F.col("next") == 1) & (F.col("rest") > 0), "some"))
+    kept = ["place", "block", "pass", "part", "rest"]
+    drawn = blocks.filter(F.col("pass") < F.col("passes")).withColumn("part", F.lit("whole")).select(*kept).union(
+        last.filter("part is not null").select(*kept)
+    )
     drawn = stored(
-        drawn.withColumn("seq", F.row_number().over(
-            Window.partitionBy("place").orderBy("pass", F.xxhash64(F.lit(seed + 2), "place", "pass", "block"))
-        ).cast("bigint") - 1).select("place", "block", "pass", "part", "seq", (F.col("rest") - F.col("before")).alias("rest")),
+        drawn.withColumn("seq", F.row_number().over(Window.partitionBy("place").orderBy("pass", permuted, "block")).cast("bigint") - 1),
         "draws",
     )
 
@@ -194,8 +193,9 @@ def mix(docs: DataFrame, shard_words: int = 50_000_000, seed: int = 11, id_col:
 
     some = draws.filter("part = 'some'").drop("part")
     kept = ["doc_id", "source", "hash", "size", "n", "pass", "shard"]
+    partly = placed.join(small(some, n_sources), ["place", "block"]).withColumn("words", F.col("size") * F.col("n"))
     rows = placed.join(draws.filter("part = 'whole'").drop("part", "rest"), ["place", "block"]).select(*kept).union(
-        _partly(placed.join(small(some, n_sources), ["place", "block"])).select(*kept)
+        _fitted(partly, "hash", "doc_id").filter("picked").select(*kept)
     )
     rows = rows.withColumn("order", F.xxhash64(F.lit(seed + 3), "shard", "hash", "pass"))
     return Mix(sources, units, stored(rows, "mixed"))
