@@ -6,9 +6,9 @@ however many, never meet in pairs. Representatives that share a band are then li
 
 1. Every member of a bucket is paired with the bucket's smallest and largest member. Pairs pass the
    signature estimate, then the exact comparison of whole sets. Components of these links follow.
-2. In buckets that still hold several components, each member outside the bucket's largest component
-   is paired with the members of other components. With that, every pair of a bucket is linked,
-   found too far apart, or known to be in one component already; no pair inside a component is made.
+2. In buckets that still hold several components, members outside the bucket's largest component are
+   paired with members of other components, unless their rare shingles already part them. With that, every pair of a bucket is linked, known to be too far apart, or in one
+   component already; no pair inside a component is made.
 """
 
 from __future__ import annotations
@@ -29,6 +29,9 @@ from shelfledger.llm.words import mix, row_sets
 
 
 
+RARE = 16  # documents with a shingle, at most, for it to be rare
+
+
 @dataclass(frozen=True)
 class Settings:
     """``percent``: least similarity. A pair at it is missed with probability (1 - s**rows)**bands:
@@ -135,9 +138,9 @@ def _alike(s: Settings):
     return run, "a bigint, b bigint"
 
 
-def _linked(docs: DataFrame, sets_of: DataFrame, pairs: DataFrame, s: Settings) -> DataFrame:
-    """Those pairs (a, b) whose whole sets are alike. ``sets_of``: representatives with signatures."""
-    sig = sets_of.select("id", "n", "signature")
+def _linked(reps: DataFrame, sets: DataFrame, pairs: DataFrame, s: Settings) -> DataFrame:
+    """Those pairs (a, b) whose signatures and then whole sets are alike."""
+    sig = reps.select("id", "n", "signature")
     both = (
         pairs.join(sig.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("signature").alias("sa")), "a")
         .join(sig.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("signature").alias("sb")), "b")
@@ -145,10 +148,6 @@ def _linked(docs: DataFrame, sets_of: DataFrame, pairs: DataFrame, s: Settings)
         .select("a", "b", "sa", "sb")
     )
     likely = stored(both.mapInArrow(*_alike(s)), "likely")
-    ids = stored(likely.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "ids")
-    run, schema = _sets(s)
-    wanted = docs.join(small(ids, ids.count()), "id", "left_semi").select("id", "text")
-    sets = stored(wanted.mapInArrow(run, schema), "sets")
     common = F.size(F.array_intersect("xa", "xb"))
     return (
         likely.join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("xb")), "b")
@@ -158,6 +157,60 @@ def _linked(docs: DataFrame, sets_of: DataFrame, pairs: DataFrame, s: Settings)
     )
 
 
+def _open_pairs(buckets: DataFrame, found: DataFrame, sets: DataFrame, s: Settings) -> DataFrame:
+    """Pairs (a, b) in different components that share a bucket and can be alike.
+
+    A shingle that at most RARE open documents have is rare. Two documents have in common at most their
+    other shingles and the rare ones they share. So a pair of which one has many rare shingles must share
+    one: these pairs come from the rare shingles, RARE for each document and shingle at most. Pairs that
+    can be alike without one are taken from their bucket, where documents too rich in rare shingles for
+    all others are left out first and members of the largest component only wait for partners.
+    """
+    known = buckets.join(found.select(F.col("node").alias("id"), "component"), "id", "left").select(
+        "bucket", "id", "n", F.coalesce("component", "id").alias("component")
+    )
+    mixed = known.groupBy("bucket").agg(
+        F.min("component").alias("x"), F.max("component").alias("y"), F.min("n").alias("least")
+    ).filter("x < y").select("bucket", "least")
+    rows = stored(known.join(mixed, "bucket"), "open")
+    ids = stored(rows.groupBy("id").agg(F.first("n").alias("n"), F.first("component").alias("component")), "ids")
+    spread = sets.join(small(ids, ids.count()), "id").select("id", "n", "component", F.explode("shingles").alias("shingle"))
+    scarce = stored(spread.groupBy("shingle").agg(F.count("*").alias("k")).filter(F.col("k") <= RARE), "scarce")
+    rare = stored(spread.join(scarce, "shingle"), "rare")
+    usual = stored(
+        rare.groupBy("id").agg(F.count("*").alias("rare")).join(ids, "id", "right")
+        .select("id", (F.col("n") - F.coalesce("rare", F.lit(0))).alias("usual")),
+        "usual",
+    )
+    at_most = 100 + s.percent
+    rich = (100 * F.col("usual") < s.percent * F.col("n")) | (at_most * F.col("usual") < s.percent * (F.col("n") + F.col("least")))
+    rows = stored(rows.join(usual, "id").withColumn("rich", rich), "rows")
+
+    mine = rare.filter("k > 1")
+    theirs = mine.select("shingle", F.col("id").alias("x"), F.col("n").alias("nx"), F.col("component").alias("cx"))
+    met = (
+        mine.join(theirs, "shingle").filter("x < id and component <> cx")
+        .groupBy("x", "id", "nx", "n").agg(F.count("*").alias("shared"))
+        .join(usual, "id").join(usual.select(F.col("id").alias("x"), F.col("usual").alias("ux")), "x")
+    )
+    share = F.least("usual", "ux") + F.col("shared")
+    by_rare = met.filter(at_most * share >= s.percent * (F.col("n") + F.col("nx")))
+
+    few = rows.filter("not rich").select("bucket", "id", "n", "component", "usual")
+    sizes = few.groupBy("bucket", "component").agg(F.count("*").alias("k"))
+    largest = sizes.groupBy("bucket").agg(F.max(F.struct("k", "component")).alias("top"), F.count("*").alias("parts")).filter(
+        "parts > 1"
+    ).select("bucket", F.col("top.component").alias("largest"))
+    minor = few.join(largest, "bucket").filter("component <> largest").select(
+        "bucket", F.col("id").alias("x"), F.col("component").alias("cx"), F.col("n").alias("nx"), F.col("usual").alias("ux")
+    )
+    by_bucket = minor.join(few, "bucket").filter(
+        (F.col("component") != F.col("cx")) & (at_most * F.least("usual", "ux") >= s.percent * (F.col("n") + F.col("nx")))
+    )
+    pair = [F.least("x", "id").alias("a"), F.greatest("x", "id").alias("b")]
+    return by_rare.select(*pair).union(by_bucket.select(*pair)).distinct()
+
+
 def classes(docs: DataFrame, settings: Settings = Settings(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: id, n_shingles, component_id, kept.
 
@@ -174,35 +227,25 @@ def classes(docs: DataFrame, settings: Settings = Settings(), id_col: str = "doc
         ),
         "representatives",
     )
-    members = reps.select("id", F.explode("bands").alias("bucket"))
+    members = reps.select("id", "n", F.explode("bands").alias("bucket"))
     shared = (
         members.groupBy("bucket").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).filter("lo < hi")
     )
     buckets = stored(members.join(shared, "bucket"), "buckets")
+    ids = stored(buckets.select("id").distinct(), "ids")
+    sets = stored(
+        docs.join(small(ids, ids.count()), "id", "left_semi").select("id", "text").mapInArrow(*_sets(s)), "sets"
+    )
     pairs = stored(
         buckets.select(F.explode(F.array(
             F.struct(F.col("lo").alias("a"), F.col("id").alias("b")), F.struct(F.col("id").alias("a"), F.col("hi").alias("b")),
         )).alias("p")).select("p.a", "p.b").filter("a < b").distinct(),
         "pairs",
     )
-    links = stored(_linked(docs, reps, pairs, s), "links")
+    links = stored(_linked(reps, sets, pairs, s), "links")
     found = components(links)
-
-    known = buckets.join(found.select(F.col("node").alias("id"), "component"), "id", "left").select(
-        "bucket", "id", F.coalesce("component", "id").alias("component")
-    )
-    sizes = known.groupBy("bucket", "component").agg(F.count("*").alias("n"))
-    mixed = sizes.groupBy("bucket").agg(
-        F.max(F.struct("n", "component")).alias("top"), F.count("*").alias("parts")
-    ).filter("parts > 1").select("bucket", F.col("top.component").alias("largest"))
-    open_rows = stored(known.join(mixed, "bucket"), "open")
-    minor = open_rows.filter("component <> largest").select("bucket", F.col("id").alias("x"), F.col("component").alias("cx"))
-    more = (
-        minor.join(open_rows, "bucket").filter("component <> cx")
-        .select(F.least("x", "id").alias("a"), F.greatest("x", "id").alias("b")).distinct()
-        .join(pairs, ["a", "b"], "left_anti")
-    )
-    late = stored(_linked(docs, reps, stored(more, "pairs"), s), "links")
+    more = stored(_open_pairs(buckets, found, sets, s).join(pairs, ["a", "b"], "left_anti"), "pairs")
+    late = stored(_linked(reps, sets, more, s), "links")
     if not late.isEmpty():
         found = components(links.union(late))
 
