@@ -71,7 +71,8 @@ def tokens(offsets: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarra
             hashes[i:j] = (sums[ends[i:j] - lo] - sums[starts[i:j] - lo]) * down[starts[i:j] - lo]
     hashes = mix(hashes)
     counts = np.searchsorted(starts, at[1:], "left") - np.searchsorted(starts, at[:-1], "left")
-    number = kind[starts] >= 2
+    # digits right behind letters belong to a name or code and are no number
+    number = (kind[starts] >= 2) & ~((starts > 0) & (kind[starts - 1] == 1) & ~np.isin(starts, at))
     stop = np.cumsum(np.isin(codes, [10, 33, 46, 58, 63]))
     begins = np.ones(len(starts), bool)
     begins[1:] = stop[np.maximum(starts[1:] - 1, 0)] > stop[ends[:-1] - 1]

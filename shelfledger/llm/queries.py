@@ -110,8 +110,24 @@ def op10_minhash_near_dedup(spark, sf_dir):
 
 #: SQL of those queries that DuckDB can run over whole tables.
 SQL: dict[str, str] = {
+    "op2_line_dedup": """
+        WITH lines AS (SELECT doc_id, source, text, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS place FROM documents WHERE text IS NOT NULL),
+        common AS (SELECT trim(line, ' ') AS line FROM lines WHERE trim(line, ' ') <> '' GROUP BY 1 HAVING count(DISTINCT coalesce('s' || source, 'none')) >= 8),
+        marked AS (SELECT l.doc_id, l.text, l.place, l.line, c.line IS NOT NULL AS gone FROM lines l LEFT JOIN common c ON trim(l.line, ' ') = c.line),
+        kept AS (SELECT doc_id, count(*) FILTER (gone) AS lines_removed, coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (NOT gone), '') AS text FROM marked GROUP BY doc_id)
+        SELECT doc_id, coalesce(lines_removed, 0) AS lines_removed, length(k.text) AS n_chars, md5(k.text) AS text_md5 FROM documents LEFT JOIN kept k USING (doc_id)""",
     "op3_exact_dedup": """
         WITH keyed AS (SELECT doc_id, sha256(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS text_sha256 FROM documents),
         grouped AS (SELECT text_sha256, max(doc_id) AS keep_id, count(*) AS group_size FROM keyed GROUP BY text_sha256)
         SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM keyed JOIN grouped USING (text_sha256)""",
+    "op6_chat_formatting": r"""
+        WITH turns AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+            UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok' UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+        written AS (SELECT *, lag(role) OVER o AS last, replace(replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '"', '&quot;') AS escaped,
+            replace(replace(replace(replace(role, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '"', '&quot;') AS name FROM turns WINDOW o AS (PARTITION BY conv_id ORDER BY turn, role, text))
+        SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+            CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+            sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+            CAST(sum(length(escaped) + CASE WHEN last IS NOT DISTINCT FROM role THEN 7 ELSE 22 + length(name) END) AS BIGINT) AS formatted_chars
+        FROM written GROUP BY conv_id""",
 }

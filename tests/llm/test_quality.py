@@ -1,0 +1,65 @@
+import random
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from shelfledger.llm import quality
+
+
+def texts(n):
+    rng = random.Random(4)
+    out = []
+    for i in range(n):
+        words = [rng.choice(["the", "stone", "river", "under", "light", "paper", "été"]) for _ in range(rng.randrange(5, 60))]
+        good = rng.random() < 0.6
+        out.append((i, " ".join(words).capitalize() + "." if good else " | ".join(words) if i % 2 else " ".join(words).upper() + "!!", good))
+    return out
+
+
+def label_table(spark, rows):
+    return spark.createDataFrame(rows, "doc_id long, quality int, toxic int")
+
+
+def test_held_out_accuracy(spark, docs):
+    rows = texts(1200)
+    labels = label_table(spark, [(i, int(g), 0) for i, _, g in rows] + [(None, 1, 0), (5000, 1, 0), (3, None, 0)])
+    got = quality.scored(docs([(i, t) for i, t, _ in rows]), labels, lambda i: i % 4 != 2).collect()
+    good = {i: g for i, _, g in rows}
+    held = [(r.score >= 0.7) == good[r.doc_id] for r in got if r.doc_id % 4 == 2]
+    assert len(got) == 1200 and sum(held) >= 0.98 * len(held) and all(0 <= r.score <= 1 for r in got)
+
+
+def test_odd_rows_and_no_labels(spark, docs):
+    df = docs([(1, None), (1, ""), (None, "x"), (2, " \n\t "), (3, "word " * 400_000), (4, "a" * 2_000_000)]).withColumnRenamed("lang", "score")
+    got = quality.scored(df, label_table(spark, []), lambda i: F.lit(True)).collect()
+    assert len(got) == 6 and all(r.score == 0.5 for r in got)
+    one = quality.scored(df, label_table(spark, [(1, 1, 0)]), lambda i: F.lit(True)).collect()
+    assert len({r.score for r in one}) == 1 and one[0].score > 0.5
+    assert quality.scored(docs([]), label_table(spark, []), lambda i: F.lit(True)).collect() == []
+
+
+def test_statistics_do_not_depend_on_the_batch():
+    data = [t.encode() for _, t, _ in texts(30)] + [b"", b"\n\n", "Zwei Wörter\nZwei Wörter\n\nThe the THE".encode()]
+    offsets = np.concatenate([[0], np.cumsum([len(d) for d in data])])
+    whole = quality.statistics(offsets, np.frombuffer(b"".join(data), np.uint8))
+    for k, d in enumerate(data):
+        assert np.allclose(quality.statistics(np.array([0, len(d)]), np.frombuffer(d, np.uint8))[0], whole[k])
+    last = dict(zip(quality.NAMES, whole[-1]))
+    assert np.isclose(last["repeated_lines"], 1 / 3) and np.isclose(last["repeated_neighbours"], 2 / 7) and np.isclose(last["log_words"], np.log1p(7))
+
+
+def test_flat_trees_equal_walking_them():
+    rng = np.random.default_rng(0)
+    x = rng.normal(size=(500, 3)).astype(np.float32)
+    y = ((x[:, 0] > 0) ^ (x[:, 1] > 0.3)).astype(float)
+    trees = quality.grow(x, y)
+    assert ((trees.score(x) > 0.5) == y).mean() > 0.95
+    for row in x[:20]:
+        total = trees.base
+        for feature, above, value in zip(trees.feature, trees.above, trees.value):
+            node = 0
+            for _ in range(quality.DEPTH):
+                node = 2 * node + 1 + int(row[feature[node]] > above[node])
+            total += value[node - len(feature)]
+        assert np.isclose(trees.score(row[None])[0], 1 / (1 + np.exp(-total)))
+    assert trees.score(np.zeros((0, 3), np.float32)).size == 0
