@@ -50,6 +50,8 @@ TABLES = {
     "pos_group": """
         SELECT day AS bizdate, site_code AS location, CAST(l_partkey % 9 AS VARCHAR) AS itemcode, l_quantity AS qty
         FROM lines WHERE l_returnflag = 'A'""",
+    "pos_all": """
+        SELECT day AS bizdate, site_code AS location, CAST(l_partkey % 9 AS VARCHAR) AS itemcode, l_quantity AS qty FROM lines""",
     "pos_srp": """
         SELECT day AS date, site_code AS branch_code,
                CASE WHEN l_partkey % 50 = 49 THEN 'X' ELSE '' END || CAST(l_partkey AS VARCHAR) AS plu_number,
@@ -485,7 +487,12 @@ def all_sql() -> dict[str, str]:
             UNION ALL SELECT location, CAST(date AS VARCHAR), CAST(q AS DOUBLE), NULL FROM ({FILE_TOTALS})""",
         "snk_reload_partition": f"""SELECT loc AS location, {txt("CAST(date_trunc('quarter', date) AS DATE)", 'date')}, {dbl('sum(quantity)', 'total_qty_sales')},
             {dbl("sum(item_paid_price) * CASE WHEN quarter(date_trunc('quarter', date)) % 2 = 1 THEN 2 ELSE 1 END", 'total_sales')}
-            FROM pos_srp GROUP BY loc, date_trunc('quarter', date)""",
+            FROM pos_srp WHERE quarter(date) <> 2 GROUP BY loc, date_trunc('quarter', date)""",
+        "snk_create_view": f"""SELECT "Dept", count(*) AS n_rows, sum("Qty") AS "Qty" FROM ({UNION})
+            WHERE ("Dept" LIKE '1%' AND "BizDate" BETWEEN '2001-05-01' AND '2001-06-30')
+                OR ("Dept" LIKE '2%' AND "BizDate" BETWEEN '2000-01-01' AND '2001-06-30') OR "Dept" LIKE '3%' GROUP BY "Dept" """,
+        "src_script_params": f"SELECT itemcode, dept, {dbl('fifocost', 'fifocost')} FROM item WHERE dept LIKE '3%' AND fifocost >= 10",
+        "src_script_folder": f"SELECT dept, count(*) AS n_items, {dbl('max(fifocost)', 'fifocost')} FROM item WHERE dept LIKE '2%' GROUP BY dept",
         "snk_sliced_csv": slices("branch_code, date"),
         "snk_txt_slices": slices("date, branch_code"),
         "snk_fixed_width": """
@@ -505,7 +512,7 @@ def all_sql() -> dict[str, str]:
         "flt_like_prefix": "SELECT itemcode, dept FROM item WHERE dept LIKE '1%' OR dept LIKE '3%'",
         "flt_not_like": """SELECT itemcode, dept FROM (SELECT itemcode, CASE WHEN consign = 0 THEN dept END AS dept FROM item) i
             WHERE dept NOT LIKE '7%' AND dept NOT LIKE '8%'""",
-        "flt_yesterday": f"SELECT {txt('bizdate', 'bizdate')}, location, itemcode, qty FROM pos_panda WHERE bizdate = DATE '2001-06-29'",
+        "flt_yesterday": f"SELECT {txt('bizdate', 'bizdate')}, location, itemcode, qty FROM pos_all WHERE bizdate = DATE '1998-06-29'",
         "flt_prev_year_to_date": f"""SELECT {txt('bizdate', 'bizdate')}, sum(qty) AS qty FROM pos_panda
             WHERE bizdate BETWEEN DATE '2000-01-01' AND DATE '2001-06-30' GROUP BY bizdate""",
         "flt_prev_month_to_date": f"""SELECT {txt('bizdate', 'bizdate')}, sum(qty) AS qty FROM pos_panda
@@ -542,11 +549,11 @@ def all_sql() -> dict[str, str]:
         **{
             f"win_ads_{n}": f"""SELECT location, itemcode, {txt('bizdate', 'bizdate')}, qty, sum(qty) OVER (PARTITION BY location, itemcode
             ORDER BY bizdate RANGE BETWEEN INTERVAL {n - 1} DAYS PRECEDING AND CURRENT ROW) / {n} AS ads_rl{n}
-            FROM (SELECT location, itemcode, bizdate, sum(qty) AS qty FROM pos_group GROUP BY ALL)"""
+            FROM (SELECT location, itemcode, bizdate, sum(qty) AS qty FROM pos_all GROUP BY ALL)"""
             for n in (30, 90)
         },
         "set_union_all": f"""SELECT "POSType", "BizDate", count(*) AS n_rows, sum("Qty") AS "Qty", CAST(sum("TransCount") AS BIGINT) AS "TransCount",
-            count("Parent_Item") AS n_parent_known FROM ({PANDA} UNION ALL {SAP}) GROUP BY "POSType", "BizDate" """,
+            count("Parent_Item") AS n_parent_known FROM ({UNION}) GROUP BY "POSType", "BizDate" """,
         "set_union_by_name": "SELECT * FROM store_list UNION ALL BY NAME SELECT * FROM location_list",
         "cal_labels": f"""SELECT {txt('d', 'd')}, 'Yr' || strftime(d, '%Y') AS y, strftime(d, '%m. %b') AS m, strftime(d, '%m. %d') AS dm,
             strftime(d, '%b %Y') AS label FROM days""",
@@ -630,17 +637,17 @@ def all_sql() -> dict[str, str]:
             LEFT JOIN item_branch_stock s ON x.itemcode = s.itemcode AND x.location = s.branch""",
         "rpt_itemmaster_stock": itemmaster("Hyper", "s.ib_status = 0"),
         "rpt_itemmaster_inactive": itemmaster("Mini", "s.ib_status <> 0"),
-        "rpt_stock_take": f"""SELECT '2000-03-14' AS "BizDate", s.branch, b.branch_name, {division('s.dept')} AS "Division", s.dept AS "Dept", s.deptdesc,
+        "rpt_stock_take": f"""SELECT CAST(s.extract_day - 1 AS VARCHAR) AS "BizDate", s.branch, b.branch_name, {division('s.dept')} AS "Division", s.dept AS "Dept", s.deptdesc,
             s.subdept AS "Subdept", s.subdeptdesc AS "Subdeptdesc", s.category AS "Category", s.categorydesc AS "Categorydesc", s.itemcode AS "Itemcode",
             s.description AS "Description", s.qoh AS "QOH", {dbl('s.lastcost', 'LastCost')}
-            FROM stock_daily s LEFT JOIN branch b ON s.branch = b.branch_code WHERE s.extract_day = DATE '2000-03-15' AND b.banner LIKE '%Super%'""",
-        "rpt_landlord_eod": f"""SELECT 'ISMERCATO_' || strftime(p.bizdate, '%Y%m%d') AS "EOD_ID", 'ISMERCATO' AS "OUTLET_NAME", 'ISMERCATO_001' AS "POS_NAME",
+            FROM stock_daily s LEFT JOIN branch b ON s.branch = b.branch_code WHERE CAST(s.extract_day AS VARCHAR) IN ('2000-03-15', '1999-11-03', '1998-07-21', '1997-02-10', '1996-05-05', '1995-12-30') AND b.banner LIKE '%Super%'""",
+        "rpt_landlord_eod": f"""SELECT 'CORNER_' || strftime(p.bizdate, '%Y%m%d') AS "EOD_ID", 'CORNER' AS "OUTLET_NAME", 'CORNER_001' AS "POS_NAME",
             strftime(p.bizdate, '%d-%m-%Y') AS "EOD_DATE", {dbl('round(sum(p.amount), 2)', 'TOTAL_SALES')}, {dbl('round(sum(p.amount) + sum(p.sumdisc), 2)', 'GROSS_SALES')},
             count(DISTINCT p.refno) AS "TRAN_COUNT", {big('0', 'VOID_TRAN_COUNT')}, {dbl('0', 'SERVICE_CHARGE')}, {dbl('round(sum(p.sumdisc), 2)', 'DISCOUNT_AMT')},
             {dbl('0', 'VAT_TAX_AMT')}, {dbl('0', 'SVC_TAX_AMT')}, {dbl('0', 'ROUNDING_ADJ')}
             FROM pos_panda p LEFT JOIN item i ON p.itemcode = i.itemcode
             WHERE i.dept NOT LIKE '7%' AND i.dept NOT LIKE '8%' AND p.location = '1005' GROUP BY p.bizdate, p.location""",
-        "rpt_daily_extract": rolled("bizdate = DATE '2001-06-29' AND dept LIKE '3%'"),
+        "rpt_daily_extract": rolled("bizdate = DATE '2001-06-29' AND dept < '7'"),
         "rpt_commercial_day": horizon("1", "\"BizDate\" BETWEEN '2001-05-01' AND '2001-06-30'"),
         "rpt_commercial_week": horizon("2", "\"BizDate\" BETWEEN '2000-01-01' AND '2001-06-30'"),
         "rpt_commercial_month": horizon("3", "TRUE"),

@@ -6,6 +6,7 @@ Results are brought to plain types (``plain``), so that they compare with ``orac
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,12 +17,14 @@ from sampledata.tables import RetailTables
 from shelfledger.functions import calendar, classify, horizons, measures
 from shelfledger.operators import aggregates, columns, lookups, quality, rolling, unions
 from shelfledger.plans import (
-    adjustments, commercial, landlord, pos_ingest, rolling_sales, sales, stock, store_list, supply_chain,
+    adjustments, commercial, landlord, pos_ingest, rolling_sales, sales, scripts, stock, store_list,
+    supply_chain,
 )
 from shelfledger.session import scratch_path
 from shelfledger.sources import export, pos_files
 
 AS_OF = "2001-06-30"
+STOCK_DAYS = ["2000-03-15", "1999-11-03", "1998-07-21", "1997-02-10", "1996-05-05", "1995-12-30"]
 STATUS_AS_OF = "1998-06-30"
 SITE = "1005"
 
@@ -90,7 +93,7 @@ def src_filename_cols(t):
 
 @query
 def src_latest_file(t):
-    rows = pos_ingest.read_drop(t.spark, drops.tree_drop(t), drops.COLUMNS, drops.NUMERIC)
+    rows = pos_ingest.read_drop(t.spark, drops.tree_drop(t), drops.COLUMNS, drops.NUMERIC, latest_only=True)
     return rows.groupBy("location", "date").agg(
         F.count(F.lit(1)).alias("n_rows"), F.sum("total_qty_sales").alias("total_qty_sales"),
         F.sum("total_margin").alias("total_margin"),
@@ -139,7 +142,8 @@ def snk_append_aligned(t):
 
 @query
 def snk_reload_partition(t):
-    """Everything loaded, then the first and third quarters loaded again twice with doubled sales."""
+    """Everything loaded, then the first and third quarters loaded again twice with doubled sales, and
+    the second quarters reloaded without rows."""
     path, totals = scratch_path(t.spark, "days"), _file_totals(t)
     periods = totals.groupBy("location", F.trunc("date", "QUARTER").alias("date")).agg(
         F.sum("total_qty_sales").alias("total_qty_sales"), F.sum("total_sales").alias("total_sales")
@@ -148,7 +152,7 @@ def snk_reload_partition(t):
     export.replace_partitions(periods, path, keys)
     again = periods.filter(F.quarter("date") % 2 == 1).withColumn("total_sales", F.col("total_sales") * 2)
     export.replace_partitions(again, path, keys)
-    export.replace_partitions(again, path, keys)
+    export.reload_partitions(again, path, keys, periods.filter(F.quarter("date") <= 2))
     return _stored(t, path)
 
 
@@ -187,11 +191,54 @@ def snk_fixed_width(t):
     return t.spark.read.text(path).select("file_ver", F.col("value").alias("line"))
 
 
+@query
+def snk_create_view(t):
+    """Session views of two divisions over stored sales, and a catalog view of a third."""
+    path = scratch_path(t.spark, "sales")
+    sales.unified_sales(_ByName(t)).select("Dept", "BizDate", "Qty").write.parquet(path)
+    stored = t.spark.read.parquet(path)
+    views = [t.spark.table(v) for v in commercial.create_views(stored, ["vw_d1_day", "vw_d2_week"], AS_OF)]
+    commercial.create_stored_view(t.spark, "vw_d3_month", f"parquet.`{path}`", "3", "month")
+    return reduce(DataFrame.unionAll, [*views, t.spark.table("vw_d3_month")]).groupBy("Dept").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum("Qty").alias("Qty")
+    )
+
+
+def _script_folder(t) -> str:
+    """Two scripts with parameters, written where Spark reads them; the table is a session view."""
+    t.item.createOrReplaceTempView("script_items")
+    folder = scratch_path(t.spark, "scripts")
+    texts = {
+        "by_dept": "SELECT dept, count(*) AS n_items FROM script_items WHERE dept LIKE :prefix GROUP BY dept",
+        "dearest": "SELECT dept, max(fifocost) AS fifocost FROM script_items WHERE dept LIKE :prefix GROUP BY dept",
+    }
+    for name, text in texts.items():
+        system, path = export._hadoop(t.spark, f"{folder}/{name}.sql")
+        stream = system.create(path)
+        stream.write(bytearray(text.encode()))
+        stream.close()
+    return folder
+
+
+@query
+def src_script_params(t):
+    t.item.createOrReplaceTempView("script_items")
+    text = "SELECT itemcode, dept, fifocost FROM script_items WHERE dept LIKE :prefix AND fifocost >= :least"
+    return scripts.run_script(t.spark, text, prefix="3%", least=10)
+
+
+@query
+def src_script_folder(t):
+    reports = scripts.run_folder(t.spark, _script_folder(t), prefix="2%")
+    return reports["by_dept"].join(reports["dearest"], "dept")
+
+
 @query
 def snk_calendar_path(t):
     """Departments exported for a day, twice; the second run replaces the first."""
     path = scratch_path(t.spark, "calendar")
     rows = t.pos_panda.groupBy(F.col("dept").alias("Dept"), "itemcode").agg(F.sum("qty").alias("qty"))
+    rows = rows.filter(classify.export_division(F.col("Dept")).isNotNull())
     export.write_calendar_path(rows.withColumn("qty", -F.col("qty")), path, AS_OF)
     export.write_calendar_path(rows, path, AS_OF)
     return t.spark.read.option("header", True).schema(
@@ -222,7 +269,8 @@ def flt_not_like(t):
 
 @query
 def flt_yesterday(t):
-    return t.pos_panda.filter(horizons.yesterday(F.col("bizdate"), AS_OF)).select("bizdate", "location", "itemcode", "qty")
+    day = F.to_date(F.lit(STATUS_AS_OF))
+    return t.pos_all.filter(horizons.yesterday(F.col("bizdate"), day)).select("bizdate", "location", "itemcode", "qty")
 
 
 @query
@@ -352,7 +400,7 @@ def agg_dedup_first(t):
 
 
 def _rolling(t, days: int) -> DataFrame:
-    daily = t.pos_group.groupBy("location", "itemcode", "bizdate").agg(F.sum("qty").alias("qty"))
+    daily = t.pos_all.groupBy("location", "itemcode", "bizdate").agg(F.sum("qty").alias("qty"))
     return rolling.rolling_daily_average(daily, ["location", "itemcode"], "bizdate", "qty", days)
 
 
@@ -372,7 +420,8 @@ def win_ads_90(t):
 @query
 def set_union_all(t):
     names = _ByName(t)
-    return unions.union_sales(sales.panda_sales(names), sales.sap_sales(names)).groupBy("POSType", "BizDate").agg(
+    feeds = [feed(names) for feed in (sales.panda_sales, sales.srp_sales, sales.sap_sales)]
+    return unions.union_sales(*feeds).groupBy("POSType", "BizDate").agg(
         F.count(F.lit(1)).alias("n_rows"), F.sum("Qty").alias("Qty"), F.sum("TransCount").alias("TransCount"),
         F.count("Parent_Item").alias("n_parent_known"),
     )
@@ -648,32 +697,33 @@ def rpt_itemmaster_inactive(t):
 
 @query
 def rpt_stock_take(t):
-    return stock.stock_take(_ByName(t), "Super", "2000-03-15")
+    takes = [stock.stock_take(_ByName(t), "Super", day) for day in STOCK_DAYS]
+    return reduce(DataFrame.unionAll, takes)
 
 
 @query
 def rpt_landlord_eod(t):
-    return landlord.landlord_eod(_ByName(t), SITE)
+    return landlord.landlord_eod(_ByName(t), SITE, "CORNER")
 
 
 @query
 def rpt_daily_extract(t):
-    return rolling_sales.daily_extract(_ByName(t), AS_OF, "3")
+    return rolling_sales.daily_extract(_ByName(t), AS_OF, *"123456")
 
 
 @query
 def rpt_commercial_day(t):
-    return commercial.commercial(sales.unified_sales(_ByName(t)), "1", "day", AS_OF)
+    return commercial.division_sales(_ByName(t), "1", "day", AS_OF)
 
 
 @query
 def rpt_commercial_week(t):
-    return commercial.commercial(sales.unified_sales(_ByName(t)), "2", "week", AS_OF)
+    return commercial.division_sales(_ByName(t), "2", "week", AS_OF)
 
 
 @query
 def rpt_commercial_month(t):
-    return commercial.commercial(sales.unified_sales(_ByName(t)), "3", "month", AS_OF)
+    return commercial.division_sales(_ByName(t), "3", "month", AS_OF)
 
 
 @query
@@ -688,8 +738,14 @@ def rpt_store_list_combined(t):
 
 @query
 def rpt_pos_ingest(t):
+    """A load with a day too many at every location, then the drop, which does not have that day."""
     target = scratch_path(t.spark, "ingested")
-    pos_ingest.ingest(t.spark, drops.tree_drop(t), target, drops.COLUMNS, drops.NUMERIC)
+    stale = t.pos_srp.select(
+        *[F.lit("0").cast("string" if c not in drops.NUMERIC else pos_files.NUMBER).alias(c) for c in drops.COLUMNS],
+        drops.location_of("branch_code").alias("location"), F.lit("1900-01-01").cast("date").alias("date"),
+    ).distinct()
+    export.replace_partitions(stale, target, pos_ingest.KEYS)
+    pos_ingest.ingest(t.spark, drops.tree_drop(t), target, drops.COLUMNS, drops.NUMERIC, latest_only=True)
     return _stored(t, target)
 
 

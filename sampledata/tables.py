@@ -2,7 +2,8 @@
 
 Every table is a lazy expression over whole input tables; ``oracle.py`` holds the same
 expressions in SQL. Rules such as ``% 50`` below give rows odd values (misses, duplicates,
-NULLs); none of them leaves rows of a fact table out.
+NULLs). Some leave rows out on purpose, so that joins miss: each feed has the lines of one return
+flag, and allocations, requests, receipts, budgets and costs lack some keys.
 """
 
 from __future__ import annotations
@@ -134,6 +135,14 @@ class RetailTables:
             text(F.col("l_partkey") % 9).alias("itemcode"), F.col("l_quantity").alias("qty"),
         )
 
+    @cached_property
+    def pos_all(self) -> DataFrame:
+        """All lines by item group."""
+        return self._lines.select(
+            F.col("day").alias("bizdate"), branch_of("l_suppkey").alias("location"),
+            text(F.col("l_partkey") % 9).alias("itemcode"), F.col("l_quantity").alias("qty"),
+        )
+
     @cached_property
     def pos_srp(self) -> DataFrame:
         part, line, ext = F.col("l_partkey"), F.col("l_linenumber"), F.col("ext")

@@ -37,10 +37,3 @@ def align_to(df: DataFrame, schema: StructType) -> DataFrame:
             for f in schema.fields
         ]
     )
-
-
-def as_named(df: DataFrame, columns: Sequence[tuple[str, str]]) -> DataFrame:
-    """Positional rename and cast to ``(name, type)`` pairs."""
-    return df.toDF(*[name for name, _ in columns]).select(
-        *[F.col(f"`{name}`").cast(dtype).alias(name) for name, dtype in columns]
-    )

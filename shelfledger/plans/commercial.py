@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfledger.functions.horizons import previous_month_to_date, previous_year_to_date
+from shelfledger.plans.sales import unified_sales
 
 
 def horizon_filter(horizon: str, as_of: date | str | Column) -> Column:
@@ -27,6 +29,11 @@ def commercial(sales: DataFrame, division: str, horizon: str, as_of: date | str
     return sales.filter(F.col("Dept").startswith(division) & horizon_filter(horizon, as_of))
 
 
+def division_sales(tables: Mapping[str, DataFrame], division: str, horizon: str, as_of: date | str | Column) -> DataFrame:
+    """The same from the feeds, of which only the division's lines are summed and joined."""
+    return commercial(unified_sales(tables, division), division, horizon, as_of)
+
+
 def create_views(
     sales: DataFrame, names: list[str], as_of: date | str | Column, suffix: str = "_tmp"
 ) -> list[str]:

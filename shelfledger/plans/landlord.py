@@ -12,7 +12,7 @@ from shelfledger.functions.horizons import as_date
 
 
 def landlord_eod(
-    tables: Mapping[str, DataFrame], site: str, day: date | str | None = None, outlet: str = "ISMERCATO",
+    tables: Mapping[str, DataFrame], site: str, outlet: str, day: date | str | None = None,
     excluded: tuple[str, ...] = ("7", "8"),
 ) -> DataFrame:
     """Sales totals per day of one store without the excluded divisions.

@@ -10,32 +10,49 @@ from pyspark.sql import functions as F
 from shelfledger.operators.quality import verify_load
 from shelfledger.session import scratch_path
 from shelfledger.sources import pos_files
-from shelfledger.sources.export import replace_partitions
+from shelfledger.sources.export import reload_partitions, stored_keys
 
 KEYS = ("location", "date")
 
 
 def read_drop(
     spark: SparkSession, roots: str | Sequence[str], columns: Sequence[str], numeric_cols: Sequence[str],
-    header: Sequence[str] | None = None,
+    header: Sequence[str] | None = None, latest_only: bool = False,
 ) -> DataFrame:
-    """All rows of a drop with location and date; of equally named files the newest counts."""
-    rows = pos_files.read_csv_tree(spark, roots, columns, numeric_cols, header=header)
-    rows = pos_files.keep_latest_files(spark, rows, pos_files.list_files(spark, roots))
-    return pos_files.with_filename_columns(rows)
+    """All rows of a drop with location and date.
+
+    ``latest_only``: of equally named files only the newest is read. Rows of a file whose name
+    gives no location and date have neither, and are rejects.
+    """
+    if latest_only:
+        roots = pos_files.chosen_paths(pos_files.latest_version(pos_files.list_files(spark, roots)))
+    rows = pos_files.with_filename_columns(pos_files.read_csv_tree(spark, roots, columns, numeric_cols, header=header))
+    unnamed = F.concat(F.lit("unknown file name: "), "_path")
+    return rows.withColumn(
+        pos_files.CORRUPT, F.coalesce(pos_files.CORRUPT, F.when(F.col("location").isNull() | F.col("date").isNull(), unnamed))
+    )
 
 
 def ingest(
     spark: SparkSession, roots: str | Sequence[str], target: str, columns: Sequence[str],
-    numeric_cols: Sequence[str], keys: Sequence[str] = KEYS,
-) -> None:
-    """Loads a drop into a table partitioned by ``keys``, replacing what the drop has.
+    numeric_cols: Sequence[str], whole_locations: bool = True, latest_only: bool = False,
+) -> DataFrame:
+    """Loads a drop into a table partitioned by location and date; returns the rejects by file.
 
-    Rows that do not fit are loaded with their numbers NULL, as their other columns may be of
-    use; ``pos_files.reject_counts`` counts them.
+    All days of a location in the drop are replaced, also those the drop has no rows for; with
+    ``whole_locations=False`` only the days it has. Rows that do not fit are loaded with their
+    numbers NULL, as their other columns may be of use, and counted as rejects. Rows of a file
+    without location or date in its name belong nowhere and are only counted.
     """
-    rows = read_drop(spark, roots, columns, numeric_cols)
-    replace_partitions(rows.select(*columns, *KEYS), target, keys)
+    rows = read_drop(spark, roots, columns, numeric_cols, latest_only=latest_only)
+    named = rows.filter("location IS NOT NULL AND date IS NOT NULL").select(*columns, *KEYS)
+    replaced = None
+    if whole_locations:
+        replaced = stored_keys(spark, target, KEYS)
+        if replaced is not None:
+            replaced = replaced.join(named.select("location").distinct(), "location", "left_semi")
+    reload_partitions(named, target, KEYS, replaced)
+    return pos_files.reject_counts(rows, ["_path"]).filter("rows_rejected > 0")
 
 
 def backfill(
@@ -44,8 +61,9 @@ def backfill(
 ) -> DataFrame:
     """Reloads the requested (date, location) pairs from a drop, all in one job.
 
-    Only the month folders concerned are read. Returns a status per pair: what is missing, or
-    whether the pair has a sum of ``measure`` after the load.
+    Only the newest file of each pair is read. A pair whose file has no rows is emptied; one
+    without a file stays as it is. Returns a status per pair: what is missing, or whether the
+    pair has a sum of ``measure`` after the load.
     """
     day = F.col("date").cast("date")
     wanted = requested.select(
@@ -58,21 +76,18 @@ def backfill(
     wanted = spark.read.parquet(kept)
 
     files = pos_files.list_files(spark, root)
-    folders = files.select("folder", F.regexp_extract("folder", f"({feed}_[0-9]{{6}})$", 1).alias("_month")).distinct()
-    hit = folders.join(wanted.select("_month").distinct(), "_month", "left_semi")
-    paths = [r.folder for r in hit.select("folder").collect()]  # one per month folder
-
+    found = pos_files.latest_version(files.join(wanted, "name", "left_semi"))
+    paths = pos_files.chosen_paths(found)  # one per requested pair
     if paths:
-        rows = pos_files.read_csv_tree(spark, paths, columns, numeric_cols)
-        found = files.join(wanted, "name", "left_semi")
-        rows = pos_files.with_filename_columns(pos_files.keep_latest_files(spark, rows, found))
-        replace_partitions(rows.select(*columns, *KEYS), target, KEYS)
+        rows = pos_files.with_filename_columns(pos_files.read_csv_tree(spark, paths, columns, numeric_cols))
+        reload_partitions(rows.select(*columns, *KEYS), target, KEYS, wanted.join(found, "name", "left_semi").select(*KEYS))
 
     loaded = spark.read.parquet(target).withColumns(
         {"location": F.col("location").cast("string"), "date": F.col("date").cast("date")}
     )
     checked = verify_load(wanted.select("date", "location"), loaded, ["date", "location"], measure)
-    months = folders.select("_month", F.lit(True).alias("_has_folder")).distinct()
+    folders = files.select(F.regexp_extract("folder", f"({feed}_[0-9]{{6}})$", 1).alias("_month")).distinct()
+    months = folders.select("_month", F.lit(True).alias("_has_folder"))
     names = files.select("name", F.lit(True).alias("_has_file")).distinct()
     return (
         wanted.join(months, "_month", "left").join(names, "name", "left").join(checked, ["date", "location"])

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from datetime import date
 
 from pyspark.sql import Column, DataFrame
@@ -16,12 +16,15 @@ from shelfledger.operators.rolling import rolling_daily_average
 SPANS = (30, 90)
 
 
-def stock_day_sales(tables: Mapping[str, DataFrame], as_of: date | str | Column | None = None) -> DataFrame:
+def stock_day_sales(
+    tables: Mapping[str, DataFrame], as_of: date | str | Column | None = None, divisions: Sequence[str] = ()
+) -> DataFrame:
     """One row per stock snapshot of an item with the sales of the day before.
 
     A snapshot of day D is about the sales of D-1, and stands with quantity 0 where nothing was
     sold. Sales are summed per (day, branch, item) before the join. ``as_of`` keeps the days a
-    90-day window ending there needs.
+    90-day window ending there needs. ``divisions`` keeps the items of these divisions, before
+    anything is joined or summed.
     """
     snapshots = tables["stock_daily"].select("extract_day", "branch", "itemcode", "avgdailysales")
     sales = tables["pos_group"]
@@ -32,6 +35,10 @@ def stock_day_sales(tables: Mapping[str, DataFrame], as_of: date | str | Column
             F.col("extract_day").between(F.date_add(start, 1), F.date_add(end, 1))
         )
         sales = sales.filter(F.col("bizdate").between(start, end))
+    if divisions:
+        own = tables["item"].filter(dept_starts_with(F.col("dept"), *divisions)).select(F.col("itemcode").alias("_item"))
+        snapshots = snapshots.join(own, F.col("itemcode") == F.col("_item"), "left_semi")
+        sales = sales.join(own, F.col("itemcode") == F.col("_item"), "left_semi")
     sold = sales.groupBy("bizdate", "location", F.col("itemcode").alias("sold_item")).agg(
         F.sum("qty").alias("sold_qty")
     )
@@ -64,11 +71,16 @@ def stock_day_sales(tables: Mapping[str, DataFrame], as_of: date | str | Column
     )
 
 
-def rolling_sales(tables: Mapping[str, DataFrame], as_of: date | str | Column | None = None) -> DataFrame:
-    """Average daily sales over 30 and 90 calendar days, for every day or for ``as_of`` only."""
+def rolling_sales(
+    tables: Mapping[str, DataFrame], as_of: date | str | Column | None = None, divisions: Sequence[str] = ()
+) -> DataFrame:
+    """Average daily sales over 30 and 90 calendar days, for every day or for ``as_of`` only.
+
+    ``divisions`` leaves out the items of all other divisions.
+    """
     day = F.col("BizDate")
     rolled = rolling_daily_average(
-        stock_day_sales(tables, as_of), ["Location", "Itemcode"], "BizDate", "Qty", SPANS, as_of
+        stock_day_sales(tables, as_of, divisions), ["Location", "Itemcode"], "BizDate", "Qty", SPANS, as_of
     )
     labels = calendar.sales_calendar(day)
     del labels["Calendar Day Month"]
@@ -81,13 +93,13 @@ def rolling_sales(tables: Mapping[str, DataFrame], as_of: date | str | Column |
 
 
 def daily_extract(
-    tables: Mapping[str, DataFrame], as_of: date | str, division: str, rolled: DataFrame | None = None
+    tables: Mapping[str, DataFrame], as_of: date | str, *divisions: str, rolled: DataFrame | None = None
 ) -> DataFrame:
-    """Yesterday's rolling sales of one division, ordered for export.
+    """Yesterday's rolling sales of one or more divisions, ordered for export.
 
-    ``rolled`` is a stored result of ``rolling_sales``; without it only the 90 days needed are
-    computed.
+    ``rolled`` is a stored result of ``rolling_sales``; without it only the divisions' items and
+    the 90 days needed are computed.
     """
     day = F.date_sub(as_date(as_of), 1)
-    rows = rolling_sales(tables, day) if rolled is None else rolled.filter(F.col("BizDate") == day)
-    return rows.filter(dept_starts_with(F.col("Dept"), division)).orderBy("Dept", "Itemcode", "Location")
+    rows = rolling_sales(tables, day, divisions) if rolled is None else rolled.filter(F.col("BizDate") == day)
+    return rows.filter(dept_starts_with(F.col("Dept"), *divisions)).orderBy("Dept", "Itemcode", "Location")

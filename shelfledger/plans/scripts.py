@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from pathlib import Path
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -16,9 +16,10 @@ def run_script(spark: SparkSession, text: str, **args) -> DataFrame:
 
 
 def run_folder(spark: SparkSession, folder: str, **args) -> dict[str, DataFrame]:
-    """Every ``.sql`` script of a folder by its name without suffix."""
-    scripts = sorted(Path(folder).glob("*.sql"))
-    return {p.stem: run_script(spark, p.read_text(), **args) for p in scripts}
+    """Every ``.sql`` script of a folder, on any storage Spark reads, by its name without suffix."""
+    files = spark.read.text(folder, wholetext=True, pathGlobFilter="*.sql").select("value", "_metadata.file_name")
+    scripts = {unquote(r.file_name).removesuffix(".sql"): r.value for r in files.collect()}
+    return {name: run_script(spark, scripts[name], **args) for name in sorted(scripts)}
 
 
 def export_reports(

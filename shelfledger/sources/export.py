@@ -1,7 +1,7 @@
 """Sinks: partition replacement, aligned appends and row-sliced exports.
 
-All writes go through Spark's committer and can be repeated; a rerun replaces what the run
-before it wrote.
+All writes go through Spark's committer. A rerun replaces what the run before it wrote, but for
+``append_aligned``, which appends again.
 """
 
 from __future__ import annotations
@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date as Date
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
@@ -22,9 +22,6 @@ from shelfledger.session import scratch_path
 SLICE_ROWS = 999_999
 MAX_SLICE_ROWS = 1_000_000
 
-# Copies of one row that a task writes out by itself; more are spread over tasks.
-COPIES_PER_TASK = 10_000
-
 
 def _replace(df: DataFrame, keys: Sequence[str]):
     """Writer that replaces the partitions present in ``df``.
@@ -46,48 +43,79 @@ def replace_partitions(df: DataFrame, path: str, keys: Sequence[str]) -> None:
     _replace(df, keys).parquet(path)
 
 
+def _hadoop(spark: SparkSession, path: str):
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes a folder, on any storage Spark reaches."""
+    system, where = _hadoop(spark, path)
+    system.delete(where, True)
+
+
+def stored_keys(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame | None:
+    """The partitions of a stored table as text columns; None if there is no table."""
+    system, where = _hadoop(spark, path)
+    if not system.exists(where):
+        return None
+    return spark.read.parquet(path).select(*[F.col(k).cast("string").alias(k) for k in keys]).distinct()
+
+
+def reload_partitions(df: DataFrame, path: str, keys: Sequence[str], requested: DataFrame | None = None) -> None:
+    """Replaces the partitions ``df`` has rows for, and empties the ``requested`` ones it has none for.
+
+    ``requested`` has the key columns; a row for each partition to empty reaches the driver.
+    """
+    spark = df.sparkSession
+    empty = []
+    if requested is not None:
+        text = [F.col(k).cast("string").alias(k) for k in keys]
+        empty = requested.select(*text).distinct().join(df.select(*text).distinct(), list(keys), "left_anti").collect()
+    replace_partitions(df, path, keys)
+    escape = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+    for row in empty:
+        remove(spark, "/".join([path.rstrip("/"), *[f"{k}={escape(row[k])}" for k in keys]]))
+
+
 def append_aligned(df: DataFrame, path: str, schema: StructType, keys: Sequence[str] = ()) -> None:
     """Appends with exactly the target's columns and types."""
     align_to(df, schema).write.mode("append").partitionBy(*keys).parquet(path)
 
 
-def _single_copies(df: DataFrame) -> DataFrame:
-    """``df`` with ``_copy`` telling apart rows that are equal in every column.
+class _Numbered:
+    """Rows numbered by range partition; the scratch table behind them is removed at the end."""
 
-    Equal rows are counted before the shuffle. The few rows with very many copies are cut into
-    chunks and spread before they are written out again.
-    """
-    counts = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n"))
-    size = COPIES_PER_TASK
-    few = counts.filter(F.col("_n") <= size).withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), "_n")))
-    chunk = F.explode(F.sequence(F.lit(0).cast("bigint"), F.expr(f"(_n - 1) div {size}")))
-    many = counts.filter(F.col("_n") > size).withColumn("_chunk", chunk)
-    many = many.repartition(*[F.col(f"`{c}`") for c in df.columns], "_chunk").withColumn(
-        "_copy",
-        F.explode(F.sequence(F.col("_chunk") * size + 1, F.least("_n", (F.col("_chunk") + 1) * size))),
-    )
-    return few.drop("_n").unionByName(many.drop("_n", "_chunk"))
+    def __init__(self, df: DataFrame, order: Sequence[str]):
+        self.spark, self.path = df.sparkSession, scratch_path(df.sparkSession, "ordered")
+        self.rows = number_rows(df, order, self.path)
+
+    def __enter__(self) -> DataFrame:
+        return self.rows
 
+    def __exit__(self, *_) -> None:
+        remove(self.spark, self.path)
 
-def number_rows(df: DataFrame, order: Sequence[str], unique_order: bool = False) -> DataFrame:
+
+def number_rows(df: DataFrame, order: Sequence[str], kept: str | None = None) -> DataFrame:
     """Adds ``_row``: 1, 2, ... in the given order, without ever holding all rows in one task.
 
     The rows are range-partitioned and sorted, and written to the scratch folder with partition
     number and position. The row number is the position plus the rows of the partitions before;
-    only that last sum, over one row per partition, is taken in a single task. All columns and
-    a copy number follow the order columns in the sort, so the numbering is the same on every
-    run and no run of equal rows is too long for a partition. ``unique_order`` says that the
-    order columns are a key, which spares counting equal rows.
+    only that last sum, over one row per partition, is taken in a single task. All columns
+    follow the order columns in the sort, and then a number made per row, so that a run of equal
+    rows is split over partitions like any other; equal rows may change places without effect.
     """
     spark = df.sparkSession
-    single = df if unique_order else _single_copies(df)
-    rest = [c for c in single.columns if c not in order]
-    placed = single.orderBy(*order, *[F.col(f"`{c}`") for c in rest]).select(
+    rest = [c for c in df.columns if c not in order]
+    placed = df.withColumn("_tie", F.monotonically_increasing_id()).orderBy(
+        *order, *[F.col(f"`{c}`") for c in rest], "_tie"
+    ).select(
         *[F.col(f"`{c}`") for c in df.columns],
         F.spark_partition_id().alias("_part"),
         F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)).alias("_pos"),
     )
-    kept = scratch_path(spark, "ordered")
+    kept = kept or scratch_path(spark, "ordered")
     placed.write.parquet(kept)
     stored = spark.read.schema(placed.schema).parquet(kept)
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
@@ -105,17 +133,17 @@ def _version(rows: int) -> Column:
     return F.expr(f"cast((_row - 1) div {rows} + 1 as int)")
 
 
-def with_file_version(
-    df: DataFrame, order: Sequence[str], rows: int = SLICE_ROWS, unique_order: bool = False
-) -> DataFrame:
-    """Adds ``file_ver``: 1 for the first ``rows`` rows in order, 2 for the next, and so on."""
+def with_file_version(df: DataFrame, order: Sequence[str], rows: int = SLICE_ROWS) -> DataFrame:
+    """Adds ``file_ver``: 1 for the first ``rows`` rows in order, 2 for the next, and so on.
+
+    The numbered rows stay in the scratch folder, as the result reads them lazily.
+    """
     version = _version(rows)
-    return number_rows(df, order, unique_order).withColumn("file_ver", version).drop("_row")
+    return number_rows(df, order).withColumn("file_ver", version).drop("_row")
 
 
 def write_slices(
-    df: DataFrame, path: str, rows: int = SLICE_ROWS, order: Sequence[str] = (),
-    suffix: str = ".csv", unique_order: bool = False,
+    df: DataFrame, path: str, rows: int = SLICE_ROWS, order: Sequence[str] = (), suffix: str = ".csv"
 ) -> None:
     """One ordered CSV file with header per slice, below ``file_ver=n``.
 
@@ -123,16 +151,17 @@ def write_slices(
     ``suffix=".txt"`` names the same content as text files.
     """
     version = _version(rows)
-    (
-        number_rows(df, order, unique_order).withColumn("file_ver", version)
-        .repartition("file_ver").sortWithinPartitions("file_ver", "_row").drop("_row")
-        .write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("file_ver")
-        .option("header", True).option("extension", suffix.lstrip(".")).csv(path)
-    )
+    with _Numbered(df, order) as numbered:
+        (
+            numbered.withColumn("file_ver", version)
+            .repartition("file_ver").sortWithinPartitions("file_ver", "_row").drop("_row")
+            .write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("file_ver")
+            .option("header", True).option("extension", suffix.lstrip(".")).csv(path)
+        )
 
 
 def write_fixed_width(
-    df: DataFrame, path: str, rows: int = SLICE_ROWS, order: Sequence[str] = (), unique_order: bool = False
+    df: DataFrame, path: str, rows: int = SLICE_ROWS, order: Sequence[str] = ()
 ) -> None:
     """One text table per slice: right-aligned columns as wide as the slice needs, one blank between.
 
@@ -147,26 +176,27 @@ def write_fixed_width(
         for i, f in enumerate(df.schema.fields)
     ]
     slots = range(len(cells))
-    body = number_rows(df, order, unique_order).select("_row", version.alias("file_ver"), *cells)
-    widths = body.groupBy("file_ver").agg(
-        *[
-            F.greatest(F.max(F.length(f"_v{i}")), F.lit(len(name))).alias(f"_w{i}")
-            for i, name in enumerate(df.columns)
-        ]
-    )
-    head = widths.select(
-        "file_ver", F.lit(0).cast("bigint").alias("_row"),
-        F.concat_ws(" ", *[F.lpad(F.lit(name), F.col(f"_w{i}"), " ") for i, name in enumerate(df.columns)]).alias("value"),
-    )
-    lines = body.join(widths, "file_ver").select(
-        "file_ver", "_row",
-        F.concat_ws(" ", *[F.lpad(F.col(f"_v{i}"), F.col(f"_w{i}"), " ") for i in slots]).alias("value"),
-    )
-    (
-        head.unionByName(lines)
-        .repartition("file_ver").sortWithinPartitions("file_ver", "_row").drop("_row")
-        .write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("file_ver").text(path)
-    )
+    with _Numbered(df, order) as numbered:
+        body = numbered.select("_row", version.alias("file_ver"), *cells)
+        widths = body.groupBy("file_ver").agg(
+            *[
+                F.greatest(F.max(F.length(f"_v{i}")), F.lit(len(name))).alias(f"_w{i}")
+                for i, name in enumerate(df.columns)
+            ]
+        )
+        head = widths.select(
+            "file_ver", F.lit(0).cast("bigint").alias("_row"),
+            F.concat_ws(" ", *[F.lpad(F.lit(name), F.col(f"_w{i}"), " ") for i, name in enumerate(df.columns)]).alias("value"),
+        )
+        lines = body.join(widths, "file_ver").select(
+            "file_ver", "_row",
+            F.concat_ws(" ", *[F.lpad(F.col(f"_v{i}"), F.col(f"_w{i}"), " ") for i in slots]).alias("value"),
+        )
+        (
+            head.unionByName(lines)
+            .repartition("file_ver").sortWithinPartitions("file_ver", "_row").drop("_row")
+            .write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("file_ver").text(path)
+        )
 
 
 def write_calendar_path(
@@ -174,14 +204,17 @@ def write_calendar_path(
 ) -> None:
     """CSV below ``year=/month=/division=``; a rerun replaces the divisions it has rows for.
 
-    Rows of divisions that are not exported are left out.
+    A department that no exported division has is an error; the caller chooses what to export.
     """
     when = as_date(day)
     placed = df.withColumns({
         "year": F.date_format(when, "yyyy"),
         "month": F.date_format(when, "MMMM"),
-        "division": export_division(F.col(dept)),
-    }).filter("division IS NOT NULL")
+        "division": F.coalesce(
+            export_division(F.col(dept)),
+            F.raise_error(F.concat(F.lit("no export division for department "), F.coalesce(F.col(dept), F.lit("NULL")))),
+        ),
+    })
     _replace(placed, ["year", "month", "division"]).option("header", True).csv(path)
 
 

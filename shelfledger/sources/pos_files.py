@@ -3,23 +3,25 @@
 A drop is a folder tree of files named ``{feed}_{location}_{yyyymmdd}.csv`` in folders that end
 in ``_{yyyymm}``. A file may also be a directory of that name holding part files, as Spark
 writes them; all its parts are one file here.
+
+Lines are read whole and then parsed, so a row that does not fit keeps its line as it stands in
+the file. Headers and rows are parsed by the same CSV rules.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator, Mapping, Sequence
-from functools import reduce
+from collections.abc import Iterator, Sequence
+from urllib.parse import unquote
 
 import pandas as pd
 from pyarrow.fs import FileSystem
 from pyarrow.lib import ArrowException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
 
 from shelfledger.operators.aggregates import first_by_priority
-from shelfledger.operators.columns import snake, snake_case_columns
+from shelfledger.operators.columns import snake
 from shelfledger.session import scratch_path
 
 # Where file and month folder stand in a path.
@@ -30,56 +32,50 @@ MONTH_FOLDER = r"^(.*?_[0-9]{6})/"
 HEAD_BYTES = 4096
 CORRUPT = "_corrupt_record"
 NUMBER = "decimal(18,4)"
+QUOTED_FIELD = r'(^|,)"[^"]*+(?:""[^"]*+)*+"(?=,|$)'
+
+
+def number(text: Column, dtype: str = NUMBER) -> Column:
+    """A number with thousands separators; NULL where the text is none."""
+    return F.regexp_replace(F.trim(text), ",", "").try_cast(dtype)
 
 
-def _csv(spark: SparkSession, on_error: str):
+def _lines(spark: SparkSession, roots: str | Sequence[str], glob: str, on_error: str) -> DataFrame:
+    """Every line after the header of each file, whole: the separator is one that no line has.
+
+    A line that has it all the same comes from the reader's own corrupt column.
+    """
     if on_error not in ("permissive", "fail"):
         raise ValueError(f"on_error must be permissive or fail, got {on_error!r}")
     skip = on_error == "permissive"
-    return (
-        spark.read.option("header", True).option("escape", '"')
-        .option("mode", "PERMISSIVE" if skip else "FAILFAST")
+    rows = (
+        spark.read.option("header", True).option("sep", "\u0001").option("quote", "").option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", CORRUPT)
         .option("ignoreCorruptFiles", skip).option("ignoreMissingFiles", skip)
+        .option("recursiveFileLookup", True).option("pathGlobFilter", glob)
+        .schema(f"line string, {CORRUPT} string").csv(roots)
+    )
+    return rows.select(
+        F.coalesce(CORRUPT, "line").alias("_line"), F.col("_metadata.file_path").alias("_path"),
+        F.col("_metadata.file_modification_time").alias("_modified"),
     )
 
 
-def number(text: Column, dtype: str = NUMBER) -> Column:
-    """A number with thousands separators; NULL where the text is none."""
-    return F.regexp_replace(F.trim(text), ",", "").try_cast(dtype)
-
-
-def _flag_bad_numbers(df: DataFrame, raw_line: Column, numeric: Mapping[str, str], bad: Column) -> DataFrame:
-    """Casts the numeric columns and keeps the line of every row that does not fit."""
-    typed = {c: number(F.col(c), t) for c, t in numeric.items()}
-    unread = [F.col(c).isNotNull() & v.isNull() for c, v in typed.items()]
-    return df.withColumns({
-        CORRUPT: F.when(reduce(lambda a, b: a | b, unread, bad), raw_line),
-        **typed,
-    })
-
+def _field_count(line: Column) -> Column:
+    """Number of fields; 0 where a quoted field does not end."""
+    rest = F.regexp_replace(line, QUOTED_FIELD, "$1")
+    return F.when(rest.rlike('(^|,)"'), 0).otherwise(F.regexp_count(rest, F.lit(",")) + 1)
 
-def read_pos_csv(
-    spark: SparkSession, paths: str | Sequence[str], numeric_cols: Sequence[str],
-    on_error: str = "permissive", number_type: str = NUMBER,
-) -> DataFrame:
-    """CSV files that share one header, with snake_case columns.
 
-    Everything is read as text; ``numeric_cols`` (snake_case) become numbers. Rows that do not
-    fit are kept with their line in ``_corrupt_record``. Spark matches CSV columns by position,
-    so each file's header is checked and another column order is an error; ``read_csv_tree``
-    takes mixed headers.
-    """
-    reader = _csv(spark, on_error).option("enforceSchema", False)
-    names = reader.csv(paths).columns
-    schema = StructType([StructField(c, StringType()) for c in [*names, CORRUPT]])
-    df = reader.schema(schema).option("columnNameOfCorruptRecord", CORRUPT).csv(paths)
-    df = snake_case_columns(df).withColumnRenamed(snake(CORRUPT), CORRUPT)
-    line = F.coalesce(F.col(CORRUPT), F.concat_ws(",", *[F.col(snake(c)) for c in names]))
-    return _flag_bad_numbers(df, line, dict.fromkeys(numeric_cols, number_type), F.col(CORRUPT).isNotNull())
+def _fields(line: Column, width: int) -> Column:
+    """The line's fields as an array of ``width``, NULL where empty or missing."""
+    schema = ", ".join(f"c{i} string" for i in range(width))
+    parsed = F.from_csv(line, schema, {"escape": '"', "mode": "PERMISSIVE"})
+    return F.array(*[parsed[f"c{i}"] for i in range(width)])
 
 
-def _peeked_lines(spark: SparkSession, roots: str | Sequence[str], glob: str) -> DataFrame:
-    """The first line of each file, NULL where a task cannot open the file by itself.
+def _first_lines(spark: SparkSession, roots: str | Sequence[str], glob: str) -> DataFrame:
+    """The first line with content of each file, NULL where a task cannot open the file by itself.
 
     Each task reads no further than the line's end.
     """
@@ -89,12 +85,13 @@ def _peeked_lines(spark: SparkSession, roots: str | Sequence[str], glob: str) ->
         try:
             system, inner = FileSystem.from_uri(re.sub(r"^s3[an]:", "s3:", path))
             with system.open_input_stream(inner) as stream:
-                head = b""
-                while b"\n" not in head and (chunk := stream.read(HEAD_BYTES)):
-                    head += chunk
+                head, more = b"", True
+                while more and b"\n" not in head.lstrip(b"\xef\xbb\xbf\r\n\t "):
+                    more = stream.read(HEAD_BYTES)
+                    head += more
         except (OSError, ArrowException):
             return None
-        return head.partition(b"\n")[0].decode("utf-8-sig", "replace").rstrip("\r")
+        return head.decode("utf-8-sig", "replace").lstrip().partition("\n")[0].rstrip("\r")
 
     def first_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for files in batches:
@@ -107,57 +104,62 @@ def _peeked_lines(spark: SparkSession, roots: str | Sequence[str], glob: str) ->
     return files.mapInPandas(first_lines, "file_path string, header string")
 
 
-def _scanned_lines(spark: SparkSession, roots: str | Sequence[str], glob: str) -> DataFrame:
-    """The first line of each file by a pass over the text, for storage only Spark can open."""
+def _scanned_lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """The first line with content of the given files by Spark's reader, for storage only it can open."""
     return (
-        spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", glob).text(roots)
-        .select("value", "_metadata.file_path", "_metadata.file_block_start")
+        spark.read.text([unquote(p) for p in paths])
+        .select(F.regexp_replace("value", "^\ufeff", "").alias("value"), "_metadata.file_path", "_metadata.file_block_start")
         .withColumn("_at", F.monotonically_increasing_id())
-        .filter("file_block_start = 0")
+        .filter("file_block_start = 0 and trim(value) <> ''")
         .groupBy("file_path").agg(F.min_by("value", "_at").alias("header"))
     )
 
 
-def file_headers(
-    spark: SparkSession, roots: str | Sequence[str], glob: str = "*.csv", peek: bool = True
-) -> DataFrame:
-    """``file_path`` and snake_case column names ``names`` of every file that is not empty.
+def file_headers(spark: SparkSession, roots: str | Sequence[str], glob: str = "*.csv") -> DataFrame:
+    """``file_path`` and snake_case column names ``names`` of every file that is not blank.
 
     The list is stored in the scratch folder, so that its size is known to the joins it goes
-    into. Tasks open the files they are given and read one line of each. Where the storage is
-    one only Spark can open, or with ``peek=False``, Spark's reader scans the text instead,
-    which reads everything.
+    into. Tasks open the files they are given and read one line of each; only the files they
+    cannot open are read through Spark. Of equal names in a header, the second is numbered
+    ``name_2``, and so on.
     """
-    kept = scratch_path(spark, "headers")
-    if peek:
-        _peeked_lines(spark, roots, glob).write.parquet(kept)
-        peek = spark.read.parquet(kept).filter("header IS NULL").isEmpty()
-    if not peek:
-        kept = scratch_path(spark, "headers")
-        _scanned_lines(spark, roots, glob).write.parquet(kept)
-    tidy = lambda x: F.regexp_replace(F.lower(F.trim(F.regexp_replace(x, '^"|"$', ""))), "[ -]", "_")
-    return (
-        spark.read.schema("file_path string, header string").parquet(kept).filter("header <> ''")
-        .select("file_path", F.transform(F.split("header", ","), tidy).alias("names"))
-    )
+    schema, kept = "file_path string, header string", scratch_path(spark, "headers")
+    _first_lines(spark, roots, glob).write.parquet(kept)
+    found = spark.read.schema(schema).parquet(kept)
+    closed = [r.file_path for r in found.filter("header IS NULL").collect()]
+    if closed:
+        late = scratch_path(spark, "headers")
+        _scanned_lines(spark, closed).write.parquet(late)
+        found = found.union(spark.read.schema(schema).parquet(late))
+    found = found.filter("trim(header) <> ''")
+    width = found.agg(F.max(_field_count(F.col("header")))).first()[0] or 1
+    tidy = lambda x: F.regexp_replace(F.lower(F.trim(F.coalesce(x, F.lit("")))), "[ -]", "_")
+    names = F.transform(F.slice(_fields(F.col("header"), width), F.lit(1), _field_count(F.col("header"))), tidy)
+    nth = lambda x, i: F.size(F.filter(F.slice("names", F.lit(1), i), lambda y: y == x)) + 1
+    return found.select("file_path", names.alias("names")).select("file_path", F.transform(
+        "names", lambda x, i: F.when(nth(x, i) > 1, F.concat(x, F.lit("_"), nth(x, i).cast("string"))).otherwise(x)
+    ).alias("names"))
 
 
 def read_csv_tree(
     spark: SparkSession, roots: str | Sequence[str], columns: Sequence[str] | None = None,
     numeric_cols: Sequence[str] = (), glob: str = "*.csv", header: Sequence[str] | None = None,
-    on_error: str = "permissive", number_type: str = NUMBER, peek: bool = True,
+    on_error: str = "permissive", number_type: str = NUMBER,
 ) -> DataFrame:
     """Every CSV file below the roots, matched by header name, whatever the column order.
 
     ``columns`` are the wanted snake_case names, by default every name found; a column a file
     lacks is NULL. With ``header`` given, all files are taken to have it and none is looked at
-    beforehand. Otherwise the headers are written to the scratch folder first, where their size
-    is known; if all agree the scan maps positions directly, else each row is mapped by its
-    file's header. ``_path`` and ``_modified`` carry the file's metadata.
+    beforehand. Otherwise the headers are written to the scratch folder first; if all agree,
+    positions are fixed, else each row is mapped by its file's header, and both read rows alike.
+
+    Rows with too few or too many fields or with an unreadable number are kept, with their line
+    in ``_corrupt_record``; with ``on_error="fail"`` the first one is an error, as is a file that
+    cannot be read. ``_path`` and ``_modified`` carry the file's metadata.
     """
     layouts = None
     if header is None:
-        layouts = file_headers(spark, roots, glob, peek)
+        layouts = file_headers(spark, roots, glob)
         common = layouts.select("names").distinct().limit(2).collect()
         if len(common) == 1:
             header = common[0].names
@@ -166,42 +168,60 @@ def read_csv_tree(
     if header is not None:
         width, found = len(header), list(header)
     else:
-        width = layouts.agg(F.max(F.size("names"))).first()[0] or 0
+        width = layouts.agg(F.max(F.size("names"))).first()[0] or 1
         found = [] if columns else sorted(
             r[0] for r in layouts.select(F.explode("names")).distinct().collect()
         )
     wanted = list(columns) if columns else found
 
-    slots = [f"_c{i}" for i in range(width + 1)]  # the last one shows a field too many
-    rows = (
-        _csv(spark, on_error).option("mode", "PERMISSIVE")
-        .option("recursiveFileLookup", True).option("pathGlobFilter", glob)
-        .schema(StructType([StructField(c, StringType()) for c in slots])).csv(roots)
-        .select(*slots, F.col("_metadata.file_path").alias("_path"),
-                F.col("_metadata.file_modification_time").alias("_modified"))
-    )
+    rows = _lines(spark, roots, glob, on_error)
     if header is not None:
-        at = {c: header.index(c) for c in wanted if c in header}
-        picked = [(F.col(slots[at[c]]) if c in at else F.lit(None).cast("string")).alias(c) for c in wanted]
-        too_many = F.col(slots[width]).isNotNull()
+        places = F.array(*[F.lit(header.index(c) if c in header else None).cast("int") for c in wanted])
+        rows = rows.withColumns({"_width": F.lit(width), "_at": places})
     else:
-        places = layouts.select(
-            F.col("file_path").alias("_of"), F.size("names").alias("_width"),
-            F.transform(F.array(*[F.lit(c) for c in wanted]), lambda c: F.array_position("names", c).cast("int") - 1).alias("_at"),
+        names = F.transform(F.array(*[F.lit(c) for c in wanted]), lambda c: F.array_position("names", c).cast("int") - 1)
+        rows = rows.join(
+            layouts.select(F.col("file_path").alias("_of"), F.size("names").alias("_width"), names.alias("_at")),
+            F.col("_path") == F.col("_of"), "left",
         )
-        rows = rows.join(places, rows["_path"] == places["_of"], "left")
-        values = F.array(*slots)
-        picked = [F.get(values, F.col("_at")[i]).alias(c) for i, c in enumerate(wanted)]
-        too_many = F.exists(F.slice(values, F.col("_width") + 1, width + 1), lambda v: v.isNotNull())
-    line = F.concat_ws(",", *slots).alias("_line")
-    out = rows.select(*picked, "_path", "_modified", line, too_many.alias("_too_many"))
-    numeric = {c: number_type for c in numeric_cols if c in wanted}
-    flagged = _flag_bad_numbers(out, F.col("_line"), numeric, F.col("_too_many"))
-    return flagged.drop("_line", "_too_many")
+    values = rows.select("_line", "_path", "_modified", "_width", "_at", _fields(F.col("_line"), width).alias("_values"))
+    place = lambda i: F.get("_at", F.lit(i))
+    out = values.select(
+        "_line", "_path", "_modified", F.coalesce(_field_count(F.col("_line")) != F.col("_width"), F.lit(True)).alias("_bad"),
+        *[F.when(place(i) >= 0, F.get("_values", place(i))).alias(c) for i, c in enumerate(wanted)],
+    )
+    typed = {c: number(F.col(c), number_type) for c in numeric_cols if c in wanted}
+    bad = F.col("_bad")
+    for c, v in typed.items():
+        bad = bad | (F.col(c).isNotNull() & v.isNull())
+    out = out.withColumn("_bad", bad)
+    if on_error == "fail":
+        message = F.concat(F.lit("row does not fit its header: "), "_line", F.lit(" in "), "_path")
+        out = out.filter(F.when(F.col("_bad"), F.raise_error(message).cast("boolean")).otherwise(True))
+    return out.select(
+        *[typed[c].alias(c) if c in typed else F.col(c) for c in wanted], "_path", "_modified",
+        F.when(F.col("_bad"), F.col("_line")).alias(CORRUPT),
+    )
+
+
+def read_pos_csv(
+    spark: SparkSession, paths: str | Sequence[str], numeric_cols: Sequence[str],
+    on_error: str = "permissive", number_type: str = NUMBER,
+) -> DataFrame:
+    """CSV files that share one header, with snake_case columns; another header is an error.
+
+    Rows are read as ``read_csv_tree`` reads them, which takes mixed headers.
+    """
+    layouts = file_headers(spark, paths, "*").select("names").distinct().limit(2).collect()
+    if len(layouts) > 1:
+        raise ValueError(f"more than one header: {layouts[0].names} and {layouts[1].names}")
+    header = layouts[0].names if layouts else []
+    rows = read_csv_tree(spark, paths, None, numeric_cols, "*", header, on_error, number_type)
+    return rows.drop("_path", "_modified")
 
 
 def with_filename_columns(
-    df: DataFrame, path: str = "_path", sep: str = "_", parts: Mapping[str, int] | None = None
+    df: DataFrame, path: str = "_path", sep: str = "_", parts: dict[str, int] | None = None
 ) -> DataFrame:
     """Adds columns cut from the file's name; ``date`` is parsed as yyyymmdd."""
     stem = F.split(F.regexp_extract(F.col(path), FILE_STEM, 1), sep)
@@ -212,20 +232,23 @@ def with_filename_columns(
 
 
 def list_files(spark: SparkSession, roots: str | Sequence[str], glob: str = "*.csv") -> DataFrame:
-    """``source``, ``name``, ``folder`` and ``modified`` of every file, without reading any content."""
+    """``source``, ``name``, ``folder`` and ``modified`` of every file, without reading any content.
+
+    A file not named as a drop's files are stands under its own path.
+    """
     files = (
         spark.read.format("binaryFile").option("recursiveFileLookup", True)
         .option("pathGlobFilter", glob).load(roots)
         .select("path", "modificationTime", "_metadata.file_path")
     )
+    named = lambda column, pattern, other: F.coalesce(F.nullif(F.regexp_extract(column, pattern, 1), F.lit("")), F.col(other))
     return (
         files.groupBy(
-            F.regexp_extract("file_path", FILE_SOURCE, 1).alias("source"),
-            F.regexp_extract("path", FILE_STEM, 1).alias("name"),
+            named("file_path", FILE_SOURCE, "file_path").alias("source"),
+            named("path", FILE_STEM, "path").alias("name"),
             F.regexp_extract("path", MONTH_FOLDER, 1).alias("folder"),
         )
         .agg(F.max("modificationTime").alias("modified"))
-        .filter("name <> ''")
     )
 
 
@@ -234,20 +257,9 @@ def latest_version(df: DataFrame, name: str = "name", modified: str = "modified"
     return first_by_priority(df, [name], [F.col(modified).desc()])
 
 
-def keep_latest_files(spark: SparkSession, rows: DataFrame, files: DataFrame) -> DataFrame:
-    """Rows of the newest file per name.
-
-    The chosen list is written to the scratch folder, so that its size is known when Spark
-    decides how to join it.
-    """
-    kept = scratch_path(spark, "latest")
-    latest_version(files).select("source").write.parquet(kept)
-    chosen = spark.read.parquet(kept)
-    return (
-        rows.withColumn("source", F.regexp_extract("_path", FILE_SOURCE, 1))
-        .join(chosen, "source", "left_semi")
-        .drop("source")
-    )
+def chosen_paths(files: DataFrame) -> list[str]:
+    """Paths of the listed files to hand to a reader, so that no other file is opened."""
+    return sorted(unquote(r.source) for r in files.select("source").distinct().collect())
 
 
 def reject_counts(df: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -1,3 +1,4 @@
+import os
 from datetime import date
 
 import pytest
@@ -13,8 +14,7 @@ def test_slice_length_is_checked(spark, rows):
         export.with_file_version(spark.range(3), ["id"], rows)
 
 
-def test_numbering_with_a_third_of_equal_rows(spark, monkeypatch):
-    monkeypatch.setattr(export, "COPIES_PER_TASK", 7)
+def test_numbering_with_a_third_of_equal_rows(spark):
     df = spark.range(3000).select(
         F.when(F.col("id") % 3 == 0, 500).otherwise(F.col("id") % 1000).alias("k"),
         F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("v"), (F.col("id") % 17).cast("string"))).alias("v"))
@@ -27,7 +27,7 @@ def test_numbering_with_a_third_of_equal_rows(spark, monkeypatch):
 def test_slices_split_the_input_exactly(spark, tmp_path):
     df = spark.range(1050).select((F.col("id") * 7919 % 1050).alias("n"), F.lit('a "quoted", text').alias("t"))
     path = str(tmp_path / "out")
-    export.write_slices(df, path, 100, ["n"], unique_order=True)
+    export.write_slices(df, path, 100, ["n"])
     files = sorted(tmp_path.glob("out/file_ver=*/*.csv"))
     assert len(files) == 11
     for f in files:
@@ -39,11 +39,29 @@ def test_slices_split_the_input_exactly(spark, tmp_path):
     assert len(list(tmp_path.glob("out/file_ver=*/*.txt"))) == 1 and not list(tmp_path.glob("out/*/*.csv"))
 
 
-def test_unique_and_counted_numbering_agree(spark):
+def test_versions_follow_the_order(spark):
     df = spark.range(500).select((F.col("id") * 31 % 500).alias("n"))
     a = {r.n: r.file_ver for r in export.with_file_version(df, ["n"], 60).collect()}
-    b = {r.n: r.file_ver for r in export.with_file_version(df, ["n"], 60, unique_order=True).collect()}
-    assert a == b and a[0] == 1 and a[499] == 9
+    assert a == {n: n // 60 + 1 for n in range(500)}
+
+
+def test_exports_leave_no_scratch(spark, tmp_path):
+    kept = spark.conf.get("spark.checkpoint.dir")
+    before = {p for p in os.listdir(kept) if p.startswith("ordered")}
+    export.write_slices(spark.range(50), str(tmp_path / "s"), 10, ["id"])
+    export.write_fixed_width(spark.range(50), str(tmp_path / "f"), 10, ["id"])
+    assert {p for p in os.listdir(kept) if p.startswith("ordered")} == before
+
+
+def test_a_run_of_equal_rows_is_split_over_tasks(spark, tmp_path):
+    kept = str(tmp_path / "kept")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        plan = export.number_rows(spark.range(20_000).select(F.lit(1).alias("k")), ["k"], kept)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert plan.select(F.count_distinct("_row")).first()[0] == 20_000
+    assert spark.read.parquet(kept).groupBy("_part").count().filter("count > 1000").count() >= 7
 
 
 def test_empty_export(spark, tmp_path):
@@ -84,12 +102,14 @@ def test_replace_whole_locations(spark, tmp_path):
 
 def test_calendar_path(spark, tmp_path):
     path = str(tmp_path / "c")
-    df = spark.createDataFrame([("10-Dry", 1), ("50-Care", 2), ("70-None", 3)], "Dept string, v int")
+    df = spark.createDataFrame([("10-Dry", 1), ("50-Care", 2)], "Dept string, v int")
     export.write_calendar_path(df, path, "2025-03-16")
     export.write_calendar_path(df.filter("v = 1").withColumn("v", F.lit(7)), path, "2025-03-16")
     got = spark.read.option("header", True).csv(path).collect()
     assert sorted((r.v, str(r.year), r.month, r.division) for r in got) == [
         ("2", "2025", "March", "5 - HEALTH & BEAUTY"), ("7", "2025", "March", "1 - GROCERY")]
+    with pytest.raises(Exception, match="no export division"):
+        export.write_calendar_path(spark.createDataFrame([("70-None", 3)], "Dept string, v int"), str(tmp_path / "d"), "2025-03-16")
     assert spark.range(1).select(export.month_folder("2025-03-16")).first()[0] == "202503 - March"
 
 

@@ -37,11 +37,10 @@ def test_one_layout_reader_refuses_another_column_order(spark, tmp_path):
         pos_files.read_pos_csv(spark, str(tmp_path / "f"), [], on_error="fail").collect()
 
 
-@pytest.mark.parametrize("peek", [True, False])
-def test_tree_matches_columns_by_header(spark, tmp_path, rows, peek):
+def test_tree_matches_columns_by_header(spark, tmp_path, rows):
     _file(tmp_path, "SRP_202408", "SRP_1216_20240801.csv", 'PLU Number,Total Qty-Sales,Total Sales\n1,"1,000",2\n')
     _file(tmp_path, "SRP_202409", "SRP_1217_20240901.csv", '"Total Sales",Remarks, plu-number \n5,ok,2\n6,"a, b",3,extra\n')
-    df = pos_files.with_filename_columns(pos_files.read_csv_tree(spark, str(tmp_path), COLUMNS, NUMERIC, peek=peek))
+    df = pos_files.with_filename_columns(pos_files.read_csv_tree(spark, str(tmp_path), COLUMNS, NUMERIC))
     got = rows(df.select("location", "date", *COLUMNS))
     assert got == [
         ("1216", date(2024, 8, 1), "1", Decimal("1000"), Decimal(2)),
@@ -68,7 +67,11 @@ def test_newest_file_of_a_name_wins(spark, tmp_path):
     _file(tmp_path, "SRP_202408", "SRP_1216_20240801.csv", text.format(1), age=50)
     _file(tmp_path, "redo/SRP_202408", "SRP_1216_20240801.csv", text.format(2), age=10)
     _file(tmp_path, "SRP_202408", "SRP_1217_20240801.csv", text.format(3), age=90)
-    got = pos_ingest.read_drop(spark, str(tmp_path), COLUMNS, NUMERIC).collect()
+    every = pos_ingest.read_drop(spark, str(tmp_path), COLUMNS, NUMERIC)
+    assert every.count() == 3
+    latest = pos_ingest.read_drop(spark, str(tmp_path), COLUMNS, NUMERIC, latest_only=True)
+    assert len(latest.inputFiles()) == 2
+    got = latest.collect()
     assert sorted((r.location, int(r.total_qty_sales)) for r in got) == [("1216", 2), ("1217", 3)]
 
 
@@ -113,3 +116,81 @@ def test_storage_tasks_cannot_open_is_scanned(spark, tmp_path, monkeypatch):
 
     monkeypatch.setattr(pos_files, "FileSystem", Closed)
     assert [r.names for r in pos_files.file_headers(spark, str(tmp_path)).collect()] == [["a", "b"]]
+
+
+LINES = '"PLU, Number",Descriptor,Qty\n1,"a ""b"", c",2\n2,x,3,4,5,6\n3,y\n1,,n/a\n7,"open,8\n'
+
+
+def _read(spark, root, on_error="permissive"):
+    df = pos_files.read_csv_tree(spark, str(root), ["plu,_number", "descriptor", "qty"], ["qty"], on_error=on_error)
+    return sorted(((r[0], r[1], None if r[2] is None else int(r[2]), r[pos_files.CORRUPT]) for r in df.collect()), key=repr)
+
+
+def test_quoted_headers_and_whole_reject_lines(spark, tmp_path):
+    _file(tmp_path, "a", "x.csv", LINES)
+    one = _read(spark, tmp_path)
+    assert one == sorted([
+        ("1", 'a "b", c', 2, None), ("2", "x", 3, "2,x,3,4,5,6"), ("3", "y", None, "3,y"), ("1", None, None, "1,,n/a"),
+        next(r for r in one if r[3] == '7,"open,8'),
+    ], key=repr)
+    _file(tmp_path, "b", "y.csv", "\n  \nqty,\"PLU, Number\"\n5,9\n")
+    both = _read(spark, tmp_path)
+    assert sorted(both, key=repr) == sorted([*one, ("9", None, 5, None)], key=repr)
+
+
+def test_blank_first_lines_in_one_layout(spark, tmp_path):
+    _file(tmp_path, "a", "x.csv", '\n\n"PLU, Number",Descriptor,Qty\n1,a,2\n')
+    assert _read(spark, tmp_path) == [("1", "a", 2, None)]
+
+
+def test_fail_mode_fails_on_bad_rows(spark, tmp_path):
+    _file(tmp_path, "a", "x.csv", LINES)
+    with pytest.raises(Exception, match="does not fit its header"):
+        _read(spark, tmp_path, "fail")
+    with pytest.raises(Exception, match="does not fit its header"):
+        pos_files.read_csv_tree(spark, str(tmp_path), ["descriptor"], on_error="fail").select("descriptor").collect()
+
+
+def test_equal_names_are_numbered(spark, tmp_path):
+    _file(tmp_path, "a", "x.csv", "A,A,B,a\n1,2,3,4\n")
+    df = pos_files.read_csv_tree(spark, str(tmp_path))
+    assert [(r.a, r.a_2, r.a_3, r.b) for r in df.collect()] == [("1", "2", "4", "3")]
+
+
+def test_unnamed_files_are_rejects(spark, tmp_path):
+    drop, target = tmp_path / "drop", str(tmp_path / "t")
+    text = "PLU Number,Total Qty-Sales,Total Sales\n1,{},0\n"
+    _file(drop, "SRP_202408", "SRP_1216_20240801.csv", text.format(1))
+    _file(drop, "SRP_202408", "notes.csv", text.format(2))
+    for latest in (False, True):
+        rejects = pos_ingest.ingest(spark, str(drop), target, COLUMNS, NUMERIC, latest_only=latest).collect()
+        assert [(r._path.rsplit("/", 1)[1], r.rows_read, r.rows_rejected) for r in rejects] == [("notes.csv", 1, 1)]
+        assert spark.read.parquet(target).count() == 1
+
+
+def test_ingest_replaces_whole_locations_or_single_days(spark, tmp_path):
+    text = "PLU Number,Total Qty-Sales,Total Sales\n1,{},0\n"
+    first, second, target = tmp_path / "1", tmp_path / "2", str(tmp_path / "t")
+    for name in ("SRP_1216_20240801.csv", "SRP_1216_20240802.csv", "SRP_1217_20240801.csv"):
+        _file(first, "SRP_202408", name, text.format(1))
+    _file(second, "SRP_202408", "SRP_1216_20240802.csv", text.format(5))
+    days = lambda: sorted((str(r.location), str(r.date), int(r.total_qty_sales)) for r in spark.read.parquet(target).collect())
+    pos_ingest.ingest(spark, str(first), target, COLUMNS, NUMERIC)
+    pos_ingest.ingest(spark, str(second), target, COLUMNS, NUMERIC, whole_locations=False)
+    assert days() == [("1216", "2024-08-01", 1), ("1216", "2024-08-02", 5), ("1217", "2024-08-01", 1)]
+    pos_ingest.ingest(spark, str(second), target, COLUMNS, NUMERIC)
+    assert days() == [("1216", "2024-08-02", 5), ("1217", "2024-08-01", 1)]
+
+
+def test_backfill_empties_a_day_whose_file_has_no_rows(spark, tmp_path):
+    drop, target = tmp_path / "drop", str(tmp_path / "t")
+    text = "PLU Number,Total Qty-Sales,Total Sales\n"
+    path = _file(drop, "SRP_202408", "SRP_1216_20240801.csv", text + "1,2,3\n")
+    _file(drop, "SRP_202408", "SRP_1217_20240801.csv", text + "1,2,3\n")
+    pos_ingest.ingest(spark, str(drop), target, COLUMNS, NUMERIC)
+    with open(path, "w") as f:
+        f.write(text)
+    asked = spark.createDataFrame([(date(2024, 8, 1), "1216")], "date date, location string")
+    status = pos_ingest.backfill(spark, str(drop), target, asked, COLUMNS, NUMERIC, "total_qty_sales").collect()
+    assert [r.status for r in status] == ["Verification failed"]
+    assert [str(r.location) for r in spark.read.parquet(target).collect()] == ["1217"]

@@ -101,6 +101,16 @@ def test_commercial_views(tables, spark):
     assert [spark.table(v).count() for v in made] == [6, 1]
 
 
+def test_division_is_cut_before_anything_is_summed(tables):
+    view = sales.unified_sales(tables)
+    for division in ("1", "7"):
+        cut = commercial.division_sales(tables, division, "month", "2030-01-01")
+        assert sorted(map(repr, cut.collect())) == sorted(map(repr, commercial.commercial(view, division, "month", "2030-01-01").collect()))
+    plan = cut._jdf.queryExecution().optimizedPlan().toString()
+    below = plan[plan.index("Aggregate"):]
+    assert plan.count("LeftSemi") == 2 and below.count("StartsWith(dept") >= 3
+
+
 def test_stored_view(tables, spark):
     sales.unified_sales(tables).toDF(*[f"c{i}" if i not in (6, 11) else ("BizDate", "Dept")[i == 11] for i in range(37)]).write.mode("overwrite").saveAsTable("stored_sales")
     for horizon, rows in (("month", 1), ("day", 0), ("week", 0)):
@@ -111,10 +121,10 @@ def test_stored_view(tables, spark):
 
 
 def test_landlord_leaves_out_unknown_and_excluded_items(tables):
-    (row,) = landlord.landlord_eod(tables, "1001", D1).collect()
-    assert (row.EOD_ID, row.EOD_DATE, row.TOTAL_SALES, row.GROSS_SALES, row.TRAN_COUNT) == ("ISMERCATO_20241230", "30-12-2024", 39.0, 40.0, 2)
-    assert landlord.landlord_eod(tables, "1009").count() == 0
-    assert landlord.landlord_eod(tables, "1001", excluded=("1",)).count() == 0
+    (row,) = landlord.landlord_eod(tables, "1001", "SHOP", D1).collect()
+    assert (row.EOD_ID, row.EOD_DATE, row.TOTAL_SALES, row.GROSS_SALES, row.TRAN_COUNT) == ("SHOP_20241230", "30-12-2024", 39.0, 40.0, 2)
+    assert landlord.landlord_eod(tables, "1009", "SHOP").count() == 0
+    assert landlord.landlord_eod(tables, "1001", "SHOP", excluded=("1",)).count() == 0
 
 
 def test_rolling_sales_stand_without_a_sale(spark):
