@@ -8,14 +8,16 @@ import uuid
 from pyspark.sql import SparkSession
 
 # Settings the library's plans count on: adaptive execution re-plans joins and splits
-# skewed partitions at run time, and partition overwrite must only touch the partitions
-# present in the data being written.
+# skewed partitions at run time, partition overwrite must only touch the partitions present in
+# the data being written, and rows partitioned by one join key need no other shuffle for a join
+# on that key and more.
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
     "spark.sql.session.timeZone": "UTC",
 }
 

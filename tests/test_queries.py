@@ -1,6 +1,7 @@
 """Every registered query against its SQL on DuckDB, at the smallest scale."""
 
 import os
+import re
 
 import pytest
 
@@ -44,3 +45,15 @@ def test_plans_have_no_cross_join_and_no_python(spark, name):
     plan = QUERIES[name](spark, DATA)._jdf.queryExecution().executedPlan().toString()
     for word in ("CartesianProduct", "BroadcastNestedLoopJoin", "ArrowEvalPython", "BatchEvalPython"):
         assert word not in plan
+
+
+@pytest.mark.parametrize("name", ["rpt_po_gr", "rpt_po_gr_dc"])
+def test_one_partitioning_by_order_number_serves_all_joins(spark, name):
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = QUERIES[name](spark, DATA)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    by_order = [keys for keys in re.findall(r"hashpartitioning\(([^)]*)\)", plan) if "POM_RefNo" in keys or "POC_RefNo" in keys]
+    assert by_order and all("Item" not in keys and "Line" not in keys for keys in by_order)
