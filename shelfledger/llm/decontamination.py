@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from shelfledger.llm.chars import code_points, tables
 from shelfledger.llm.common import small, stored
-from shelfledger.llm.words import PIECE, _upto, mix, slices, text_bytes
+from shelfledger.llm.words import PIECE, mix, slices, span_hashes, text_bytes
 
 WINDOW = 8
 LEAST_WORDS = 4  # a shorter item is no evidence of anything and flags nothing
@@ -60,16 +60,7 @@ def tokens(offsets: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarra
     starts, ends = edges[:-1][inside], edges[1:][inside]
     low = t["lower"][codes]
     value = mix(low.astype(np.uint64) * np.uint64(2) + np.uint64(1))
-    hashes = np.empty(len(starts), np.uint64)
-    groups = np.flatnonzero(np.diff(starts // PIECE)) + 1
-    for i, j in zip([0, *groups], [*groups, len(starts)]):
-        if i < j:
-            lo, hi = starts[i], ends[j - 1]
-            up, down = _upto(hi - lo + 1)
-            sums = np.zeros(hi - lo + 1, np.uint64)
-            np.cumsum(value[lo:hi] * up[: hi - lo], dtype=np.uint64, out=sums[1:])
-            hashes[i:j] = (sums[ends[i:j] - lo] - sums[starts[i:j] - lo]) * down[starts[i:j] - lo]
-    hashes = mix(hashes)
+    hashes = span_hashes(value, starts, ends)
     counts = np.searchsorted(starts, at[1:], "left") - np.searchsorted(starts, at[:-1], "left")
     # digits right behind letters belong to a name or code and are no number
     number = (kind[starts] >= 2) & ~((starts > 0) & (kind[starts - 1] == 1) & ~np.isin(starts, at))

@@ -64,6 +64,21 @@ def _upto(n: int) -> list[np.ndarray]:
     return _powers
 
 
+def span_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A hash of each span of ``values``, from running sums over pieces of the batch."""
+    out = np.empty(len(starts), np.uint64)
+    groups = np.flatnonzero(np.diff(starts // PIECE)) + 1
+    for i, j in zip([0, *groups], [*groups, len(starts)]):
+        if i == j:
+            continue
+        lo, hi = starts[i], ends[j - 1]
+        up, down = _upto(hi - lo + 1)
+        sums = np.zeros(hi - lo + 1, np.uint64)
+        np.cumsum(values[lo:hi] * up[: hi - lo], dtype=np.uint64, out=sums[1:])
+        out[i:j] = (sums[ends[i:j] - lo] - sums[starts[i:j] - lo]) * down[starts[i:j] - lo]
+    return mix(out)
+
+
 def words(offsets: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words in order, and the number of words of each row."""
     n = len(data)
@@ -78,18 +93,8 @@ def words(offsets: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray
     after[cuts[cuts > 0] - 1] = False
     starts = np.flatnonzero(inside & ~before)
     ends = np.flatnonzero(inside & ~after) + 1
-    out = np.empty(len(starts), np.uint64)
-    groups = np.flatnonzero(np.diff(starts // PIECE)) + 1
-    for i, j in zip([0, *groups], [*groups, len(starts)]):
-        if i == j:
-            continue
-        lo, hi = starts[i], ends[j - 1]
-        up, down = _upto(hi - lo + 1)
-        sums = np.zeros(hi - lo + 1, np.uint64)
-        np.cumsum(_BYTE[data[lo:hi]] * up[: hi - lo], dtype=np.uint64, out=sums[1:])
-        out[i:j] = (sums[ends[i:j] - lo] - sums[starts[i:j] - lo]) * down[starts[i:j] - lo]
     counts = np.searchsorted(starts, offsets[1:], "left") - np.searchsorted(starts, offsets[:-1], "left")
-    return mix(out), counts
+    return span_hashes(_BYTE[data], starts, ends), counts
 
 
 def shingle_sets(hashes: np.ndarray, counts: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
