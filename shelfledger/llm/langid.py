@@ -50,7 +50,7 @@ def ngrams(offsets: np.ndarray, data: np.ndarray) -> Iterator[tuple[np.ndarray,
     seq = np.insert(letters, at[:-1], np.uint32(0))
     row = np.repeat(np.arange(rows), np.diff(at) + 1)
     keep = np.ones(len(seq), bool)
-    keep[1:] = (seq[1:] != 0) | (seq[:-1] != 0)
+    keep[1:] = (seq[1:] != 0) | (seq[:-1] != 0) | (row[1:] != row[:-1])
     seq, row = np.append(seq[keep], np.zeros(4, np.uint32)).astype(np.uint64), np.append(row[keep], [-1] * 4)
     for i in range(0, len(seq) - 4, PIECE):
         j = min(i + PIECE, len(seq) - 4)
