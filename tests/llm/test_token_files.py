@@ -32,15 +32,14 @@ def test_planes_round_trip():
 
 
 @pytest.mark.parametrize("chunk", [7, 1 << 16])
-def test_files_read_back_as_encoded(spark, docs, tmp_path, monkeypatch, chunk):
-    monkeypatch.setattr(token_files, "CHUNK_IDS", chunk)
+def test_files_read_back_as_encoded(spark, docs, tmp_path, chunk):
     rng = random.Random(chunk)
     rows = [(i, " ".join(rng.choice(["the", "Ünï", "code\n", "ζ", "42"]) for _ in range(rng.choice([0, 1, 9, 60])))) for i in range(-20, 60)]
     rows += [(70, None), (71, ""), (72, "\n\n x"), (73, "a" * 20000)]
     shuffled = rows[:]
     rng.shuffle(shuffled)
     path = str(tmp_path / "t")
-    token_files.write(docs(shuffled).withColumnRenamed("lang", "shard"), path, TOKENIZER)
+    token_files.write(docs(shuffled).withColumnRenamed("lang", "shard"), path, TOKENIZER, chunk_ids=chunk)
     assert sorted(tuple(r) for r in token_files.read(spark, path).collect()) == sorted(want(rows))
     index = token_files.index(spark, path)
     assert "planes" not in index.columns and index.agg({"n": "sum"}).first()[0] == sum(r[2] for r in want(rows))
@@ -70,3 +69,18 @@ def test_damaged_chunk_is_noticed(spark, docs, tmp_path):
     spark.read.parquet(path).selectExpr("* except (check)", "check + 1 AS check").write.parquet(other)
     with pytest.raises(Exception, match="differ from their check"):
         token_files.read(spark, other).collect()
+
+
+def test_encoding_by_distinct_words_equals_encoding_whole_texts():
+    rng = random.Random(1)
+    parts = ["a", "B", " ", "  ", "\n", "\t", " ", " ", "\x1c", "é", "'s", "'", "12", "!", "\u3000", "<|endoftext|>", "“", "中", "\r\n", "\x85"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randrange(30))) for _ in range(5000)] + ["", " ", "a ", "a  ", " a"]
+    raw = [t.encode() for t in texts]
+    offsets = np.concatenate([[0], np.cumsum([len(x) for x in raw])])
+    encoder = token_files.Encoder(TOKENIZER)
+    for _ in range(2):
+        ids, counts = encoder.encode(offsets, np.frombuffer(b"".join(raw), np.uint8))
+        assert [list(x) for x in np.split(ids, np.cumsum(counts)[:-1])] == [
+            e.ids for e in encoder.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        ]
+        encoder.forget()
