@@ -27,12 +27,13 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from shelfledger.llm.words import slices, text_bytes
+from shelfledger.llm.words import mix, slices, span_hashes, text_bytes
 
 CHUNK_IDS = 1 << 16
 END_ID = 2
 LEVEL = 3
-BATCH_BYTES = 1 << 19
+BATCH_BYTES = 1 << 20
+KNOWN_WORDS = 1_000_000  # distinct words an encoder remembers, in about 200 MB, before it starts anew
 SCHEMA = """shard int, chunk int, first bigint, n bigint, doc_ids array<bigint>, doc_first array<bigint>,
     doc_tokens array<bigint>, check bigint, planes array<binary>"""
 
@@ -53,17 +54,77 @@ def from_planes(planes: list[bytes], n: int) -> np.ndarray:
     return out.view("<u4").ravel()
 
 
-@cache
-def _encoder(path: str):
-    import os
+_VALUE = mix(np.arange(1, 257, dtype=np.uint64)) | np.uint64(1)
+# Bytes after a blank that may begin white space: there the text isn't cut.
+_MAY_BE_GAP = np.zeros(256, bool)
+_MAY_BE_GAP[[*range(9, 14), *range(28, 33), 0xC2, 0xE1, 0xE2, 0xE3]] = True
+
 
-    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-    from tokenizers import Tokenizer
+class Encoder:
+    """Encodes texts by their distinct words.
+
+    A byte-level tokenizer's splitting rule never joins a blank to what stands before it if the next
+    character is no white space, and looks no further back. So a text is cut before such blanks, each
+    distinct piece is encoded once by the tokenizer, and the ids are put together by array indexing.
+    """
 
-    return Tokenizer.from_file(path)
+    def __init__(self, path: str):
+        import os
+
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+        self.forget()
+
+    def forget(self) -> None:
+        self.place: dict[bytes, int] = {}
+        self.ids, self.used = np.zeros(1 << 20, np.uint32), 0
+        self.start, self.length = np.zeros(1 << 18, np.int64), np.zeros(1 << 18, np.int64)
+
+    def _learn(self, pieces: list[bytes]) -> None:
+        texts = [p.decode(errors="replace") for p in pieces]
+        for piece, found in zip(pieces, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
+            ids, k = found.ids, len(self.place)
+            while self.used + len(ids) > len(self.ids):
+                self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
+            if k >= len(self.start):
+                self.start, self.length = (np.concatenate([x, np.zeros_like(x)]) for x in (self.start, self.length))
+            self.ids[self.used : self.used + len(ids)] = ids
+            self.place[piece], self.start[k], self.length[k] = k, self.used, len(ids)
+            self.used += len(ids)
+
+    def encode(self, offsets: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all rows one after the other, and the number of ids of each."""
+        if len(self.place) > KNOWN_WORDS:
+            self.forget()
+        cut = np.zeros(len(data) + 1, bool)
+        cut[1:-2] = (data[1:-1] == 32) & ~_MAY_BE_GAP[data[2:]] if len(data) > 2 else False
+        cut[offsets] = True
+        cut[len(data)] = False
+        starts = np.flatnonzero(cut[:-1])
+        ends = np.append(starts[1:], len(data))
+        keys, first, which = np.unique(span_hashes(_VALUE[data], starts, ends), return_index=True, return_inverse=True)
+        raw = data.tobytes()
+        pieces = [raw[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist())]
+        new = [p for p in dict.fromkeys(pieces) if p not in self.place]
+        if new:
+            self._learn(new)
+        place = np.fromiter((self.place[p] for p in pieces), np.int64, len(pieces))[which]
+        length = self.length[place]
+        upto = np.cumsum(length)
+        steps = np.arange(upto[-1] if len(upto) else 0) - np.repeat(upto - length, length)
+        ids = self.ids[np.repeat(self.start[place], length) + steps]
+        sums = np.concatenate([[0], upto])[np.searchsorted(starts, offsets)]
+        return ids, np.diff(sums)
+
+
+@cache
+def _encoder(path: str) -> Encoder:
+    return Encoder(path)
 
 
-def _chunks(tokenizer: str):
+def _chunks(tokenizer: str, size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(tokenizer)
         docs: list[tuple] = []  # of those with ids not yet put out: id, first, number
@@ -87,20 +148,21 @@ def _chunks(tokenizer: str):
             names = batch.column(1).to_pylist()
             offsets, data = text_bytes(batch.column(2))
             for i, j in slices(offsets, BATCH_BYTES):
-                texts = [data[a:b].tobytes().decode(errors="replace") for a, b in zip(offsets[i:j], offsets[i + 1 : j + 1])]
-                for name, found in zip(names[i:j], encoder.encode_batch_fast(texts, add_special_tokens=False)):
-                    ids = np.array([*found.ids, END_ID], np.uint32)
+                own = offsets[i : j + 1] - offsets[i]
+                found, counts = encoder.encode(own, data[offsets[i] : offsets[j]])
+                for name, part in zip(names[i:j], np.split(found, np.cumsum(counts)[:-1])):
+                    ids = np.append(part, np.uint32(END_ID))
                     docs.append((name, at, len(ids)))
                     at += len(ids)
                     held.append(ids)
-                    if at - first < CHUNK_IDS:
+                    if at - first < size:
                         continue
                     rest = np.concatenate(held)
-                    while len(rest) >= CHUNK_IDS:
-                        late = [d for d in docs if d[1] >= first + CHUNK_IDS]
-                        docs = [d for d in docs if d[1] < first + CHUNK_IDS]
-                        yield put(rest[:CHUNK_IDS])
-                        rest, first, chunk = rest[CHUNK_IDS:], first + CHUNK_IDS, chunk + 1
+                    while len(rest) >= size:
+                        late = [d for d in docs if d[1] >= first + size]
+                        docs = [d for d in docs if d[1] < first + size]
+                        yield put(rest[:size])
+                        rest, first, chunk = rest[size:], first + size, chunk + 1
                         docs = [d for d in docs if d[1] + d[2] > first] + late
                     held = [rest] if len(rest) else []
         if held:
@@ -109,7 +171,8 @@ def _chunks(tokenizer: str):
     return run
 
 
-def write(docs: DataFrame, path: str, tokenizer: str, id_col: str = "doc_id", text_col: str = "text") -> None:
+def write(docs: DataFrame, path: str, tokenizer: str, id_col: str = "doc_id", text_col: str = "text",
+          chunk_ids: int = CHUNK_IDS) -> None:
     """Writes ``docs`` in ascending id order (null first; rows of one id by text hash) below ``path``.
 
     Null text is empty: the end id alone. ``tokenizer``: path of a tokenizers file on every executor.
@@ -118,7 +181,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, id_col: str = "doc_id", te
     rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     rows = rows.withColumn("hash", F.xxhash64("text")).withColumn("row", F.monotonically_increasing_id())
     ordered = rows.repartitionByRange(parts, "id", "hash", "row").sortWithinPartitions("id", "hash", "row")
-    chunks = ordered.select(F.spark_partition_id().alias("shard"), "id", "text").mapInArrow(_chunks(tokenizer), SCHEMA)
+    chunks = ordered.select(F.spark_partition_id().alias("shard"), "id", "text").mapInArrow(_chunks(tokenizer, chunk_ids), SCHEMA)
     chunks.write.option("compression", "none").parquet(path)
 
 
