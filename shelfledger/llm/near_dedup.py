@@ -157,13 +157,13 @@ def _linked(reps: DataFrame, sets: DataFrame, pairs: DataFrame, s: Settings) ->
     )
 
 
-def _open_pairs(buckets: DataFrame, found: DataFrame, sets: DataFrame, s: Settings) -> DataFrame:
+def _open_pairs(buckets: DataFrame, found: DataFrame, reps: DataFrame, sets: DataFrame, s: Settings) -> DataFrame:
     """Pairs (a, b) in different components that share a bucket and can be alike.
 
     A shingle that at most RARE open documents have is rare. Two documents have in common at most their
     other shingles and the rare ones they share. So a pair of which one has many rare shingles must share
     one: these pairs come from the rare shingles, RARE for each document and shingle at most. Pairs that
-    can be alike without one are taken from their bucket, where documents too rich in rare shingles for
+    can be alike without one are taken from the first bucket they share, where documents too rich in rare shingles for
     all others are left out first and members of the largest component only wait for partners.
     """
     known = buckets.join(found.select(F.col("node").alias("id"), "component"), "id", "left").select(
@@ -196,16 +196,17 @@ def _open_pairs(buckets: DataFrame, found: DataFrame, sets: DataFrame, s: Settin
     share = F.least("usual", "ux") + F.col("shared")
     by_rare = met.filter(at_most * share >= s.percent * (F.col("n") + F.col("nx")))
 
-    few = rows.filter("not rich").select("bucket", "id", "n", "component", "usual")
+    few = rows.filter("not rich").select("bucket", "id", "n", "component", "usual").join(reps.select("id", "bands"), "id")
     sizes = few.groupBy("bucket", "component").agg(F.count("*").alias("k"))
     largest = sizes.groupBy("bucket").agg(F.max(F.struct("k", "component")).alias("top"), F.count("*").alias("parts")).filter(
         "parts > 1"
     ).select("bucket", F.col("top.component").alias("largest"))
     minor = few.join(largest, "bucket").filter("component <> largest").select(
-        "bucket", F.col("id").alias("x"), F.col("component").alias("cx"), F.col("n").alias("nx"), F.col("usual").alias("ux")
+        "bucket", F.col("id").alias("x"), F.col("component").alias("cx"), F.col("n").alias("nx"), F.col("usual").alias("ux"), F.col("bands").alias("bx"),
     )
     by_bucket = minor.join(few, "bucket").filter(
         (F.col("component") != F.col("cx")) & (at_most * F.least("usual", "ux") >= s.percent * (F.col("n") + F.col("nx")))
+        & (F.col("bucket") == F.array_min(F.array_intersect("bands", "bx")))
     )
     pair = [F.least("x", "id").alias("a"), F.greatest("x", "id").alias("b")]
     return by_rare.select(*pair).union(by_bucket.select(*pair)).distinct()
@@ -244,7 +245,7 @@ def classes(docs: DataFrame, settings: Settings = Settings(), id_col: str = "doc
     )
     links = stored(_linked(reps, sets, pairs, s), "links")
     found = components(links)
-    more = stored(_open_pairs(buckets, found, sets, s).join(pairs, ["a", "b"], "left_anti"), "pairs")
+    more = stored(_open_pairs(buckets, found, reps, sets, s).join(pairs, ["a", "b"], "left_anti"), "pairs")
     late = stored(_linked(reps, sets, more, s), "links")
     if not late.isEmpty():
         found = components(links.union(late))
