@@ -64,7 +64,9 @@ def without_boilerplate(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     lines = _lines(F.col(text_col))
     kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("removed"))
     text = F.array_join(F.transform(kept, lambda i: F.get(lines, i)), "\n")
-    joined = docs.withColumn("__key", key).join(removed.select(F.col("key").alias("__key"), "removed"), "__key", "left")
+    # merged at every size: the lines to remove grow with the documents
+    places = removed.select(F.col("key").alias("__key"), "removed").hint("merge")
+    joined = docs.withColumn("__key", key).join(places, "__key", "left")
     return joined.select(
         *[F.when(F.col("removed").isNotNull(), text).otherwise(F.col(c)).alias(c) if c == text_col else F.col(c) for c in docs.columns],
         F.coalesce(F.size("removed"), F.lit(0)).cast("bigint").alias("lines_removed"),
