@@ -5,10 +5,12 @@ how its content and its layout differ between the host's pages. A node's importa
 entropies, each scaled to 0..1 by the number of pages: that of its content and that of its children's
 tags. A branch that looks the same on every page has importance near 0 and is removed.
 
-What a branch says of itself comes first: menus, headers, footers, sidebars, notices, adverts, forms,
-scripts and reader comments are removed on every page, and where a page marks its article, the text is
-the article's, whole. Entropy decides for the branches that say nothing, which on a host of fewer than
-LEAST_PAGES pages all stay.
+The tree is laid over all pages of a host; pages with the same text count once, so copies of a page are
+no evidence against it. Menus, headers, footers, sidebars, notices, adverts, forms, scripts and reader
+comments, which say of themselves that they are no content, are no part of it and removed on every page.
+Where a page marks its article, the text is the article's without its unimportant branches; there a branch
+goes only from pages on which it reads as on LEAST_PAGES pages, and only if the greater part of the article
+stays. A branch on fewer than LEAST_PAGES pages of a host always stays.
 """
 
 from __future__ import annotations
@@ -150,32 +152,44 @@ def _hash(text: str) -> int:
     return int.from_bytes(blake2b(text.encode("utf-8", "replace"), digest_size=8).digest(), "little", signed=True)
 
 
+def _by_node(found: list[tuple[str, bool, str]]) -> dict[str, tuple[int, int]]:
+    """Hashes of the content and of the layout of each node of a page."""
+    nodes: dict[str, tuple[list[str], list[str]]] = {}
+    above: dict[str, list[tuple[str, str]]] = {}
+    for path, _, said in found:
+        if path not in above:
+            steps = path.split("/")[1:]
+            above[path] = [("/" + "/".join(steps[:k]), "/".join(steps[k:])) for k in range(1, len(steps) + 1)]
+        own = str(_hash(said))
+        for node, rest in above[path]:
+            content, layout = nodes.setdefault(node, ([], []))
+            content.append(own)
+            layout.append(rest)
+    return {node: (_hash("\n".join(c)), _hash("\n".join(ly))) for node, (c, ly) in nodes.items()}
+
+
 def _nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(host, path, content, layout) of the nodes of each page that its own marks don't decide."""
+    """(host, whole, path, content, layout) of the nodes of each page; ``whole`` is its article, or else all of it."""
     for batch in batches:
         out = []
         for host, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             found = branches(page or "")
-            if any(inside for _, inside, _ in found):
-                continue
-            nodes: dict[str, tuple[list[str], list[str]]] = {}
-            for path, _, said in found:
-                steps = path.split("/")[1:]
-                for k in range(1, len(steps) + 1):
-                    content, layout = nodes.setdefault("/" + "/".join(steps[:k]), ([], []))
-                    content.append(said)
-                    layout.append("/".join(steps[k:]))
-            out += [(host, _hash(path), _hash("\n".join(c)), _hash("\n".join(ly))) for path, (c, ly) in nodes.items()]
+            marked = any(inside for _, inside, _ in found)
+            whole = _hash("\n".join(said for _, inside, said in found if inside or not marked))
+            out += [(host, whole, _hash(path), *both) for path, both in _by_node(found).items()]
         if out:
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(zip(*out), (pa.string(), *[pa.int64()] * 3))], ["host", "path", "content", "layout"]
+                [pa.array(c, k) for c, k in zip(zip(*out), (pa.string(), *[pa.int64()] * 4))], ["host", "whole", "path", "content", "layout"]
             )
 
 
+def _times(nodes: DataFrame, what: str) -> DataFrame:
+    return nodes.groupBy("host", "path", what).agg(F.count("*").alias("n"))
+
+
 def _entropy(nodes: DataFrame, what: str) -> DataFrame:
     """(host, path, pages, entropy scaled to 0..1) of the column ``what``."""
-    times = nodes.groupBy("host", "path", what).agg(F.count("*").alias("n"))
-    sums = times.groupBy("host", "path").agg(F.sum("n").alias("pages"), F.sum(F.col("n") * F.log("n")).alias("s"))
+    sums = _times(nodes, what).groupBy("host", "path").agg(F.sum("n").alias("pages"), F.sum(F.col("n") * F.log("n")).alias("s"))
     return sums.select(
         "host", "path", "pages",
         F.when(F.col("pages") > 1, 1 - F.col("s") / (F.col("pages") * F.log("pages"))).otherwise(1.0).alias(what),
@@ -183,35 +197,47 @@ def _entropy(nodes: DataFrame, what: str) -> DataFrame:
 
 
 def low_branches(pages: DataFrame) -> DataFrame:
-    """(host, low): the hashed paths of each host's unimportant nodes. ``pages``: host, html."""
-    nodes = stored(pages.filter("host is not null").select("host", "html").mapInArrow(_nodes, "host string, path bigint, content bigint, layout bigint"), "nodes")
+    """(host, low, same): the hashed paths of each host's unimportant nodes, and the hashed contents that
+    these have on LEAST_PAGES pages or more. ``pages``: host, html."""
+    nodes = pages.filter("host is not null").select("host", "html").mapInArrow(_nodes, "host string, whole bigint, path bigint, content bigint, layout bigint")
+    nodes = stored(nodes.distinct(), "nodes")
     judged = _entropy(nodes, "content").join(_entropy(nodes, "layout").drop("pages"), ["host", "path"])
-    low = judged.filter((F.col("pages") >= LEAST_PAGES) & (F.greatest("content", "layout") < LEAST_IMPORTANCE))
-    return low.groupBy("host").agg(F.collect_list("path").alias("low"))
+    low = stored(judged.filter((F.col("pages") >= LEAST_PAGES) & (F.greatest("content", "layout") < LEAST_IMPORTANCE)).select("host", "path"), "low-paths")
+    few = small(low, low.count())
+    often = _times(nodes.join(few, ["host", "path"], "left_semi"), "content").filter(F.col("n") >= LEAST_PAGES)
+    every = low.select("host", "path", F.lit(None).cast("bigint").alias("content")).union(often.select("host", "path", "content"))
+    return every.groupBy("host").agg(F.collect_set("path").alias("low"), F.collect_set("content").alias("same"))
 
 
-def main_text(page: str | None, low: frozenset[int]) -> str:
-    """The text of a page's article, or else of the branches that are not below a ``low`` one."""
+def main_text(page: str | None, low: frozenset[int], same: frozenset[int] = frozenset()) -> str:
+    """The text of a page's article, or else of the page, without the branches below a ``low`` one. In an
+    article a low branch goes only where its content is among ``same``."""
     found = branches(page or "")
-    if any(inside for _, inside, _ in found):
-        return "\n".join(said for _, inside, said in found if inside)
-    if not low:
-        return "\n".join(said for _, _, said in found)
-    out = []
-    for path, _, said in found:
-        steps = path.split("/")[1:]
-        if not any(_hash("/" + "/".join(steps[:k])) in low for k in range(1, len(steps) + 1)):
-            out.append(said)
-    return "\n".join(out)
+    marked = any(inside for _, inside, _ in found)
+    nodes = _by_node(found) if low and marked else {}
+    removed: dict[str, bool] = {}
+
+    def is_removed(path: str) -> bool:
+        if path not in removed:
+            steps = path.split("/")[1:]
+            above = ["/" + "/".join(steps[:k]) for k in range(1, len(steps) + 1)]
+            removed[path] = any(_hash(node) in low and (not marked or nodes[node][0] in same) for node in above)
+        return removed[path]
+
+    texts = [(path, said) for path, inside, said in found if inside or not marked]
+    kept = [said for path, said in texts if not is_removed(path)] if low else [said for _, said in texts]
+    if marked and 2 * sum(map(len, kept)) < sum(len(said) for _, said in texts):
+        kept = [said for _, said in texts]
+    return "\n".join(kept)
 
 
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         n = batch.num_columns
         out = []
-        for page, low in zip(batch.column(n - 2).to_pylist(), batch.column(n - 1).to_pylist()):
-            out.append(main_text(page, frozenset(low) if low else frozenset()))
-        yield pa.RecordBatch.from_arrays([*batch.columns[: n - 2], pa.array(out, pa.string())], [*batch.schema.names[: n - 2], "text"])
+        for page, low, same in zip(*(batch.column(k).to_pylist() for k in (n - 3, n - 2, n - 1))):
+            out.append(main_text(page, frozenset(low or ()), frozenset(same or ())))
+        yield pa.RecordBatch.from_arrays([*batch.columns[: n - 3], pa.array(out, pa.string())], [*batch.schema.names[: n - 3], "text"])
 
 
 def extracted(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -222,6 +248,6 @@ def extracted(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
         F.col(id_col), F.col(url_col), F.when(host != "", host).alias("host"), F.col(html_col).cast("string").alias("html")
     )
     low = stored(low_branches(rows), "low")
-    joined = rows.join(small(low, low.count(), 100_000), "host", "left").select(id_col, url_col, "html", "low")
+    joined = rows.join(small(low, low.count(), 100_000), "host", "left").select(id_col, url_col, "html", "low", "same")
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in joined.schema.fields[:2])
     return joined.mapInArrow(_texts, f"{kinds}, text string").withColumn("n_chars", F.length("text").cast("bigint"))

@@ -57,3 +57,21 @@ def test_clashing_columns_empty_table_and_long_page(spark):
     r = site_style.extracted(df).first()
     assert r.n_chars == 499_999
     assert site_style.extracted(df.limit(0)).collect() == []
+
+
+def test_branches_alike_in_all_articles_of_a_site_go(spark):
+    box = "<div class='box'><p>Tell your friends about us</p></div>"
+    story = "<body><article><p>Story %d runs on and on, and then some more</p>%s</article></body>"
+    rows = [(i, f"https://a.example/{i}", story % (i, box)) for i in range(12)]
+    rows += [(20 + i, f"https://a.example/own{i}", story % (20 + i, f"<div class='box'><p>Own words {i}</p></div>")) for i in range(1)]
+    rows += [(30 + i, f"https://a.example/copy{i}", "<body><article><div class='lead'><p>A lead</p></div><p>And a copied story</p></article></body>") for i in range(9)]
+    got = {r.page_id: r.text for r in site_style.extracted(pages(spark, rows)).collect()}
+    assert all(got[i] == f"Story {i} runs on and on, and then some more" for i in range(12))
+    assert got[20].endswith("\nOwn words 0")
+    assert all(got[30 + i] == "A lead\nAnd a copied story" for i in range(9))
+
+
+def test_the_greater_part_of_an_article_stays(spark):
+    body = "<body><article><div class='text'><p>The same long text on every page</p></div><p>Seen %d times</p></article></body>"
+    got = [r.text for r in site_style.extracted(pages(spark, [(i, f"https://a.example/{i}", body % i) for i in range(12)])).collect()]
+    assert all(t.startswith("The same long text on every page\nSeen") for t in got)
