@@ -11,6 +11,12 @@ comments, which say of themselves that they are no content, are no part of it an
 Where a page marks its article, the text is the article's without its unimportant branches; there a branch
 goes only from pages on which it reads as on LEAST_PAGES pages, and only if the greater part of the article
 stays. A branch on fewer than LEAST_PAGES pages of a host always stays.
+
+A class or id says that an element is no content if each part of it between hyphens does or only tells place
+or kind ("share-buttons", not "related-work"). It says nothing of headings, paragraphs, code and <main>, nor,
+inside an article, does an id, which may be the slug of a heading, but for those of reader comments. An
+element around <main> stays, and so does one around an <article> where no other article is marked; that
+article, like one that has such a name itself, then counts as any other branch.
 """
 
 from __future__ import annotations
@@ -18,6 +24,7 @@ from __future__ import annotations
 import html as references
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 from hashlib import blake2b
 
 import pyarrow as pa
@@ -43,6 +50,11 @@ consent gdpr notice notices popup modal overlay newsletter subscribe subscriptio
 share sharing social related recommended breadcrumb breadcrumbs pagination pager nav navbar navigation menu sidebar side footer
 widget widgets skip toolbar login""".split())
 OUTSIDE_NAMES = frozenset("header masthead topbar".split())  # removed outside an article only
+COMMENT_NAMES = frozenset("comment comments disqus respond replies".split())
+DOUBTFUL_NAMES = frozenset("related sharing side notice notices promotion replies respond".split())  # alone and inside an article no sign
+PLACES = frozenset("""area bar block blocks bottom box button buttons container inner item items left link links list main page post posts
+reader right section site thread top user wrap wrapper""".split())
+NEVER_BY_NAME = frozenset("body html main h1 h2 h3 h4 h5 h6 p pre code".split())
 SIBLINGS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 CONTAINERS = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",), "td": ("table",), "th": ("table",), "option": ("select",)}
 
@@ -51,29 +63,60 @@ TAG = re.compile(
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)|<[!?/][^>]*(?:>|\Z)|<(?:/|!)?\Z", re.S | re.I,
 )
 ATTRIBUTE = re.compile(r"""(class|id|role|hidden|aria-hidden|style)\s*(?:=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?(?=\s|/|\Z|["'])""", re.I)
-KEEP, ASK, DROP = 2, 1, 0
+KEEP, ASK, DROP, NAMED, COMMENTS = 2, 1, 0, -1, -2  # the last two: dropped by their names alone
+
+
+@lru_cache(100_000)
+def _says(name: str, inside: bool, doubtful: bool) -> frozenset[str]:
+    """The words by which a class or id says that an element is no content, or none. ``doubtful``: a
+    doubtful word alone is enough."""
+    parts = [x for x in re.split("[-_]+", name) if x]
+    telling = REMOVED_NAMES if inside else REMOVED_NAMES | OUTSIDE_NAMES
+    said = telling.intersection(parts)
+    if any(x not in telling and x not in PLACES and not x.isdigit() for x in parts) or (len(parts) == 1 and not doubtful and said <= DOUBTFUL_NAMES):
+        return frozenset()
+    return said
 
 
 def _judged(tag: str, attributes: str, inside: bool) -> tuple[int, str]:
     """What an element says of itself, and its class."""
     if tag in REMOVED_TAGS or (tag == "header" and not inside):
         return DROP, ""
+    kept = KEEP if tag in ("article", "main") else ASK
     if not attributes.strip():
-        return (KEEP if tag in ("article", "main") else ASK), ""
+        return kept, ""
     found = {k.lower(): (v or "").strip("\"'").lower() for k, v in ATTRIBUTE.findall(attributes)}
-    named = set(re.split(r"[\s_-]+", f"{found.get('class', '')} {found.get('id', '')}"))
+    name, role = found.get("class", ""), found.get("role", "")
     hidden = "hidden" in found or found.get("aria-hidden") == "true" or re.search(r"display\s*:\s*none", found.get("style", ""))
-    role = found.get("role", "")
-    if hidden or role in REMOVED_ROLES or named & REMOVED_NAMES or (not inside and named & OUTSIDE_NAMES):
-        if not (tag in ("body", "html", "main") and not hidden):
-            return DROP, ""
-    return (KEEP if tag in ("article", "main") or role in ("main", "article") else ASK), found.get("class", "")
+    if hidden or (role in REMOVED_ROLES and tag not in ("body", "html", "main")):
+        return DROP, name
+    if role in ("main", "article"):
+        kept = KEEP
+    if tag in NEVER_BY_NAME or role == "main":
+        return kept, name
+    said = {w for x in name.split() for w in _says(x, inside, not inside)}
+    by_id = {w for x in found.get("id", "").split() for w in _says(x, inside, False)}
+    said |= by_id & COMMENT_NAMES if inside else by_id
+    if not said or (kept == KEEP and inside and not said & COMMENT_NAMES):
+        return kept, name
+    if kept == KEEP and not inside:
+        return ASK, name
+    return (COMMENTS if said & COMMENT_NAMES else NAMED), name
 
 
 def branches(page: str) -> list[tuple[str, bool, str]]:
     """(path, inside an article, text) of the page's blocks in order, without what says it is no content."""
+    found, articles, around_article, around_main = _branches(page, frozenset())
+    around = around_main if articles else around_main | around_article
+    return _branches(page, frozenset(around))[0] if around else found
+
+
+def _branches(page: str, spared: frozenset[int]) -> tuple[list[tuple[str, bool, str]], int, set[int], set[int]]:
+    """The blocks, the number of articles, and where the elements start that would be dropped by their names
+    alone with an article or with <main> in them. Names at the ``spared`` places say nothing."""
     out: list[tuple[str, bool, str]] = []
-    stack: list[tuple[str, str, int, bool]] = []  # tag, path, judgement, inside an article
+    stack: list[tuple[str, str, int, bool, int]] = []  # tag, path, judgement, inside an article, start
+    articles, around_article, around_main = 0, set(), set()
     text: list[str] = []
 
     def close_block() -> None:
@@ -86,12 +129,12 @@ def branches(page: str) -> list[tuple[str, bool, str]]:
 
     def pop_to(k: int) -> None:
         while len(stack) > k:
-            if stack[-1][0] in BLOCKS or stack[-1][2] == DROP:
+            if stack[-1][0] in BLOCKS or stack[-1][2] <= DROP:
                 close_block()
             stack.pop()
 
     def add(said: str) -> None:
-        if said and not (stack and stack[-1][2] == DROP):
+        if said and not (stack and stack[-1][2] <= DROP):
             text.append(said)
 
     def open_at(tags: tuple[str, ...], stop: tuple[str, ...]) -> int | None:
@@ -136,16 +179,32 @@ def branches(page: str) -> list[tuple[str, bool, str]]:
         path, judged, inside = (stack[-1][1], stack[-1][2], stack[-1][3]) if stack else ("", ASK, False)
         if judged != DROP:
             own, name = _judged(tag, m[4], inside)
-            judged = DROP if own == DROP else max(judged, own)
-            inside = inside or own == KEEP
+            if own < DROP and (m.start() in spared or judged > DROP and any(x[0] in ("pre", "code") for x in stack)):
+                own = ASK
+            article = tag == "article" and own != COMMENTS
+            if judged < DROP:
+                if own == KEEP and tag == "main":
+                    around_main.update(x[4] for x in stack if x[2] < DROP)
+                elif article and judged == NAMED and own != DROP and not any(x[0] == "article" for x in stack):
+                    around_article.update(x[4] for x in stack if x[2] < DROP)
+                judged = DROP if own == DROP else min(judged, own)
+            elif own <= DROP:
+                judged = own
+            else:
+                if article and own == KEEP:
+                    articles += 1
+                    if spared and not inside and any(x[4] in spared for x in stack):
+                        own = ASK
+                judged = max(judged, own)
+                inside = inside or own == KEEP
             if tag in BLOCKS:
                 path = f"{path}/{tag}.{name}" if name else f"{path}/{tag}"
-            if judged == DROP and tag not in BLOCKS and tag not in ("label", "button", "input"):
+            if judged <= DROP and tag not in BLOCKS and tag not in ("label", "button", "input"):
                 close_block()
-        stack.append((tag, path, judged, inside))
+        stack.append((tag, path, judged, inside, m.start()))
     add(page[at:])
     close_block()
-    return out
+    return out, articles, around_article, around_main
 
 
 def _hash(text: str) -> int:

@@ -75,3 +75,21 @@ def test_the_greater_part_of_an_article_stays(spark):
     body = "<body><article><div class='text'><p>The same long text on every page</p></div><p>Seen %d times</p></article></body>"
     got = [r.text for r in site_style.extracted(pages(spark, [(i, f"https://a.example/{i}", body % i) for i in range(12)])).collect()]
     assert all(t.startswith("The same long text on every page\nSeen") for t in got)
+
+
+@pytest.mark.parametrize("body, text", [
+    ("<div class='content with-sidebar'><article><p>a</p></article></div>", "a"),
+    ("<article class='post no-sidebar'><p>a</p></article>", "a"),
+    ("<article><section id='related-work'><h2 id='sharing-results'>b</h2><p class='notice'>c</p></section><div class='side-by-side'>d</div></article>", "b\nc\nd"),
+    ("<article><section id='cookies'><h2 id='menu'>e</h2></section><pre>x <span class='comment'># y</span></pre></article>", "e\nx # y"),
+    ("<div class='modal'><div class='overlay'><article><p>f</p></article></div></div>", "f"),
+    ("<div class='sidebar'><main><p>g</p></main></div><div class='ad'><article>teaser</article></div>", "g"),
+    ("<main><div class='widget'><article><p>h</p></article></div></main>", "h"),
+    ("<article class='promo'><p>i</p></article>", "i"),
+    ("<article><p>j</p></article><div class='related-posts'><article>teaser</article></div><div class='ad-box'>ad</div>", "j"),
+    ("<div class='story'>k</div><div id='comments'><article><p>said</p></article></div><div class='share_buttons'>s</div>", "k"),
+    ("<article><p>l</p><article class='comment'>said</article><div id='comments'>said</div><div class='social-links'>s</div></article>", "l"),
+    ("<div class='story'>m</div><div class='sidebar'><article>teaser</article></div>", "m\nteaser"),
+])
+def test_one_word_of_a_name_drops_nothing(body, text):
+    assert main_text(f"<body><nav>n</nav>{body}</body>", frozenset()) == text
