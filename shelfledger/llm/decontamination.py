@@ -5,6 +5,9 @@ a sentence) and units after a number become typed placeholders. Windows of eight
 benchmark are hashed and joined with the windows of every document. Matched windows are then checked
 for consistent slots: along one alignment a benchmark value must always stand for the same document
 value, so a question with other numbers and names is caught, and a chance likeness of form is not.
+Windows of too few words besides placeholders, as arithmetic has, are matched by their exact words and
+numbers instead, and so are items of fewer than LEAST_WORDS words, whole and with the signs between them;
+an item of one word is copied where that word is a sentence, line or text of its own.
 
 The benchmark is joined in blocks of a bounded size, each broadcast as sorted hashes; a document is
 read once for each block.
@@ -25,8 +28,8 @@ from shelfledger.llm.common import small, stored
 from shelfledger.llm.words import PIECE, mix, slices, span_hashes, text_bytes
 
 WINDOW = 8
-LEAST_WORDS = 4  # a shorter item is no evidence of anything and flags nothing
-LEAST_LITERALS = 4  # words of a window that are no placeholders
+LEAST_WORDS = 4  # a shorter item counts only as a whole, as it is written
+LEAST_LITERALS = 4  # words of a template window that are no placeholders
 LEAST_SHARE = 0.4  # of an item's words, covered by consistent windows
 BLOCK_CHARS = 16_000_000  # of benchmark text in one broadcast block
 
@@ -38,15 +41,22 @@ month months year years mph kmh percent dollar dollars euro euros cent cents usd
 NUMBER, NAME, UNIT, LITERAL = 1, 2, 3, 0
 _PLACE = mix(np.arange(1, WINDOW + 1, dtype=np.uint64)) | np.uint64(1)
 _KIND = mix(np.arange(101, 105, dtype=np.uint64))
+_SPACES = np.array([c for c in range(0x3001) if chr(c).isspace()], np.uint32)
 
 
 def tokens(offsets: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Hash and kind of every word or number, and the number of them in each row."""
+    return signed_tokens(offsets, data)[:3]
+
+
+def signed_tokens(offsets: np.ndarray, data: np.ndarray, signs: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray, tuple[np.ndarray, np.ndarray]]:
+    """As ``tokens``, and whether each word begins a sentence; with ``signs`` also a hash of what stands
+    between each word and the one before it but white space."""
     t = tables()
     at, codes = code_points(offsets, data)
     rows, n = len(at) - 1, len(codes)
     if not n:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int8), np.zeros(rows, np.int64)
+        return np.zeros(0, np.uint64), np.zeros(0, np.int8), np.zeros(rows, np.int64), (np.zeros(0, np.uint64), np.zeros(0, bool))
     digit = t["digit"][codes]
     point = (codes == 46) | (codes == 44)
     point[1:-1] &= digit[:-2] & digit[2:]
@@ -75,7 +85,12 @@ def tokens(offsets: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarra
     after[1:] = number[:-1]
     after[firsts] = False
     unit = ~number & after & np.isin(hashes, _unit_hashes())
-    return hashes, np.where(number, NUMBER, np.where(unit, UNIT, np.where(name, NAME, LITERAL))).astype(np.int8), counts
+    between = np.zeros(len(starts), np.uint64)
+    if signs and len(starts) > 1:
+        sign = ~np.isin(codes, _SPACES)
+        upto = np.concatenate([[0], np.cumsum(sign)])
+        between[1:] = span_hashes(value[sign], upto[ends[:-1]], upto[starts[1:]])
+    return hashes, np.where(number, NUMBER, np.where(unit, UNIT, np.where(name, NAME, LITERAL))).astype(np.int8), counts, (between, begins)
 
 
 _units: list[np.ndarray] = []
@@ -89,17 +104,38 @@ def _unit_hashes() -> np.ndarray:
     return _units[0]
 
 
-def windows(hashes: np.ndarray, kinds: np.ndarray, counts: np.ndarray, width: int, names: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Hash and first word of each window within a row. ``names``: names are placeholders too."""
-    slot = (kinds == NUMBER) | (kinds == UNIT) | (names & (kinds == NAME))
-    word = np.where(slot, _KIND[kinds], hashes)
+TEMPLATES, NUMBERS, EXACT = range(3)  # placeholders: numbers, units and names; numbers and units; none
+
+
+def windows(hashes: np.ndarray, kinds: np.ndarray, counts: np.ndarray, width: int, form: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hash and first word of each window within a row. Exact ones are made where numbers and units leave
+    too few words for a template."""
+    slot = (kinds == NUMBER) | (kinds == UNIT) | ((form == TEMPLATES) & (kinds == NAME))
+    word = hashes if form == EXACT else np.where(slot, _KIND[kinds], hashes)
     n = max(0, len(word) - width + 1)
     out = np.full(n, np.uint64(width))
     for j in range(width):
         out += word[j : j + n] * _PLACE[j]
     ends = np.repeat(np.cumsum(counts), counts)[:n]
     literals = np.concatenate([[0], np.cumsum(~slot)])
-    use = (np.arange(n) + width <= ends) & (literals[width : width + n] - literals[:n] >= min(LEAST_LITERALS, width))
+    enough = literals[width : width + n] - literals[:n] >= min(LEAST_LITERALS, width)
+    first = np.flatnonzero((np.arange(n) + width <= ends) & (enough != (form == EXACT)))
+    return mix(out[first] + np.uint64(form == EXACT)), first
+
+
+def wholes(hashes: np.ndarray, signs: tuple[np.ndarray, np.ndarray], counts: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hash and first word of each run of ``width`` words within a row, with the signs between them. A single
+    word is one if it is all of its sentence."""
+    between, begins = signs
+    n = max(0, len(hashes) - width + 1)
+    out = np.full(n, np.uint64(width))
+    for j in range(width):
+        out += hashes[j : j + n] * _PLACE[j]
+        if j:
+            out += between[j : j + n] * _PLACE[-j]
+    use = np.arange(n) + width <= np.repeat(np.cumsum(counts), counts)[:n]
+    if width == 1:
+        use &= begins & np.append(begins[1:], True)[:n]
     first = np.flatnonzero(use)
     return mix(out[first]), first
 
@@ -110,15 +146,16 @@ class Items:
     def __init__(self, ids: list, texts: list[str]):
         offsets, data = text_bytes(pa.array(texts, pa.string()))
         self.ids = ids
-        self.hashes, self.kinds, self.counts = tokens(offsets, data)
+        self.hashes, self.kinds, self.counts, signs = signed_tokens(offsets, data, True)
+        self.short = bool(((self.counts > 0) & (self.counts < LEAST_WORDS)).any())
         self.starts = np.cumsum(self.counts) - self.counts
         self.by_width: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
         of = np.repeat(np.arange(len(ids)), self.counts)
-        for width in range(LEAST_WORDS, WINDOW + 1):
+        for width in range(1, WINDOW + 1):
             whole = self.counts >= WINDOW if width == WINDOW else self.counts == width
             if not whole.any():
                 continue
-            parts = [windows(self.hashes, self.kinds, self.counts, width, names) for names in (True, False)]
+            parts = self._parts(self.hashes, self.kinds, self.counts, signs, width)
             h, at = np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
             keep = whole[of[at]]
             pair = np.unique(np.stack([h[keep], at[keep].astype(np.uint64)]), axis=1)
@@ -127,12 +164,17 @@ class Items:
             self.by_width[width] = (pair[0], pair[1].astype(np.int64), likely)
         self.of = of
 
-    def hits(self, hashes, kinds, counts) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    @staticmethod
+    def _parts(hashes, kinds, counts, signs, width) -> list[tuple[np.ndarray, np.ndarray]]:
+        if width < LEAST_WORDS:
+            return [wholes(hashes, signs, counts, width)]
+        return [windows(hashes, kinds, counts, width, form) for form in (TEMPLATES, NUMBERS, EXACT)]
+
+    def hits(self, hashes, kinds, counts, signs) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """Window width, first word in the documents and in the items, for each match."""
         for width, (keys, at, likely) in self.by_width.items():
             found = []
-            for names in (True, False):
-                h, first = windows(hashes, kinds, counts, width, names)
+            for h, first in self._parts(hashes, kinds, counts, signs, width):
                 maybe = likely[(h & np.uint64((1 << 20) - 1)).astype(np.int64)]
                 h, first = h[maybe], first[maybe]
                 lo, hi = np.searchsorted(keys, h, "left"), np.searchsorted(keys, h, "right")
@@ -171,11 +213,11 @@ def _matcher(shared):
             ids = batch.column(0)
             offsets, data = text_bytes(batch.column(1))
             for i, j in slices(offsets, PIECE):
-                hashes, kinds, counts = tokens(offsets[i : j + 1] - offsets[i], data[offsets[i] : offsets[j]])
+                hashes, kinds, counts, signs = signed_tokens(offsets[i : j + 1] - offsets[i], data[offsets[i] : offsets[j]], items.short)
                 of = np.repeat(np.arange(j - i), counts)
                 covered: dict[tuple[int, int], set[int]] = defaultdict(set)
                 changed: dict[tuple[int, int], bool] = defaultdict(bool)
-                for width, d_at, i_at in items.hits(hashes, kinds, counts):
+                for width, d_at, i_at in items.hits(hashes, kinds, counts, signs):
                     lines: dict[tuple[int, int, int], list[int]] = defaultdict(list)
                     for k, key in enumerate(zip(of[d_at].tolist(), items.of[i_at].tolist(), (d_at - i_at).tolist())):
                         lines[key].append(k)

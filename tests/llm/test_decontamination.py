@@ -78,3 +78,21 @@ def test_dropping_keeps_columns_and_null_ids(docs, bench):
     assert kept.columns == df.columns and sorted(r.doc_id or 0 for r in kept.collect()) == [0, 2, 2]
     assert dc.drop_contaminated(docs([]), bench([(1, QUESTION)])).collect() == []
     assert dc.drop_contaminated(df, bench([])).count() == 5
+
+
+@pytest.mark.parametrize("item", [
+    "What is 17 times 23?", "Compute 3+4*12-7+9*2-5", "1, 1, 2, 3, 5, 8, 13, 21, 34, ?", "12*7=?", "5 kg in g", "Define entropy", "2+2", "3 km + 40 m + 7 cm = ? cm",
+])
+def test_arithmetic_and_short_items_are_found_as_copies(docs, bench, item):
+    rows = [(1, f"{filler(1)}\n{item}\n{filler(2)}"), (2, f"{filler(3)} ask: {item} {filler(4)}"), (3, item.replace("7", "8").replace("2", "9").replace("n", "m") + " " + filler(5)), (4, filler(6))]
+    got = found(docs(rows), bench([(10, item)]))
+    assert set(got) == {(1, 10), (2, 10)}
+    assert all(r.covered_words == r.item_words and not r.reparameterised for r in got.values())
+
+
+def test_signs_of_short_items_count(docs, bench):
+    assert set(found(docs([(1, "so 2 +\n2 is"), (2, "so 2, 2 is"), (3, "so 2-2 is")]), bench([(10, "2+2")]))) == {(1, 10)}
+
+
+def test_an_item_of_one_word_counts_as_a_sentence_only(docs, bench):
+    assert set(found(docs([(1, "So.\nPhotosynthesis\nso"), (2, "so photosynthesis is"), (3, "photosynthesis")]), bench([(10, "Photosynthesis?")]))) == {(1, 10), (3, 10)}
