@@ -30,7 +30,8 @@ from shelfledger.llm.words import PIECE, mix, slices, span_hashes, text_bytes
 WINDOW = 8
 LEAST_WORDS = 4  # a shorter item counts only as a whole, as it is written
 LEAST_LITERALS = 4  # words of a template window that are no placeholders
-LEAST_SHARE = 0.4  # of an item's words, covered by consistent windows
+LEAST_SHARE = 0.4  # of an item's words, covered by consistent windows; or else
+LEAST_RUN = 13  # covered words in a row, whatever the item's length
 BLOCK_CHARS = 16_000_000  # of benchmark text in one broadcast block
 
 # Units of measure and money that become placeholders after a number.
@@ -206,8 +207,15 @@ def consistent(doc: np.ndarray, item: np.ndarray, kinds: np.ndarray, width: int,
     return covered, any(doc[w + shift] != item[w] for w in covered)
 
 
+def longest_run(words: set[int]) -> int:
+    """The largest number of consecutive members."""
+    at = np.sort(np.fromiter(words, np.int64, len(words)))
+    ends = np.append(np.flatnonzero(np.diff(at) != 1), len(at) - 1)
+    return int(np.diff(ends, prepend=-1).max()) if len(at) else 0
+
+
 def _matcher(shared):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def found_in(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         items: Items = shared.value
         for batch in batches:
             ids = batch.column(0)
@@ -217,6 +225,7 @@ def _matcher(shared):
                 of = np.repeat(np.arange(j - i), counts)
                 covered: dict[tuple[int, int], set[int]] = defaultdict(set)
                 changed: dict[tuple[int, int], bool] = defaultdict(bool)
+                run: dict[tuple[int, int], int] = defaultdict(int)
                 for width, d_at, i_at in items.hits(hashes, kinds, counts, signs):
                     lines: dict[tuple[int, int, int], list[int]] = defaultdict(list)
                     for k, key in enumerate(zip(of[d_at].tolist(), items.of[i_at].tolist(), (d_at - i_at).tolist())):
@@ -224,10 +233,11 @@ def _matcher(shared):
                     for (d, item, _), ks in lines.items():
                         got, other = consistent(hashes, items.hashes, items.kinds, width, d_at[ks], i_at[ks])
                         covered[d, item] |= got
+                        run[d, item] = max(run[d, item], longest_run(got))
                         changed[d, item] |= other and bool(got)
                 rows = [
                     (ids[i + d].as_py(), items.ids[item], len(got), int(items.counts[item]), changed[d, item])
-                    for (d, item), got in covered.items() if got and len(got) >= LEAST_SHARE * items.counts[item]
+                    for (d, item), got in covered.items() if got and (len(got) >= LEAST_SHARE * items.counts[item] or run[d, item] >= LEAST_RUN)
                 ]
                 if rows:
                     yield pa.RecordBatch.from_arrays(
@@ -235,7 +245,7 @@ def _matcher(shared):
                         ["id", "item_id", "covered_words", "item_words", "reparameterised"],
                     )
 
-    return run
+    return found_in
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",

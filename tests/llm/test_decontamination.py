@@ -96,3 +96,15 @@ def test_signs_of_short_items_count(docs, bench):
 
 def test_an_item_of_one_word_counts_as_a_sentence_only(docs, bench):
     assert set(found(docs([(1, "So.\nPhotosynthesis\nso"), (2, "so photosynthesis is"), (3, "photosynthesis")]), bench([(10, "Photosynthesis?")]))) == {(1, 10), (3, 10)}
+
+
+def test_long_passages_of_long_items_are_found(docs, bench):
+    item = filler(1, 250).split()
+    part = lambda n: " ".join(item[40 : 40 + n])  # noqa: E731  words of two tokens each
+    rows = [(1, f"{filler(2)} so {part(75)} so {filler(3)}"), (2, f"{filler(4)} so {part(7)} so {filler(5)}"), (3, f"{filler(6)}. {part(5)}. {filler(7)}. {' '.join(item[100:105])}")]
+    got = found(docs(rows), bench([(10, " ".join(item))]))
+    assert set(got) == {(1, 10), (2, 10)} and got[1, 10].covered_words == 150 and got[1, 10].item_words == 500
+
+
+def test_longest_run():
+    assert [dc.longest_run(x) for x in (set(), {5}, {1, 2, 3, 5, 6}, {9, 1, 2, 4, 5, 6, 7})] == [0, 1, 3, 4]
