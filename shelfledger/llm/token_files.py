@@ -100,6 +100,7 @@ class Encoder:
             self.forget()
         cut = np.zeros(len(data) + 1, bool)
         cut[1:-2] = (data[1:-1] == 32) & ~_MAY_BE_GAP[data[2:]] if len(data) > 2 else False
+        cut[offsets[1:][offsets[1:] > 0] - 1] = False  # what follows a text's last byte is another text
         cut[offsets] = True
         cut[len(data)] = False
         starts = np.flatnonzero(cut[:-1])

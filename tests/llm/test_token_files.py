@@ -84,3 +84,21 @@ def test_encoding_by_distinct_words_equals_encoding_whole_texts():
             e.ids for e in encoder.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         ]
         encoder.forget()
+
+
+def test_ids_do_not_depend_on_the_next_text(tmp_path):
+    import pyarrow as pa
+    from tokenizers import Tokenizer, models, pre_tokenizers
+
+    from shelfledger.llm.words import text_bytes
+
+    letters = sorted(pre_tokenizers.ByteLevel.alphabet())
+    vocab = {x: k for k, x in enumerate([*letters, "\u0120\u0120"])}
+    tokenizer = Tokenizer(models.BPE(vocab=vocab, merges=[("\u0120", "\u0120")]))
+    tokenizer.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False)
+    tokenizer.save(path := str(tmp_path / "blanks.json"))
+    texts = ["a  ", "b", " ", "c  ", "", "d  e", "\n ", "f"]
+    offsets, data = text_bytes(pa.array(texts, pa.string()))
+    ids, counts = token_files.Encoder(path).encode(offsets, data)
+    got = [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])]
+    assert got == [tokenizer.encode(x, add_special_tokens=False).ids for x in texts]
