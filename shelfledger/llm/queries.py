@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfledger.llm import (
-    chat, decontamination, exact_dedup, langid, line_dedup, mixing, near_dedup, quality, site_style, token_files,
+    chat, damage, decontamination, exact_dedup, langid, line_dedup, mixing, near_dedup, periodic_runs, quality, site_style, token_files,
+    turn_repair, vector_dedup,
 )
 from shelfledger.llm.common import ship_code
 from shelfledger.session import scratch_path
@@ -108,6 +109,22 @@ def op10_minhash_near_dedup(spark, sf_dir):
     return near_dedup.classes(table(spark, sf_dir, "documents"))
 
 
+@query
+def op11_conversation_repair(spark, sf_dir):
+    rows = table(spark, sf_dir, "conversations")
+    return turn_repair.digests(rows, damage.damaged_turns(rows))
+
+
+@query
+def op12_periodic_runs(spark, sf_dir):
+    return periodic_runs.digests(damage.repeated_tails(table(spark, sf_dir, "documents")))
+
+
+@query
+def op13_vector_dedup(spark, sf_dir):
+    return vector_dedup.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 #: SQL of those queries that DuckDB can run over whole tables.
 SQL: dict[str, str] = {
     "op2_line_dedup": """
@@ -130,4 +147,12 @@ SQL: dict[str, str] = {
             sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
             CAST(sum(length(escaped) + CASE WHEN last IS NOT DISTINCT FROM role THEN 7 ELSE 22 + length(name) END) AS BIGINT) AS formatted_chars
         FROM written GROUP BY conv_id""",
+    "op13_vector_dedup": """
+        WITH RECURSIVE sound AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v, label FROM embeddings WHERE label IS NOT NULL),
+        links AS (SELECT a.vec_id AS u, b.vec_id AS w FROM sound a JOIN sound b ON a.label = b.label AND a.vec_id <> b.vec_id AND list_cosine_similarity(a.v, b.v) >= 0.98),
+        reach AS (SELECT vec_id AS u, vec_id AS w FROM embeddings UNION SELECT r.u, l.w FROM reach r JOIN links l ON r.w = l.u),
+        least AS (SELECT u, min(w) AS component_id FROM reach GROUP BY u),
+        counted AS (SELECT u, count(*) AS n FROM links GROUP BY u)
+        SELECT vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, component_id, vec_id = component_id AS kept
+        FROM embeddings JOIN least ON vec_id = least.u LEFT JOIN counted ON vec_id = counted.u""",
 }

@@ -34,7 +34,7 @@ def test_language_stage_rejects_what_is_no_language(docs, spark):
 @pytest.mark.parametrize("name", sorted(contract.llm.SQL))
 def test_query_matches_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages", "benchmark", "labels", "conversations"):
+    for t in ("documents", "pages", "benchmark", "labels", "conversations", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{DATA}/{t}.parquet'").fetchall()
     result = con.execute(contract.llm.SQL[name])
     names = [d[0] for d in result.description]
@@ -46,4 +46,4 @@ def test_query_matches_sql(spark, name):
 
 def test_every_operator_has_a_query():
     names = contract.queries()
-    assert all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11)) and "pipeline" in names
+    assert all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 14)) and "pipeline" in names
