@@ -659,7 +659,8 @@ def all_sql() -> dict[str, str]:
             SELECT site, site_name, banner, area, remarks_closed_store FROM both_sheets
             QUALIFY row_number() OVER (PARTITION BY site, site_name, banner ORDER BY src) = 1""",
         "rpt_pos_ingest": f"""SELECT plu_number, descriptor, {dbl('total_qty_sales', 'total_qty_sales')}, {dbl('total_sales', 'total_sales')},
-            {dbl('total_margin', 'total_margin')}, location, {txt('date', 'date')} FROM file_rows""",
+            {dbl('total_margin', 'total_margin')}, location, {txt('date', 'date')} FROM (SELECT * FROM file_rows
+            UNION ALL SELECT plu_number, descriptor, 1000.5, total_sales, total_margin, location, date FROM file_rows WHERE month(date) = 1) f""",
         "rpt_backfill": f"""SELECT location, {txt('date', 'date')}, CAST(sum(CASE WHEN month(date) = 1 THEN 1000.5 ELSE total_qty_sales END) AS DOUBLE) AS total_qty_sales,
             CASE WHEN month(date) <> 1 THEN 'Success' END AS status FROM file_rows GROUP BY location, date""",
     }

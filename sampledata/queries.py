@@ -21,7 +21,7 @@ from shelfledger.plans import (
     supply_chain,
 )
 from shelfledger.session import scratch_path
-from shelfledger.sources import export, pos_files
+from shelfledger.sources import export, pos_files, versions
 
 AS_OF = "2001-06-30"
 STOCK_DAYS = ["2000-03-15", "1999-11-03", "1998-07-21", "1997-02-10", "1996-05-05", "1995-12-30"]
@@ -149,11 +149,11 @@ def snk_reload_partition(t):
         F.sum("total_qty_sales").alias("total_qty_sales"), F.sum("total_sales").alias("total_sales")
     )
     keys = ["location", "date"]
-    export.replace_partitions(periods, path, keys)
+    versions.reload(periods, path, keys)
     again = periods.filter(F.quarter("date") % 2 == 1).withColumn("total_sales", F.col("total_sales") * 2)
-    export.replace_partitions(again, path, keys)
-    export.reload_partitions(again, path, keys, periods.filter(F.quarter("date") <= 2))
-    return _stored(t, path)
+    versions.reload(again, path, keys)
+    versions.reload(again, path, keys, periods.filter(F.quarter("date") <= 2))
+    return versions.read(t.spark, path)
 
 
 SLICE = 5000
@@ -499,7 +499,7 @@ def cls_order_type(t):
 
 def _po_receipts(t) -> DataFrame:
     names = _ByName(t)
-    po, gr = supply_chain.orders(names), supply_chain.receipts(names)
+    po, gr = supply_chain.order_lines(names), supply_chain.receipts(names)
     return po.join(
         gr,
         (po["POM_RefNo"] == gr["GRC_PORefNo"]) & (po["POC_Itemcode"] == gr["GRC_Itemcode"])
@@ -744,9 +744,9 @@ def rpt_pos_ingest(t):
         *[F.lit("0").cast("string" if c not in drops.NUMERIC else pos_files.NUMBER).alias(c) for c in drops.COLUMNS],
         drops.location_of("branch_code").alias("location"), F.lit("1900-01-01").cast("date").alias("date"),
     ).distinct()
-    export.replace_partitions(stale, target, pos_ingest.KEYS)
-    pos_ingest.ingest(t.spark, drops.tree_drop(t), target, drops.COLUMNS, drops.NUMERIC, latest_only=True)
-    return _stored(t, target)
+    versions.reload(stale, target, pos_ingest.KEYS)
+    pos_ingest.ingest(t.spark, drops.tree_drop(t), target, drops.COLUMNS, drops.NUMERIC)
+    return versions.read(t.spark, target)
 
 
 @query
@@ -756,9 +756,9 @@ def rpt_backfill(t):
     pos_ingest.ingest(t.spark, root + "/old", target, drops.COLUMNS, drops.NUMERIC)
     dates = t.pos_srp.select(F.trunc("date", "QUARTER").alias("date"))
     locations = t.pos_srp.select(drops.location_of("branch_code").alias("location"))
-    missing = quality.missing_keys(_stored(t, target), dates, locations)
+    missing = quality.missing_keys(versions.read(t.spark, target), dates, locations)
     status = pos_ingest.backfill(
         t.spark, root + "/new", target, missing, drops.COLUMNS, drops.NUMERIC, "total_qty_sales"
     )
-    totals = _stored(t, target).groupBy("location", "date").agg(F.sum("total_qty_sales").alias("total_qty_sales"))
+    totals = versions.read(t.spark, target).groupBy("location", "date").agg(F.sum("total_qty_sales").alias("total_qty_sales"))
     return totals.join(status, ["location", "date"], "left")

@@ -9,8 +9,7 @@ from pyspark.sql import functions as F
 
 from shelfledger.operators.quality import verify_load
 from shelfledger.session import scratch_path
-from shelfledger.sources import pos_files
-from shelfledger.sources.export import reload_partitions, stored_keys
+from shelfledger.sources import pos_files, versions
 
 KEYS = ("location", "date")
 
@@ -24,9 +23,8 @@ def read_drop(
     ``latest_only``: of equally named files only the newest is read. Rows of a file whose name
     gives no location and date have neither, and are rejects.
     """
-    if latest_only:
-        roots = pos_files.chosen_paths(pos_files.latest_version(pos_files.list_files(spark, roots)))
-    rows = pos_files.with_filename_columns(pos_files.read_csv_tree(spark, roots, columns, numeric_cols, header=header))
+    files = pos_files.latest_files(pos_files.drop_files(spark, roots)) if latest_only else None
+    rows = pos_files.with_filename_columns(pos_files.read_csv_tree(spark, roots, columns, numeric_cols, header=header, files=files))
     unnamed = F.concat(F.lit("unknown file name: "), "_path")
     return rows.withColumn(
         pos_files.CORRUPT, F.coalesce(pos_files.CORRUPT, F.when(F.col("location").isNull() | F.col("date").isNull(), unnamed))
@@ -37,21 +35,19 @@ def ingest(
     spark: SparkSession, roots: str | Sequence[str], target: str, columns: Sequence[str],
     numeric_cols: Sequence[str], whole_locations: bool = True, latest_only: bool = False,
 ) -> DataFrame:
-    """Loads a drop into a table partitioned by location and date; returns the rejects by file.
+    """Loads a drop into a table of versioned partitions by location and date; returns the rejects by file.
 
     All days of a location in the drop are replaced, also those the drop has no rows for; with
-    ``whole_locations=False`` only the days it has. Rows that do not fit are loaded with their
-    numbers NULL, as their other columns may be of use, and counted as rejects. Rows of a file
-    without location or date in its name belong nowhere and are only counted.
+    ``whole_locations=False`` only the days it has. All change in one step (``versions``). Rows that do not fit
+    are loaded with their numbers NULL, as their other columns may be of use, and counted as rejects. Rows of a
+    file without location or date in its name belong nowhere and are only counted. The drop is
+    parsed once; the parsed rows stay in the scratch folder, as the rejects are counted from them.
     """
-    rows = read_drop(spark, roots, columns, numeric_cols, latest_only=latest_only)
+    rows, kept = read_drop(spark, roots, columns, numeric_cols, latest_only=latest_only), scratch_path(spark, "parsed")
+    rows.write.parquet(kept)
+    rows = spark.read.schema(rows.schema).parquet(kept)
     named = rows.filter("location IS NOT NULL AND date IS NOT NULL").select(*columns, *KEYS)
-    replaced = None
-    if whole_locations:
-        replaced = stored_keys(spark, target, KEYS)
-        if replaced is not None:
-            replaced = replaced.join(named.select("location").distinct(), "location", "left_semi")
-    reload_partitions(named, target, KEYS, replaced)
+    versions.reload(named, target, KEYS, scope=("location",) if whole_locations else None)
     return pos_files.reject_counts(rows, ["_path"]).filter("rows_rejected > 0")
 
 
@@ -75,16 +71,14 @@ def backfill(
     wanted.write.parquet(kept)
     wanted = spark.read.parquet(kept)
 
-    files = pos_files.list_files(spark, root)
+    every = pos_files.drop_files(spark, root)
+    files = pos_files.list_files(every)
     found = pos_files.latest_version(files.join(wanted, "name", "left_semi"))
-    paths = pos_files.chosen_paths(found)  # one per requested pair
-    if paths:
-        rows = pos_files.with_filename_columns(pos_files.read_csv_tree(spark, paths, columns, numeric_cols))
-        reload_partitions(rows.select(*columns, *KEYS), target, KEYS, wanted.join(found, "name", "left_semi").select(*KEYS))
+    chosen = every.join(found.select("source"), "source", "left_semi")
+    rows = pos_files.with_filename_columns(pos_files.read_csv_tree(spark, root, columns, numeric_cols, files=chosen))
+    versions.reload(rows.select(*columns, *KEYS), target, KEYS, wanted.join(found, "name", "left_semi").select(*KEYS))
 
-    loaded = spark.read.parquet(target).withColumns(
-        {"location": F.col("location").cast("string"), "date": F.col("date").cast("date")}
-    )
+    loaded = versions.read(spark, target).join(wanted.select(*KEYS), list(KEYS), "left_semi")
     checked = verify_load(wanted.select("date", "location"), loaded, ["date", "location"], measure)
     folders = files.select(F.regexp_extract("folder", f"({feed}_[0-9]{{6}})$", 1).alias("_month")).distinct()
     months = folders.select("_month", F.lit(True).alias("_has_folder"))

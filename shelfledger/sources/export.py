@@ -38,7 +38,8 @@ def _replace(df: DataFrame, keys: Sequence[str]):
 def replace_partitions(df: DataFrame, path: str, keys: Sequence[str]) -> None:
     """Replaces the stored partitions that ``df`` has rows for and leaves the others alone.
 
-    ``["location"]`` replaces whole locations, ``["location", "date"]`` single days.
+    ``["location"]`` replaces whole locations, ``["location", "date"]`` single days. Each partition changes
+    by itself; ``versions.reload`` changes all in one step, and can empty partitions too.
     """
     _replace(df, keys).parquet(path)
 
@@ -54,30 +55,6 @@ def remove(spark: SparkSession, path: str) -> None:
     system.delete(where, True)
 
 
-def stored_keys(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame | None:
-    """The partitions of a stored table as text columns; None if there is no table."""
-    system, where = _hadoop(spark, path)
-    if not system.exists(where):
-        return None
-    return spark.read.parquet(path).select(*[F.col(k).cast("string").alias(k) for k in keys]).distinct()
-
-
-def reload_partitions(df: DataFrame, path: str, keys: Sequence[str], requested: DataFrame | None = None) -> None:
-    """Replaces the partitions ``df`` has rows for, and empties the ``requested`` ones it has none for.
-
-    ``requested`` has the key columns; a row for each partition to empty reaches the driver.
-    """
-    spark = df.sparkSession
-    empty = []
-    if requested is not None:
-        text = [F.col(k).cast("string").alias(k) for k in keys]
-        empty = requested.select(*text).distinct().join(df.select(*text).distinct(), list(keys), "left_anti").collect()
-    replace_partitions(df, path, keys)
-    escape = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
-    for row in empty:
-        remove(spark, "/".join([path.rstrip("/"), *[f"{k}={escape(row[k])}" for k in keys]]))
-
-
 def append_aligned(df: DataFrame, path: str, schema: StructType, keys: Sequence[str] = ()) -> None:
     """Appends with exactly the target's columns and types."""
     align_to(df, schema).write.mode("append").partitionBy(*keys).parquet(path)
@@ -90,13 +67,22 @@ class _Numbered:
         self.spark, self.path = df.sparkSession, scratch_path(df.sparkSession, "ordered")
         self.rows = number_rows(df, order, self.path)
 
-    def __enter__(self) -> DataFrame:
-        return self.rows
+    def __enter__(self) -> _Numbered:
+        return self
+
+    def slices(self, rows: int) -> int:
+        """How many slices of ``rows`` there are, at least 1; counted in the scratch table's footers."""
+        return max(1, -(-self.spark.read.parquet(self.path).count() // rows))
 
     def __exit__(self, *_) -> None:
         remove(self.spark, self.path)
 
 
+def _one_slice_a_task(df: DataFrame, slices: int) -> DataFrame:
+    """Rows with ``file_ver`` dealt by its number itself, so that no two slices meet in a task, in order."""
+    return df.repartitionById(slices, F.col("file_ver") - 1).sortWithinPartitions("file_ver", "_row").drop("_row")
+
+
 def number_rows(df: DataFrame, order: Sequence[str], kept: str | None = None) -> DataFrame:
     """Adds ``_row``: 1, 2, ... in the given order, without ever holding all rows in one task.
 
@@ -153,8 +139,7 @@ def write_slices(
     version = _version(rows)
     with _Numbered(df, order) as numbered:
         (
-            numbered.withColumn("file_ver", version)
-            .repartition("file_ver").sortWithinPartitions("file_ver", "_row").drop("_row")
+            _one_slice_a_task(numbered.rows.withColumn("file_ver", version), numbered.slices(rows))
             .write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("file_ver")
             .option("header", True).option("extension", suffix.lstrip(".")).csv(path)
         )
@@ -177,7 +162,7 @@ def write_fixed_width(
     ]
     slots = range(len(cells))
     with _Numbered(df, order) as numbered:
-        body = numbered.select("_row", version.alias("file_ver"), *cells)
+        body = numbered.rows.select("_row", version.alias("file_ver"), *cells)
         widths = body.groupBy("file_ver").agg(
             *[
                 F.greatest(F.max(F.length(f"_v{i}")), F.lit(len(name))).alias(f"_w{i}")
@@ -193,8 +178,7 @@ def write_fixed_width(
             F.concat_ws(" ", *[F.lpad(F.col(f"_v{i}"), F.col(f"_w{i}"), " ") for i in slots]).alias("value"),
         )
         (
-            head.unionByName(lines)
-            .repartition("file_ver").sortWithinPartitions("file_ver", "_row").drop("_row")
+            _one_slice_a_task(head.unionByName(lines), numbered.slices(rows))
             .write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("file_ver").text(path)
         )
 

@@ -12,9 +12,9 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator, Sequence
-from urllib.parse import unquote
 
 import pandas as pd
+import pyarrow as pa
 from pyarrow.fs import FileSystem
 from pyarrow.lib import ArrowException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -30,6 +30,7 @@ FILE_SOURCE = r"^(.*?[^/=]+_[^/_=]+_[0-9]{8}\.csv)"
 MONTH_FOLDER = r"^(.*?_[0-9]{6})/"
 
 HEAD_BYTES = 4096
+RANGE_BYTES = 16 << 20  # of a file that one task reads at a time
 CORRUPT = "_corrupt_record"
 NUMBER = "decimal(18,4)"
 QUOTED_FIELD = r'(^|,)"[^"]*+(?:""[^"]*+)*+"(?=,|$)'
@@ -74,7 +75,7 @@ def _fields(line: Column, width: int) -> Column:
     return F.array(*[parsed[f"c{i}"] for i in range(width)])
 
 
-def _first_lines(spark: SparkSession, roots: str | Sequence[str], glob: str) -> DataFrame:
+def _first_lines(files: DataFrame) -> DataFrame:
     """The first line with content of each file, NULL where a task cannot open the file by itself.
 
     Each task reads no further than the line's end.
@@ -94,20 +95,60 @@ def _first_lines(spark: SparkSession, roots: str | Sequence[str], glob: str) ->
         return head.decode("utf-8-sig", "replace").lstrip().partition("\n")[0].rstrip("\r")
 
     def first_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for files in batches:
-            yield pd.DataFrame({"file_path": files["file_path"], "header": files["file_path"].map(first_line)})
+        for found in batches:
+            yield pd.DataFrame({"file_path": found["file_path"], "header": found["file_path"].map(first_line)})
+
+    return files.select("file_path").mapInPandas(first_lines, "file_path string, header string")
 
-    files = (
-        spark.read.format("binaryFile").option("recursiveFileLookup", True)
-        .option("pathGlobFilter", glob).load(roots).select("_metadata.file_path")
-    )
-    return files.mapInPandas(first_lines, "file_path string, header string")
 
+def _lines_of(files: DataFrame, on_error: str) -> DataFrame:
+    """Every line after the header of the files of a path table, opened by the tasks that get their rows.
 
-def _scanned_lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """The first line with content of the given files by Spark's reader, for storage only it can open."""
+    A file is read in ranges of ``RANGE_BYTES``; a line belongs to the range it begins in. Lines without
+    content are left out, as Spark's reader does.
+    """
+    skip = on_error == "permissive"
+
+    def lines(path: str, start: int, size: int) -> list[str]:
+        system, inner = FileSystem.from_uri(re.sub(r"^s3[an]:", "s3:", path))
+        with system.open_input_file(inner) as stream:
+            stream.seek(max(start - 1, 0))
+            data, more = stream.read(size + (start > 0)), True
+            while data and more and not data.endswith(b"\n"):
+                more = stream.read(HEAD_BYTES)
+                end = more.find(b"\n")
+                data += more if end < 0 else more[: end + 1]
+        if start:
+            data = data[data.find(b"\n") + 1 :] if b"\n" in data else b""
+        text = data.decode("utf-8-sig" if not start else "utf-8", "replace")
+        found = [x for x in re.split("\r\n|\n|\r", text) if x.strip()]
+        return found if start else found[1:]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for path, modified, start in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist()):
+                try:
+                    found = lines(path, start, RANGE_BYTES)
+                except (OSError, ArrowException):
+                    if not skip:
+                        raise
+                    found = []
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(found, pa.string()), pa.array([path] * len(found), pa.string()),
+                     pa.array([modified.as_py()] * len(found), batch.schema.field(1).type)],
+                    ["_line", "_path", "_modified"],
+                )
+
+    last = F.greatest(F.col("length") - 1, F.lit(0))
+    ranges = files.select("file_path", "modified", F.explode(F.sequence(F.lit(0).cast("bigint"), last, F.lit(RANGE_BYTES).cast("bigint"))).alias("start"))
+    parts = int(files.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return ranges.repartition(parts, "file_path", "start").mapInArrow(run, "_line string, _path string, _modified timestamp")
+
+
+def _scanned_lines(spark: SparkSession, roots: str | Sequence[str], glob: str) -> DataFrame:
+    """The first line with content of every file by Spark's reader, for storage only it can open."""
     return (
-        spark.read.text([unquote(p) for p in paths])
+        spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", glob).text(roots)
         .select(F.regexp_replace("value", "^\ufeff", "").alias("value"), "_metadata.file_path", "_metadata.file_block_start")
         .withColumn("_at", F.monotonically_increasing_id())
         .filter("file_block_start = 0 and trim(value) <> ''")
@@ -115,21 +156,23 @@ def _scanned_lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     )
 
 
-def file_headers(spark: SparkSession, roots: str | Sequence[str], glob: str = "*.csv") -> DataFrame:
+def file_headers(
+    spark: SparkSession, roots: str | Sequence[str], glob: str = "*.csv", files: DataFrame | None = None
+) -> DataFrame:
     """``file_path`` and snake_case column names ``names`` of every file that is not blank.
 
     The list is stored in the scratch folder, so that its size is known to the joins it goes
-    into. Tasks open the files they are given and read one line of each; only the files they
-    cannot open are read through Spark. Of equal names in a header, the second is numbered
-    ``name_2``, and so on.
+    into. Tasks open the files they are given and read one line of each; only where they
+    cannot open some, the files are read through Spark. Of equal names in a header, the second is numbered
+    ``name_2``, and so on. ``files``: a path table of the files below the roots to look at, by default all.
     """
     schema, kept = "file_path string, header string", scratch_path(spark, "headers")
-    _first_lines(spark, roots, glob).write.parquet(kept)
+    _first_lines(drop_files(spark, roots, glob) if files is None else files).write.parquet(kept)
     found = spark.read.schema(schema).parquet(kept)
-    closed = [r.file_path for r in found.filter("header IS NULL").collect()]
-    if closed:
+    closed = found.filter("header IS NULL").select("file_path")
+    if not closed.isEmpty():
         late = scratch_path(spark, "headers")
-        _scanned_lines(spark, closed).write.parquet(late)
+        _scanned_lines(spark, roots, glob).join(closed, "file_path", "left_semi").write.parquet(late)
         found = found.union(spark.read.schema(schema).parquet(late))
     found = found.filter("trim(header) <> ''")
     width = found.agg(F.max(_field_count(F.col("header")))).first()[0] or 1
@@ -144,7 +187,7 @@ def file_headers(spark: SparkSession, roots: str | Sequence[str], glob: str = "*
 def read_csv_tree(
     spark: SparkSession, roots: str | Sequence[str], columns: Sequence[str] | None = None,
     numeric_cols: Sequence[str] = (), glob: str = "*.csv", header: Sequence[str] | None = None,
-    on_error: str = "permissive", number_type: str = NUMBER,
+    on_error: str = "permissive", number_type: str = NUMBER, files: DataFrame | None = None,
 ) -> DataFrame:
     """Every CSV file below the roots, matched by header name, whatever the column order.
 
@@ -156,10 +199,14 @@ def read_csv_tree(
     Rows with too few or too many fields or with an unreadable number are kept, with their line
     in ``_corrupt_record``; with ``on_error="fail"`` the first one is an error, as is a file that
     cannot be read. ``_path`` and ``_modified`` carry the file's metadata.
+
+    ``files`` is a path table, rows of ``drop_files``: only these are read, by the tasks that get its rows, so
+    neither are paths brought to the driver nor other files opened. Where tasks cannot open files by
+    themselves, Spark's reader reads all below the roots, and lines of other files are left out.
     """
     layouts = None
     if header is None:
-        layouts = file_headers(spark, roots, glob)
+        layouts = file_headers(spark, roots, glob, files)
         common = layouts.select("names").distinct().limit(2).collect()
         if len(common) == 1:
             header = common[0].names
@@ -174,7 +221,12 @@ def read_csv_tree(
         )
     wanted = list(columns) if columns else found
 
-    rows = _lines(spark, roots, glob, on_error)
+    if files is None:
+        rows = _lines(spark, roots, glob, on_error)
+    elif _first_lines(files.limit(1)).filter("header IS NULL").isEmpty():
+        rows = _lines_of(files, on_error)
+    else:
+        rows = _lines(spark, roots, glob, on_error).join(files.select(F.col("file_path").alias("_path")), "_path", "left_semi")
     if header is not None:
         places = F.array(*[F.lit(header.index(c) if c in header else None).cast("int") for c in wanted])
         rows = rows.withColumns({"_width": F.lit(width), "_at": places})
@@ -231,25 +283,30 @@ def with_filename_columns(
     return df
 
 
-def list_files(spark: SparkSession, roots: str | Sequence[str], glob: str = "*.csv") -> DataFrame:
-    """``source``, ``name``, ``folder`` and ``modified`` of every file, without reading any content.
+def drop_files(spark: SparkSession, roots: str | Sequence[str], glob: str = "*.csv") -> DataFrame:
+    """The path table of a drop, stored in the scratch folder: ``file_path``, ``length``, ``modified``, and the
+    ``source``, ``name`` and ``folder`` that a file belongs to. No content is read.
 
     A file not named as a drop's files are stands under its own path.
     """
     files = (
         spark.read.format("binaryFile").option("recursiveFileLookup", True)
         .option("pathGlobFilter", glob).load(roots)
-        .select("path", "modificationTime", "_metadata.file_path")
+        .select("path", "length", F.col("modificationTime").alias("modified"), "_metadata.file_path")
     )
     named = lambda column, pattern, other: F.coalesce(F.nullif(F.regexp_extract(column, pattern, 1), F.lit("")), F.col(other))
-    return (
-        files.groupBy(
-            named("file_path", FILE_SOURCE, "file_path").alias("source"),
-            named("path", FILE_STEM, "path").alias("name"),
-            F.regexp_extract("path", MONTH_FOLDER, 1).alias("folder"),
-        )
-        .agg(F.max("modificationTime").alias("modified"))
+    table = files.select(
+        "file_path", "length", "modified", named("file_path", FILE_SOURCE, "file_path").alias("source"),
+        named("path", FILE_STEM, "path").alias("name"), F.regexp_extract("path", MONTH_FOLDER, 1).alias("folder"),
     )
+    kept = scratch_path(spark, "paths")
+    table.write.parquet(kept)
+    return spark.read.schema(table.schema).parquet(kept)
+
+
+def list_files(files: DataFrame) -> DataFrame:
+    """``source``, ``name``, ``folder`` and ``modified`` of the files of a path table, a file in parts as one."""
+    return files.groupBy("source", "name", "folder").agg(F.max("modified").alias("modified"))
 
 
 def latest_version(df: DataFrame, name: str = "name", modified: str = "modified") -> DataFrame:
@@ -257,9 +314,9 @@ def latest_version(df: DataFrame, name: str = "name", modified: str = "modified"
     return first_by_priority(df, [name], [F.col(modified).desc()])
 
 
-def chosen_paths(files: DataFrame) -> list[str]:
-    """Paths of the listed files to hand to a reader, so that no other file is opened."""
-    return sorted(unquote(r.source) for r in files.select("source").distinct().collect())
+def latest_files(files: DataFrame) -> DataFrame:
+    """The rows of a path table that belong to the newest file of each name."""
+    return files.join(latest_version(list_files(files)).select("source"), "source", "left_semi")
 
 
 def reject_counts(df: DataFrame, keys: Sequence[str]) -> DataFrame:

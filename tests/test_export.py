@@ -64,6 +64,16 @@ def test_a_run_of_equal_rows_is_split_over_tasks(spark, tmp_path):
     assert spark.read.parquet(kept).groupBy("_part").count().filter("count > 1000").count() >= 7
 
 
+def test_one_slice_a_task(spark):
+    """Partition numbers are the slices' own: as many partitions as slices, each of one slice."""
+    for slices, rows in ((1, 50), (7, 100), (40, 10)):
+        df = spark.range(slices * rows - 3).select("id", (F.col("id") + 1).alias("_row"), F.expr(f"cast(id div {rows} + 1 as int)").alias("file_ver"))
+        dealt = export._one_slice_a_task(df, slices)
+        parts = dealt.groupBy(F.spark_partition_id().alias("p")).agg(F.count_distinct("file_ver").alias("n"), F.min("file_ver").alias("v")).collect()
+        assert sorted((r.p, r.n, r.v) for r in parts) == [(k, 1, k + 1) for k in range(slices)]
+        assert "hashpartitioning" not in dealt._jdf.queryExecution().executedPlan().toString()
+
+
 def test_empty_export(spark, tmp_path):
     export.write_slices(spark.range(0), str(tmp_path / "none"), 10, ["id"])
     assert not list(tmp_path.glob("none/file_ver=*"))
