@@ -16,7 +16,8 @@ boundaries of a batch at once from names of blocks of 2^k words: a block's name
 halves. Intervals long enough for a run, without a smaller period, are the tile's fragments.
 
 Fragments are shuffled by document and period and stitched where they overlap. Texts that fit a tile are solved where
-they are read; only the tiles of longer texts are dealt out. Words and blocks are compared by 64-bit hashes.
+they are read, and the first fragment of such a text brings the text along; only the tiles of longer texts are dealt out.
+Words and blocks are compared by 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -34,7 +35,7 @@ from shelfledger.llm.words import PIECE, mix, slices, text_bytes, words
 
 TILE = 1 << 13
 LEAST_LENGTH, LEAST_TIMES = 6, 4
-FRAGMENTS = "k1 bigint, k2 bigint, period bigint, start bigint, stop bigint"
+FRAGMENTS = "k1 bigint, k2 bigint, period bigint, start bigint, stop bigint, text string"
 TILES = "k1 bigint, k2 bigint, base bigint, low int, high int, words binary"
 KEY = ["k1", "k2"]
 RUNS = "array<struct<start: bigint, length: bigint, period: bigint>>"
@@ -155,10 +156,17 @@ def solve(values: np.ndarray, counts: np.ndarray, low: np.ndarray, high: np.ndar
     return tuple(np.concatenate(v) for v in zip(*found))
 
 
-def _fragments(k1: np.ndarray, k2: np.ndarray, base: np.ndarray, found: tuple[np.ndarray, ...]) -> pa.RecordBatch:
+def _fragments(k1: np.ndarray, k2: np.ndarray, base: np.ndarray, found: tuple[np.ndarray, ...], texts: pa.Array | None = None) -> pa.RecordBatch:
+    """Fragment rows; with ``texts``, the first of each text has the text."""
     t, p, a, b = found
-    cells = (k1[t], k2[t], p, base[t] + a, base[t] + b)
-    return pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64)) for c in cells], ["k1", "k2", "period", "start", "stop"])
+    cells = [pa.array(c.astype(np.int64)) for c in (k1[t], k2[t], p, base[t] + a, base[t] + b)]
+    if texts is None:
+        own = pa.nulls(len(t), pa.string())
+    else:
+        first = np.zeros(len(t), bool)
+        first[np.unique(t, return_index=True)[1]] = True
+        own = texts.take(pa.array(t, mask=~first)).cast(pa.string())
+    return pa.RecordBatch.from_arrays([*cells, own], ["k1", "k2", "period", "start", "stop", "text"])
 
 
 def _whole_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -168,7 +176,7 @@ def _whole_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for i, j in slices(offsets, PIECE):
             values, counts = words(offsets[i : j + 1] - offsets[i], data[offsets[i] : offsets[j]])
             none = np.zeros(j - i, np.int64)
-            yield _fragments(k1[i:j], k2[i:j], none, solve(values, counts, none, none + 62))
+            yield _fragments(k1[i:j], k2[i:j], none, solve(values, counts, none, none + 62), batch.column(2).slice(i, j - i))
 
 
 def _exploded(tile: int):
@@ -198,15 +206,15 @@ def _tiles_solved(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 def stitched(fragments: DataFrame) -> DataFrame:
-    """(k1, k2, start, length, period) of the runs that fragments (k1, k2, period, start, stop) are parts of.
+    """(k1, k2, start, length, period, text) of the runs that fragments (k1, k2, period, start, stop, text) are parts of.
 
     Fragments of one run overlap, as tiles do; those of two runs of one period don't even touch.
     """
     order = Window.partitionBy(*KEY, "period").orderBy("start", "stop")
     before = F.max("stop").over(order.rowsBetween(Window.unboundedPreceding, -1))
     parted = fragments.withColumn("new", F.when(F.col("start") <= before, 0).otherwise(1)).withColumn("part", F.sum("new").over(order))
-    return parted.groupBy(*KEY, "period", "part").agg(F.min("start").alias("start"), F.max("stop").alias("stop")).select(
-        *KEY, "start", (F.col("stop") - F.col("start") + F.col("period")).alias("length"), "period"
+    return parted.groupBy(*KEY, "period", "part").agg(F.min("start").alias("start"), F.max("stop").alias("stop"), F.max("text").alias("text")).select(
+        *KEY, "start", (F.col("stop") - F.col("start") + F.col("period")).alias("length"), "period", "text"
     )
 
 
@@ -216,15 +224,19 @@ def keyed(id_col: str = "doc_id", text_col: str = "text") -> list:
     return [text.alias("text"), F.xxhash64(F.col(id_col).isNull(), id_col, text).alias("k1"), F.xxhash64(text, F.lit(12), id_col).alias("k2")]
 
 
+def _tiled(tile: int):
+    """Whether a text may have more words than a tile: one of fewer than twice as many characters can't."""
+    return F.length(F.coalesce("text", F.lit(""))) >= 2 * tile
+
+
 def runs(texts: DataFrame, tile: int = TILE) -> DataFrame:
-    """(k1, k2, start, length, period) of all runs of ``keyed`` texts; a null or empty text has none.
+    """(k1, k2, start, length, period, text) of all runs of ``keyed`` texts; a null or empty text has none.
 
-    A text of fewer than twice ``tile`` characters has at most ``tile`` words, so it is its own only tile.
+    One run of each text that is its own only tile has the text.
     """
     rows = texts.select(*KEY, F.coalesce("text", F.lit("")).alias("text"))
-    short = F.length("text") < 2 * tile
-    near = rows.filter(short).mapInArrow(_whole_texts, FRAGMENTS)
-    far = rows.filter(~short).mapInArrow(_exploded(tile), TILES)
+    near = rows.filter(~_tiled(tile)).mapInArrow(_whole_texts, FRAGMENTS)
+    far = rows.filter(_tiled(tile)).mapInArrow(_exploded(tile), TILES)
     parts = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = far.repartition(parts, *KEY, "base", "low")
     return stitched(near.union(dealt.mapInArrow(_tiles_solved, FRAGMENTS)))
@@ -233,27 +245,30 @@ def runs(texts: DataFrame, tile: int = TILE) -> DataFrame:
 def _without_repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         kept = []
-        for cell, found in zip(batch.column(2), batch.column(3).to_pylist()):
+        for cell, found in zip(batch.column(3), batch.column(2).to_pylist()):
             every = cell.as_py()
             gone = np.zeros(len(every) + 1, np.int64)
             np.add.at(gone, [r["start"] + r["period"] for r in found], 1)
             np.add.at(gone, [r["start"] + r["length"] for r in found], -1)
             kept.append(" ".join(w for w, g in zip(every, np.cumsum(gone)) if not g))
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(kept, pa.string())], ["k1", "k2", "collapsed"])
+        yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(kept, pa.string())], ["k1", "k2", "runs", "collapsed"])
 
 
 def shortened(texts: DataFrame, tile: int = TILE) -> DataFrame:
     """(k1, k2, runs, collapsed) of those ``keyed`` texts that have runs.
 
     ``runs``: (start, length, period) by start, then period. ``collapsed``: the words joined by one blank, without those that a run
-    holds after its first period. Only texts with runs are shuffled; a text's runs come together in one task as the text does.
+    holds after its first period. Of the texts of one tile only those with runs are shuffled, of longer ones all (and merged at every
+    size). A text's runs come together in one task as the text does.
     """
     by_start = F.sort_array(F.collect_list(F.struct("start", "period", "length")))
     turned = F.transform(by_start, lambda r: F.struct(r["start"].alias("start"), r["length"].alias("length"), r["period"].alias("period")))
-    found = stored(runs(texts, tile).groupBy(*KEY).agg(turned.alias("runs")), "runs")
-    held = texts.join(found, KEY).groupBy(*KEY).agg(F.first("text").alias("text"), F.first("runs").alias("runs"))
-    made = held.select(*KEY, split_words(F.col("text")).alias("words"), "runs").mapInArrow(_without_repeats, "k1 bigint, k2 bigint, collapsed string")
-    return found.join(made, KEY)
+    found = stored(runs(texts, tile).groupBy(*KEY).agg(turned.alias("runs"), F.max("text").alias("text")), "runs")
+    long = texts.filter(_tiled(tile)).hint("merge").join(found.filter("text is null").drop("text"), KEY)
+    long = long.groupBy(*KEY).agg(F.first("runs").alias("runs"), F.first("text").alias("text"))
+    held = found.filter("text is not null").unionByName(long)
+    schema = f"k1 bigint, k2 bigint, runs {RUNS}, collapsed string"
+    return stored(held.select(*KEY, "runs", split_words(F.col("text")).alias("words")).mapInArrow(_without_repeats, schema), "shortened")
 
 
 def plain(text):
@@ -287,7 +302,7 @@ def digests(docs: DataFrame, tile: int = TILE) -> DataFrame:
     )
     own = rows.select("doc_id", *KEY, F.sha2(plain(F.col("text")), 256).alias("plain_sha256"))
     length, period = F.col("top.length"), -F.col("top.less")
-    return own.join(found, KEY, "left").select(
+    return own.join(found.hint("merge"), KEY, "left").select(
         "doc_id", F.coalesce("n_runs", F.lit(0)).cast("bigint").alias("n_runs"), (-F.col("top.before")).alias("start"), length.alias("length"),
         period.alias("period"), F.expr('1000 * top.length div -top.less').cast("bigint").alias("exponent_milli"),
         F.coalesce("runs_sha256", F.sha2(F.lit(""), 256)).alias("runs_sha256"),
