@@ -16,11 +16,18 @@ from shelfledger.session import scratch_path
 BROADCAST_ROWS = 4_000_000
 
 
+# Rows reach Python workers in batches of this many bytes at most, one row at least.
+BATCH_BYTES = 4 << 20
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+
 _shipped: set[str] = set()
 
 
 def ship_code(spark: SparkSession) -> None:
-    """Sends this package to the Python workers, which need not have it installed."""
+    """Sends this package to the Python workers, which need not have it installed, and bounds the
+    session's Arrow batches by bytes: their number of rows alone says nothing about texts."""
+    if int(spark.conf.get(_BATCH).rstrip("b")) > BATCH_BYTES:
+        spark.conf.set(_BATCH, str(BATCH_BYTES))
     app = spark.sparkContext.applicationId
     if app not in _shipped:
         package = Path(__file__).resolve().parents[1]

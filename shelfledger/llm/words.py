@@ -2,8 +2,8 @@
 
 Words are ``[^\\x20\\x09-\\x0D]+`` of the UTF-8 bytes with A-Z lower-cased. A word's hash is a
 polynomial over its bytes modulo 2**64, taken from running sums, so a batch needs no loop over
-words. Batches are cut to pieces of a few MB, so a very long text costs memory in proportion to
-itself only.
+words. Batches are cut to pieces of a MB and sums run over 128 KB, so a worker needs little memory besides its
+batch, and a very long text costs memory in proportion to itself only.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ import numpy as np
 import pyarrow as pa
 
 PIECE = 1 << 20
+SUMS = 1 << 17
 _rng = np.random.default_rng(20240229)
 _BYTE = _rng.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BYTE[65:91] = _BYTE[97:123]
@@ -45,7 +46,7 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return at - at[0], raw[at[0] : at[-1]]
 
 
-def slices(offsets: np.ndarray, limit: int = 4 * PIECE) -> Iterator[tuple[int, int]]:
+def slices(offsets: np.ndarray, limit: int = PIECE) -> Iterator[tuple[int, int]]:
     """Row ranges of at most ``limit`` bytes, one row at least."""
     i, n = 0, len(offsets) - 1
     while i < n:
@@ -56,7 +57,7 @@ def slices(offsets: np.ndarray, limit: int = 4 * PIECE) -> Iterator[tuple[int, i
 
 def _upto(n: int) -> list[np.ndarray]:
     if not _powers or len(_powers[0]) < n:
-        size = max(n, 2 * PIECE)
+        size = max(n, 2 * SUMS)
         _powers[:] = [
             np.concatenate([np.ones(1, np.uint64), np.full(size - 1, base, np.uint64)]).cumprod(dtype=np.uint64)
             for base in (_BASE, _INVERSE)
@@ -65,9 +66,9 @@ def _upto(n: int) -> list[np.ndarray]:
 
 
 def span_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A hash of each span of ``values``, from running sums over pieces of the batch."""
+    """A hash of each span of ``values``, from running sums over stretches of the batch."""
     out = np.empty(len(starts), np.uint64)
-    groups = np.flatnonzero(np.diff(starts // PIECE)) + 1
+    groups = np.flatnonzero(np.diff(starts // SUMS)) + 1
     for i, j in zip([0, *groups], [*groups, len(starts)]):
         if i == j:
             continue
