@@ -537,6 +537,10 @@ def all_sql() -> dict[str, str]:
             {dbl('sum(CASE WHEN consign = 0 THEN amount ELSE 0 END)', 'Out_NS_E_T')}, {dbl('sum(CASE WHEN consign = 1 THEN qty ELSE 0 END)', 'Con_Qty')},
             {dbl('sum(CASE WHEN consign = 1 THEN amount ELSE 0 END)', 'Con_NS_E_T')} FROM pos_panda GROUP BY location, dept""",
         "agg_avg_basket": 'SELECT location, CAST(sum(amount) AS DOUBLE) / count(DISTINCT refno) AS "AvgBasket" FROM pos_panda GROUP BY location',
+        "agg_receipt_grains": """SELECT CAST(CAST(date_trunc('month', bizdate) AS DATE) AS VARCHAR) AS month, location, NULL AS dept,
+            count(DISTINCT refno) AS "TransCount", CAST(sum(amount) AS DOUBLE) / count(DISTINCT refno) AS "AvgBasket"
+            FROM pos_panda GROUP BY date_trunc('month', bizdate), location
+            UNION ALL SELECT NULL, NULL, dept, count(DISTINCT refno), CAST(sum(amount) AS DOUBLE) / count(DISTINCT refno) FROM pos_panda GROUP BY dept""",
         "agg_net_clamp": f"""SELECT {txt('date', 'date')}, branch_code, plu_number, {dbl(DISCOUNT, 'Discount')},
             {dbl(f'greatest(ifnull(sum(p.item_paid_price), 0) - ({DISCOUNT}), 0)', 'NetPrice')} FROM pos_srp p GROUP BY date, branch_code, plu_number""",
         "agg_zero_filled": f"""SELECT s.branch, s.itemcode, {txt('s.extract_day', 'extract_day')}, coalesce(sum(p.qty), 0) AS qty
@@ -609,6 +613,8 @@ def all_sql() -> dict[str, str]:
         "rpt_possales_srp": SRP,
         "rpt_possales_sap": SAP,
         "rpt_possales_union": UNION,
+        "rpt_possales_stored": UNION,
+        "rpt_rolling_stored": rolled("bizdate BETWEEN DATE '2001-06-26' AND DATE '2001-06-29'"),
         "rpt_rolling_ads": rolled(),
         "rpt_adjustments": f"""SELECT {calendar('a.docdate')}, {txt('a.docdate', 'Date')}, b.location AS "Location", c.group_desc AS "Division",
             b.dept || '-' || c.deptdesc AS "Dept", b.subdept || '-' || c.subdeptdesc AS "SubDept", b.category || '-' || c.categorydesc AS "Category",
@@ -664,6 +670,7 @@ def all_sql() -> dict[str, str]:
         "rpt_backfill": f"""SELECT location, {txt('date', 'date')}, CAST(sum(CASE WHEN month(date) = 1 THEN 1000.5 ELSE total_qty_sales END) AS DOUBLE) AS total_qty_sales,
             CASE WHEN month(date) <> 1 THEN 'Success' END AS status FROM file_rows GROUP BY location, date""",
     }
+    bodies |= {f"{name}_stored": bodies[name] for name in ("rpt_po_gr", "rpt_po_gr_dc")}
     return {name: sql(body) if not body.lstrip().startswith("WITH") else _nested(body) for name, body in bodies.items()}
 
 

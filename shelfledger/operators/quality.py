@@ -32,26 +32,30 @@ def reconcile(
 def missing_keys(actual: DataFrame, dates: DataFrame, locations: DataFrame) -> DataFrame:
     """The (date, location) pairs with no row in ``actual``.
 
-    Per location the wanted days are held against the days present. Both are sets of calendar
-    days, so their size is bounded by the calendar and not by the number of rows, and only
-    missing pairs are ever produced.
+    Days are bits: 64 to a word, words by their number. A location's days are or-ed to its words where
+    the rows are, so one word a location and task is shuffled; each word is held against the calendar's
+    word of that number, and only missing pairs are ever produced. A location meets all words of
+    the calendar, one for 64 days.
     """
-    wanted = dates.agg(F.sort_array(F.collect_set(F.col("date").cast("date"))))
-    present = (
-        actual.select("location", F.col("date").cast("date").alias("date"))
-        .distinct()
-        .groupBy("location")
-        .agg(F.collect_set("date").alias("_present"))
+
+    def words(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
+        day = F.unix_date(F.col("date").cast("date"))
+        bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(day, F.lit(64)))
+        numbered = df.select(*keys, F.floor(day / 64).cast("int").alias("_word"), bit.alias("_bit")).filter("_word IS NOT NULL")
+        return numbered.groupBy(*keys, "_word").agg(F.bit_or("_bit").alias(name))
+
+    calendar = words(dates, [], "_wanted").agg(F.collect_list(F.struct("_word", "_wanted")))
+    wanted = locations.select("location").distinct().withColumn("_calendar", calendar.scalar()).select(
+        F.col("location").alias("_location"), F.inline("_calendar")
     )
-    none = F.array().cast("array<date>")
+    present = words(actual, ["location"], "_present").withColumnRenamed("_word", "_of")
+    missing = F.col("_wanted").bitwiseAND(F.bitwise_not(F.coalesce("_present", F.lit(0).cast("bigint"))))
+    bits = F.filter(F.sequence(F.lit(0), F.lit(63)), lambda b: F.getbit("_missing", b) == 1)
     return (
-        locations.select("location").distinct()
-        .join(present, "location", "left")
-        .withColumn("_wanted", wanted.scalar())
-        .select(
-            F.explode(F.array_except("_wanted", F.coalesce("_present", none))).alias("date"),
-            "location",
-        )
+        wanted.join(present, (F.col("_location") == F.col("location")) & (F.col("_word") == F.col("_of")), "left")
+        .select("_location", "_word", missing.alias("_missing")).filter("_missing <> 0")
+        .select(F.col("_location").alias("location"), "_word", F.explode(bits).alias("_bit"))
+        .select(F.date_from_unix_date(F.col("_word") * 64 + F.col("_bit")).alias("date"), "location")
     )
 
 
