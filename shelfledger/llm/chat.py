@@ -6,19 +6,21 @@
 Turns are collected as structs and sorted; adjacent turns of one role share a block, divided by
 ``<next/>``. Inside texts and roles ``&``, ``<``, ``>`` and ``"`` are written as ``&amp;``, ``&lt;``, ``&gt;``
 and ``&quot;``, so no text can hold a marker and every text can be read back. The mask is a list of
-(start, length) in code points over the formatted text, one for each assistant text.
+(start, length) in code points over the formatted text, one for each assistant text; places are sums over
+the rows before they are collected.
 
 A conversation is one row, so it must fit one task, as the text it becomes must.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 LEARNED = "assistant"
 OPEN, MIDDLE, CLOSE = '<turn role="', '">', "</turn>\n"
 NEXT = "<next/>"
+CHUNK = 1024
 
 
 def escaped(c):
@@ -41,43 +43,41 @@ def formatted(rows: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn"
     """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     role = F.coalesce(F.col(role_col).cast("string"), F.lit(""))
-    turns = rows.groupBy(F.col(conv_col)).agg(
-        F.sort_array(F.collect_list(F.struct(F.col(turn_col).alias("turn"), role.alias("role"), text.alias("text")))).alias("turns")
-    )
-    merged = F.aggregate(
-        F.transform("turns", lambda t: F.struct(t["role"].alias("role"), escaped(t["text"]).alias("text"))),
-        F.expr("cast(array() AS array<struct<role: string, texts: array<string>>>)"),
-        lambda blocks, t: F.when(
-            (F.size(blocks) > 0) & (F.try_element_at(blocks, F.lit(-1))["role"] == t["role"]),
-            F.array_append(
-                F.slice(blocks, F.lit(1), F.size(blocks) - 1),
-                F.struct(t["role"].alias("role"), F.array_append(F.try_element_at(blocks, F.lit(-1))["texts"], t["text"]).alias("texts")),
-            ),
-        ).otherwise(F.array_append(blocks, F.struct(t["role"].alias("role"), F.array(t["text"]).alias("texts")))),
-    )
-    head = lambda b: F.concat(F.lit(OPEN), escaped(b["role"]), F.lit(MIDDLE))
-    written = F.transform(F.col("blocks"), lambda b: F.concat(head(b), F.array_join(b["texts"], NEXT), F.lit(CLOSE)))
-    # The pieces of text with what stands before each, from which the places of the mask are summed.
-    pieces = F.flatten(F.transform(F.col("blocks"), lambda b: F.transform(
-        b["texts"], lambda t, i: F.struct(
-            F.when(i == 0, F.length(head(b))).otherwise(F.lit(len(NEXT))).alias("before"), F.length(t).alias("length"),
-            F.when(i == F.size(b["texts"]) - 1, F.lit(len(CLOSE))).otherwise(F.lit(0)).alias("after"), (b["role"] == LEARNED).alias("learned"),
-        ),
-    )))
-    spans = F.aggregate(
-        pieces,
-        F.expr("struct(0 AS at, cast(array() AS array<struct<start: int, length: int>>) AS spans)"),
-        lambda a, p: F.struct(
-            (a["at"] + p["before"] + p["length"] + p["after"]).alias("at"),
-            F.when(p["learned"], F.array_append(
-                a["spans"], F.struct((a["at"] + p["before"]).alias("start"), p["length"].alias("length"))
-            )).otherwise(a["spans"]).alias("spans"),
-        ),
-        lambda a: a["spans"],
-    )
-    return turns.select(F.col(conv_col).alias("conv_id"), merged.alias("blocks")).select(
-        "conv_id", F.array_join(written, "").alias("formatted"), spans.alias("loss")
+    said = rows.select(F.col(conv_col).alias("conv_id"), F.col(turn_col).alias("turn"), role.alias("role"), text.alias("text"))
+    order = Window.partitionBy("conv_id").orderBy(F.asc_nulls_first("turn"), "role", "text")
+    head, tail = _head(F.col("role"), F.lag("role").over(order)), _tail(F.col("role"), F.lead("role").over(order))
+    length = F.length(escaped(F.col("text")))
+    upto = F.sum(F.col("head") + F.col("length") + F.col("tail")).over(order.rowsBetween(Window.unboundedPreceding, 0))
+    placed = said.withColumns({"head": F.length(head), "length": length, "tail": F.length(tail)}).withColumn(
+        "start", (upto - F.col("tail") - F.col("length")).cast("int")
     )
+    turns = placed.groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("turn", "role", "text", "start", "length"))).alias("turns"))
+    written = _let(F.col("turns"), lambda t: F.array_join(_pieces(t), ""))
+    loss = F.transform(F.filter("turns", lambda t: t["role"] == LEARNED), lambda t: F.struct(t["start"].alias("start"), t["length"].alias("length")))
+    return turns.select("conv_id", written.alias("formatted"), loss.alias("loss"))
+
+
+def _let(value, use):
+    """``use`` of a value that is computed once, however often ``use`` names it, inside lambdas too."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _head(role, before):
+    return F.when(role.eqNullSafe(before), F.lit(NEXT)).otherwise(F.concat(F.lit(OPEN), escaped(role), F.lit(MIDDLE)))
+
+
+def _tail(role, after):
+    return F.when(role.eqNullSafe(after), F.lit("")).otherwise(F.lit(CLOSE))
+
+
+def _pieces(turns):
+    """What is written for each turn of a sorted array: adjacent turns of a role merge, as each sees by its neighbours
+    whether it opens or closes a block. No array grows by appending, so the time is in proportion to the turns."""
+    names, none = turns["role"], F.array(F.lit(None).cast("string"))
+    before = F.slice(F.concat(none, names), F.lit(1), F.size(names))
+    after = F.slice(F.concat(names, none), F.lit(2), F.size(names))
+    beside = F.zip_with(before, after, lambda b, a: F.struct(b.alias("before"), a.alias("after")))
+    return F.zip_with(turns, beside, lambda t, n: F.concat(_head(t["role"], n["before"]), escaped(t["text"]), _tail(t["role"], n["after"])))
 
 
 def read_back(chats: DataFrame) -> DataFrame:
@@ -90,7 +90,15 @@ def read_back(chats: DataFrame) -> DataFrame:
             unescaped(F.regexp_extract(b, '^<turn role="([^"]*)">', 1)).alias("role"), unescaped(t).alias("text")
         ),
     )))
-    loss = F.array_join(F.transform("loss", lambda s: F.substring(F.col("formatted"), s["start"] + 1, s["length"])), "")
+    # A substring is found by walking there, so spans are cut from the chunks of CHUNK code points that hold them.
+    chunks = F.regexp_extract_all("formatted", F.lit(f"(?s).{{1,{CHUNK}}}"), 0)
+
+    def cut(chunks, span):
+        first = F.floor(span["start"] / CHUNK).cast("int")
+        last = F.floor((span["start"] + span["length"]) / CHUNK).cast("int")
+        return F.substring(F.array_join(F.slice(chunks, first + 1, last - first + 1), ""), span["start"] - first * CHUNK + 1, span["length"])
+
+    loss = _let(chunks, lambda c: F.array_join(F.transform("loss", lambda span: cut(c, span)), ""))
     return chats.select("conv_id", "formatted", turns.alias("turns"), unescaped(loss).alias("loss_text"))
 
 

@@ -46,6 +46,24 @@ def test_long_texts_and_many_turns(spark):
     assert (r.n_turns, r.loss_chars) == (2000, 1333 * 600)
 
 
+def test_time_grows_with_the_turns(spark):
+    """Eight times the turns take no more than eight times as long, with some room for a busy machine."""
+    import time
+
+    def run(n):
+        df = spark.range(n).selectExpr("1L AS conv_id", "id AS turn", "if(id % 3 = 0, 'user', 'assistant') AS role", "concat('turn <', id, '> é') AS text")
+        best = 1e9
+        for _ in range(2):
+            start = time.perf_counter()
+            r = chat.digests(chat.formatted(df)).first()
+            best = min(best, time.perf_counter() - start)
+        assert r.n_turns == n
+        return best
+
+    run(100)
+    assert run(16_000) < 8 * max(run(2_000), 0.25)
+
+
 def test_no_python_in_the_plan(spark):
     plan = chat.digests(chat.formatted(spark.createDataFrame([(1, 0, "user", "a")], SCHEMA)))._jdf.queryExecution().executedPlan().toString()
     assert "EvalPython" not in plan and "InPandas" not in plan
