@@ -33,7 +33,7 @@ CHUNK_IDS = 1 << 16
 END_ID = 2
 LEVEL = 3
 BATCH_BYTES = 1 << 20
-KNOWN_WORDS = 1_000_000  # distinct words an encoder remembers, in about 200 MB, before it starts anew
+KNOWN_WORDS = 1_000_000  # distinct words an encoder remembers, in about 50 MB, before it starts anew
 SCHEMA = """shard int, chunk int, first bigint, n bigint, doc_ids array<bigint>, doc_first array<bigint>,
     doc_tokens array<bigint>, check bigint, planes array<binary>"""
 
@@ -65,7 +65,12 @@ class Encoder:
 
     A byte-level tokenizer's splitting rule never joins a blank to what stands before it if the next
     character is no white space, and looks no further back. So a text is cut before such blanks, each
-    distinct piece is encoded once by the tokenizer, and the ids are put together by array indexing.
+    distinct piece is encoded once by the tokenizer, and the ids are put together by array indexing. Pieces are
+    told apart by 64-bit hashes.
+
+    New pieces that begin with such a blank are encoded in one call, as one text. Where its pieces end
+    among the ids follows from the bytes of the tokens; if an end falls inside a token, as with vocabularies whose
+    tokens don't spell their bytes, each piece is encoded by itself.
     """
 
     def __init__(self, path: str):
@@ -75,28 +80,52 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        tokens = (self.tokenizer.id_to_token(i) for i in range(self.tokenizer.get_vocab_size()))
+        self.bytes = np.array([len(t or "") for t in tokens], np.int64)  # byte-level tokens have a character for each byte
         self.forget()
 
     def forget(self) -> None:
-        self.place: dict[bytes, int] = {}
+        self.known, self.place = np.zeros(0, np.uint64), np.zeros(0, np.int32)  # hashes in order, and where their ids are told
         self.ids, self.used = np.zeros(1 << 20, np.uint32), 0
-        self.start, self.length = np.zeros(1 << 18, np.int64), np.zeros(1 << 18, np.int64)
-
-    def _learn(self, pieces: list[bytes]) -> None:
-        texts = [p.decode(errors="replace") for p in pieces]
-        for piece, found in zip(pieces, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
-            ids, k = found.ids, len(self.place)
-            while self.used + len(ids) > len(self.ids):
-                self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-            if k >= len(self.start):
-                self.start, self.length = (np.concatenate([x, np.zeros_like(x)]) for x in (self.start, self.length))
-            self.ids[self.used : self.used + len(ids)] = ids
-            self.place[piece], self.start[k], self.length[k] = k, self.used, len(ids)
-            self.used += len(ids)
+        self.start, self.length = np.zeros(0, np.int64), np.zeros(0, np.int32)
+
+    def _keep(self, hashes: np.ndarray, ids: np.ndarray, ends: np.ndarray) -> None:
+        """Remembers the ids of new pieces, those of piece n ending at ``ends[n]``."""
+        while self.used + len(ids) > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
+        self.ids[self.used : self.used + len(ids)] = ids
+        length = np.diff(ends, prepend=0)
+        order = np.argsort(hashes)
+        at = np.searchsorted(self.known, hashes[order])
+        self.known = np.insert(self.known, at, hashes[order])
+        self.place = np.insert(self.place, at, len(self.start) + order)
+        self.start = np.append(self.start, self.used + ends - length)
+        self.length = np.append(self.length, length.astype(np.int32))
+        self.used += len(ids)
+
+    def _together(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray] | None:
+        """Ids of pieces encoded as one text and where each piece's ids end; None if a piece doesn't end where a token does."""
+        ids = np.array(self.tokenizer.encode_batch_fast([b"".join(pieces).decode()], add_special_tokens=False)[0].ids, np.int64)
+        after = np.cumsum(self.bytes[ids])
+        want = np.cumsum([len(p) for p in pieces])
+        ends = np.searchsorted(after, want)
+        if not len(ids) or after[-1] != want[-1] or (after[ends] != want).any():
+            return None
+        return ids.astype(np.uint32), ends + 1
+
+    def _learn(self, hashes: np.ndarray, pieces: list[bytes]) -> None:
+        led = np.array([len(p) > 1 and p[0] == 32 and not _MAY_BE_GAP[p[1]] for p in pieces])
+        found = self._together([p for p, x in zip(pieces, led) if x]) if led.any() else None
+        if found:
+            self._keep(hashes[led], *found)
+            hashes, pieces = hashes[~led], [p for p, x in zip(pieces, led) if not x]
+        if pieces:
+            ids = [f.ids for f in self.tokenizer.encode_batch_fast([p.decode() for p in pieces], add_special_tokens=False)]
+            self._keep(hashes, np.fromiter((i for x in ids for i in x), np.uint32), np.cumsum([len(x) for x in ids]))
 
     def encode(self, offsets: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all rows one after the other, and the number of ids of each."""
-        if len(self.place) > KNOWN_WORDS:
+        if len(self.known) > KNOWN_WORDS:
             self.forget()
         cut = np.zeros(len(data) + 1, bool)
         cut[1:-2] = (data[1:-1] == 32) & ~_MAY_BE_GAP[data[2:]] if len(data) > 2 else False
@@ -106,14 +135,15 @@ class Encoder:
         starts = np.flatnonzero(cut[:-1])
         ends = np.append(starts[1:], len(data))
         keys, first, which = np.unique(span_hashes(_VALUE[data], starts, ends), return_index=True, return_inverse=True)
-        raw = data.tobytes()
-        pieces = [raw[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist())]
-        new = [p for p in dict.fromkeys(pieces) if p not in self.place]
-        if new:
-            self._learn(new)
-        place = np.fromiter((self.place[p] for p in pieces), np.int64, len(pieces))[which]
+        at = np.searchsorted(self.known, keys)
+        new = np.flatnonzero(np.append(self.known, np.uint64(0))[at] != keys) if len(self.known) else np.arange(len(keys))
+        if len(new):
+            raw = data.tobytes()
+            self._learn(keys[new], [raw[a:b] for a, b in zip(starts[first[new]].tolist(), ends[first[new]].tolist())])
+            at = np.searchsorted(self.known, keys)
+        place = self.place[at][which] if len(keys) else np.zeros(0, np.int32)
         length = self.length[place]
-        upto = np.cumsum(length)
+        upto = np.cumsum(length, dtype=np.int64)
         steps = np.arange(upto[-1] if len(upto) else 0) - np.repeat(upto - length, length)
         ids = self.ids[np.repeat(self.start[place], length) + steps]
         sums = np.concatenate([[0], upto])[np.searchsorted(starts, offsets)]
