@@ -44,10 +44,10 @@ def test_inconsistent_slots_do_not_count():
     same[[3, 6]] = 70
     mixed = item.copy()
     mixed[[3, 6]] = [70, 71]
-    at = np.array([0])
-    assert dc.consistent(same, item, kinds, 8, at, at) == (set(range(8)), True)
-    assert dc.consistent(item, item, kinds, 8, at, at) == (set(range(8)), False)
-    assert dc.consistent(mixed, item, kinds, 8, at, at)[0] == set()
+    at, one = np.array([0]), lambda x: x[None, :]
+    assert dc.consistent(at, one(same), one(item), one(kinds)) == (set(range(8)), True)
+    assert dc.consistent(at, one(item), one(item), one(kinds)) == (set(range(8)), False)
+    assert dc.consistent(at, one(mixed), one(item), one(kinds))[0] == set()
 
 
 def test_against_plain_search(docs, bench):
@@ -64,20 +64,70 @@ def test_against_plain_search(docs, bench):
     assert {i for i, _ in found(docs(rows), bench(items))} == {i for i, _ in want}
 
 
-def test_blocks_find_the_same(docs, bench, monkeypatch):
+def test_a_full_filter_finds_the_same(docs, bench, monkeypatch):
+    """A filter too small for the benchmark lets windows through in vain, and nothing else."""
     items = [(k, filler(k, 20)) for k in range(12)]
     rows = [(k, f"x y {t} z") for k, t in items]
     whole = set(found(docs(rows), bench(items)))
-    monkeypatch.setattr(dc, "BLOCK_CHARS", 400)
+    monkeypatch.setattr(dc, "FILTER_BITS", (1 << 15, 1 << 15))
     assert set(found(docs(rows), bench(items))) == whole == {(k, k) for k, _ in items}
 
 
+INSTRUCTION = "read the passage below with care and answer the question that follows by choosing the one option that fits it best of all"
+
+
+def test_a_shared_instruction_is_no_evidence(docs, bench):
+    """Documents that hold an instruction of many items but no question are clean; one with a question is not."""
+    items = [(k, f"{INSTRUCTION}: {filler(k, 12)}") for k in range(40)]
+    rows = [(i, f"{filler(100 + i)} {INSTRUCTION} {filler(200 + i)}") for i in range(50)] + [(90, f"{filler(900)} {items[7][1]} {filler(901)}")]
+    assert set(found(docs(rows), bench(items))) == {(90, 7)}
+
+
+def test_items_of_one_template_and_items_all_common(docs, bench):
+    """Many items of one template are one item to what is common, and an item of common windows alone keeps them."""
+    family = [(k, f"if {k + 11} boys share {k + 40} plums how many plums does each boy get on the second day of may") for k in range(20)]
+    plain = [(100 + k, f"{INSTRUCTION} {filler(k, 15)}") for k in range(10)] + [(200, INSTRUCTION)]
+    rows = [(1, f"{filler(901)} if 999 boys share 888 plums how many plums does each boy get on the second day of may {filler(902)}"), (2, f"{filler(903)} {INSTRUCTION} {filler(904)}")]
+    got = found(docs(rows), bench(family + plain))
+    assert set(got) == {(1, k) for k in range(20)} | {(2, 200)} and all(got[1, k].reparameterised for k in range(20))
+
+
+def test_work_grows_with_the_items_not_with_their_pairs(docs, bench):
+    """Rows of the window join for documents with a shared instruction: four times the items make no more."""
+    def rows_of(n):
+        items = bench([(k, f"{INSTRUCTION}: {filler(k, 12)}") for k in range(n)]).selectExpr("item_id", "text")
+        telling = dc.item_windows(items)
+        df = docs([(i, f"{filler(5000 + i)} {INSTRUCTION} {filler(6000 + i)}") for i in range(20)]).selectExpr("doc_id AS id", "xxhash64(text) AS text_hash", "text")
+        shared = df.sparkSession.sparkContext.broadcast(dc._filter_bits(telling.select("h").distinct()))
+        seen = df.mapInArrow(dc._doc_windows(shared, [8]), "id bigint, text_hash bigint, h bigint, width int, d_place int, d_words binary")
+        return seen.join(telling, ["h", "width"]).count()
+
+    assert rows_of(120) <= rows_of(30) <= 20
+
+
+def test_covered_words_against_a_plain_version(docs, bench):
+    """Parts of items: the words that windows of eight cover, and the two limits, counted over lists of words."""
+    rng = random.Random(4)
+    items = [(k, " ".join(f"q{'abcdefghij'[rng.randrange(10)]}{'klmnopqrst'[rng.randrange(10)]}{'uvwxyz'[rng.randrange(6)]}" for _ in range(rng.randrange(12, 60)))) for k in range(25)]
+    rows, want = [], {}
+    for i in range(80):
+        k = rng.randrange(25)
+        words = items[k][1].split()
+        a = rng.randrange(len(words) - 8)
+        b = rng.randrange(a + 8, len(words) + 1)
+        rows.append((i, f"{filler(300 + i, 30)} so {' '.join(words[a:b])} so {filler(400 + i, 30)}"))
+        if b - a >= 0.4 * len(words) or b - a >= 13:
+            want[i, k] = b - a
+    got = {key: r.covered_words for key, r in found(docs(rows), bench(items)).items()}
+    assert got == want
+
+
 def test_dropping_keeps_columns_and_null_ids(docs, bench):
-    df = docs([(1, QUESTION), (2, "clean"), (None, "no id"), (3, QUESTION + " " + "pad " * 200_000), (2, "clean")]).withColumnRenamed("source", "item_id")
+    df = docs([(1, QUESTION), (1, QUESTION), (2, "clean"), (None, "no id"), (3, QUESTION + " " + "pad " * 200_000), (2, "clean")]).withColumnRenamed("source", "item_id")
     kept = dc.drop_contaminated(df, bench([(1, QUESTION)]))
     assert kept.columns == df.columns and sorted(r.doc_id or 0 for r in kept.collect()) == [0, 2, 2]
     assert dc.drop_contaminated(docs([]), bench([(1, QUESTION)])).collect() == []
-    assert dc.drop_contaminated(df, bench([])).count() == 5
+    assert dc.drop_contaminated(df, bench([])).count() == 6
 
 
 @pytest.mark.parametrize("item", [
