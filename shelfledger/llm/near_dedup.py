@@ -6,9 +6,11 @@ however many, never meet in pairs. Representatives that share a band are then li
 
 1. Every member of a bucket is paired with the bucket's smallest and largest member. Pairs pass the
    signature estimate, then the exact comparison of whole sets. Components of these links follow.
-2. In buckets that still hold several components, members outside the bucket's largest component are
-   paired with members of other components, unless their rare shingles already part them. With that, every pair of a bucket is linked, known to be too far apart, or in one
-   component already; no pair inside a component is made.
+2. In buckets that still hold several components, members outside the bucket's largest component are held
+   against members of other components, unless their rare shingles already part them. This is done in tiles of
+   TILE members: a task compares the signatures of two tiles as matrices, and only pairs alike enough leave it. So
+   documents that share passages but are not alike, however many meet in a bucket, make no pairs. With that, every pair of a
+   bucket is linked, known to be too far apart, or in one component already.
 """
 
 from __future__ import annotations
@@ -30,6 +32,7 @@ from shelfledger.llm.words import mix, row_sets
 
 
 RARE = 16  # documents with a shingle, at most, for it to be rare
+TILE = 1024  # members of a bucket that meet others in one task
 
 
 @dataclass(frozen=True)
@@ -163,8 +166,8 @@ def _open_pairs(buckets: DataFrame, found: DataFrame, reps: DataFrame, sets: Dat
     A shingle that at most RARE open documents have is rare. Two documents have in common at most their
     other shingles and the rare ones they share. So a pair of which one has many rare shingles must share
     one: these pairs come from the rare shingles, RARE for each document and shingle at most. Pairs that
-    can be alike without one are taken from the first bucket they share, where documents too rich in rare shingles for
-    all others are left out first and members of the largest component only wait for partners.
+    can be alike without one are found by their signatures in the tiles of a bucket, where documents too rich in rare
+    shingles for all others are left out first and members of the largest component only wait for partners.
     """
     known = buckets.join(found.select(F.col("node").alias("id"), "component"), "id", "left").select(
         "bucket", "id", "n", F.coalesce("component", "id").alias("component")
@@ -194,22 +197,72 @@ def _open_pairs(buckets: DataFrame, found: DataFrame, reps: DataFrame, sets: Dat
         .join(usual, "id").join(usual.select(F.col("id").alias("x"), F.col("usual").alias("ux")), "x")
     )
     share = F.least("usual", "ux") + F.col("shared")
-    by_rare = met.filter(at_most * share >= s.percent * (F.col("n") + F.col("nx")))
+    both = F.col("n") + F.col("nx")
+    by_rare = met.filter((at_most * share >= s.percent * both) & (at_most * F.least("usual", "ux") < s.percent * both))
 
-    few = rows.filter("not rich").select("bucket", "id", "n", "component", "usual").join(reps.select("id", "bands"), "id")
+    few = rows.filter("not rich").select("bucket", "id", "n", "component", "usual").join(reps.select("id", "signature"), "id")
+    by_bucket = _tile_pairs(few).mapInArrow(*_alike_in_tiles(s))
+    pair = [F.least("x", "id").alias("a"), F.greatest("x", "id").alias("b")]
+    return by_rare.select(*pair).union(by_bucket).distinct()
+
+
+def _tile_pairs(few: DataFrame) -> DataFrame:
+    """(first, second): members of two tiles of a bucket; second is null for a tile with itself.
+
+    A bucket of one tile is that tile. In larger ones the largest component has tiles of its own, which meet the tiles
+    of other members only. Buckets of one component are left out.
+    """
     sizes = few.groupBy("bucket", "component").agg(F.count("*").alias("k"))
-    largest = sizes.groupBy("bucket").agg(F.max(F.struct("k", "component")).alias("top"), F.count("*").alias("parts")).filter(
-        "parts > 1"
-    ).select("bucket", F.col("top.component").alias("largest"))
-    minor = few.join(largest, "bucket").filter("component <> largest").select(
-        "bucket", F.col("id").alias("x"), F.col("component").alias("cx"), F.col("n").alias("nx"), F.col("usual").alias("ux"), F.col("bands").alias("bx"),
+    plan = sizes.groupBy("bucket").agg(F.max(F.struct("k", "component")).alias("top"), F.sum("k").alias("all"), F.count("*").alias("parts")).filter("parts > 1")
+    single = F.col("all") <= TILE
+    plan = plan.select(
+        "bucket", F.col("top.component").alias("largest"), single.alias("single"),
+        F.when(single, 1).otherwise(F.ceil((F.col("all") - F.col("top.k")) / TILE)).cast("int").alias("minor"),
+        F.when(single, 0).otherwise(F.ceil(F.col("top.k") / TILE)).cast("int").alias("major"),
     )
-    by_bucket = minor.join(few, "bucket").filter(
-        (F.col("component") != F.col("cx")) & (at_most * F.least("usual", "ux") >= s.percent * (F.col("n") + F.col("nx")))
-        & (F.col("bucket") == F.array_min(F.array_intersect("bands", "bx")))
+    share = lambda n: F.pmod(F.xxhash64("id"), F.greatest(n, F.lit(1))).cast("int")
+    tile = F.when(F.col("single") | (F.col("component") != F.col("largest")), share(F.col("minor"))).otherwise(F.col("minor") + share(F.col("major")))
+    tiles = few.join(plan, "bucket").withColumn("tile", tile).groupBy("bucket", "tile", "minor", "major").agg(
+        F.collect_list(F.struct("id", "n", "component", "usual", "signature")).alias("members")
     )
-    pair = [F.least("x", "id").alias("a"), F.greatest("x", "id").alias("b")]
-    return by_rare.select(*pair).union(by_bucket.select(*pair)).distinct()
+    met = F.when(F.col("tile") < F.col("minor"), F.col("minor") + F.col("major")).otherwise(F.col("minor"))
+    sent = tiles.select("bucket", "tile", "members", F.explode(F.sequence(F.lit(0), met - 1)).alias("other"))
+    pairs = sent.groupBy("bucket", F.least("tile", "other").alias("i"), F.greatest("tile", "other").alias("j")).agg(
+        F.sort_array(F.collect_list(F.struct("tile", "members"))).alias("both")
+    )
+    return pairs.select(F.col("both")[0]["members"].alias("first"), F.get("both", F.lit(1))["members"].alias("second"), (F.col("i") == F.col("j")).alias("same"))
+
+
+def _alike_in_tiles(s: Settings):
+    def tile(column: pa.Array, row: int):
+        members = column[row].values
+        ids, n, component, usual = (members.field(k).to_numpy() for k in range(4))
+        return ids, n, component, usual, np.frombuffer(b"".join(members.field(4).to_pylist()), np.uint16).reshape(len(ids), -1)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        least = int(np.ceil(s.least_estimate * s.hashes))
+        for batch in batches:
+            out = []
+            for row in range(batch.num_rows):
+                if not (batch.column(1)[row].is_valid or batch.column(2)[row].as_py()):
+                    continue  # the other tile has no members
+                ids, n, component, usual, sig = tile(batch.column(0), row)
+                ids2, n2, component2, usual2, sig2 = tile(batch.column(1), row) if batch.column(1)[row].is_valid else (ids, n, component, usual, sig)
+                for i in range(0, len(ids), 32):
+                    part = slice(i, i + 32)
+                    may = component[part, None] != component2
+                    may &= 100 * np.minimum(n[part, None], n2) >= s.percent * np.maximum(n[part, None], n2)
+                    may &= (100 + s.percent) * np.minimum(usual[part, None], usual2) >= s.percent * (n[part, None] + n2)
+                    x, y = may.nonzero()
+                    for k in range(0, len(x), 1 << 15):
+                        p, q = x[k : k + (1 << 15)] + i, y[k : k + (1 << 15)]
+                        alike = (sig[p] == sig2[q]).sum(axis=1) >= least
+                        out.append(np.stack([np.minimum(ids[p[alike]], ids2[q[alike]]), np.maximum(ids[p[alike]], ids2[q[alike]])]))
+            if out:
+                pair = np.unique(np.concatenate(out, axis=1), axis=1)
+                yield pa.RecordBatch.from_arrays([pa.array(pair[0]), pa.array(pair[1])], ["a", "b"])
+
+    return run, "a bigint, b bigint"
 
 
 def classes(docs: DataFrame, settings: Settings = Settings(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -87,3 +87,39 @@ def test_components_of_paths_stars_and_rings(spark):
     got = {r.node: r.component for r in components(spark.createDataFrame(links, "u long, v long")).collect()}
     assert got == {**{i: 0 for i in range(201)}, **{j: 1000 for j in range(1000, 1300)}, **{2000 + i: 2000 for i in range(50)}}
     assert components(spark.createDataFrame([], "u long, v long")).collect() == []
+
+
+def mosaics(seed, n, pool=40, parts=8, order=sorted):
+    """Documents put together from passages of one pool: many share bands, few are alike."""
+    rng = random.Random(seed)
+    passages = [" ".join(f"m{rng.randrange(10**6)}" for _ in range(20)) for _ in range(pool)]
+    return [(i, " ".join(order(rng.sample(passages, parts)))) for i in range(n)]
+
+
+def late_pairs(monkeypatch, df):
+    """The number of pairs that the second step makes."""
+    counts, made = [], near_dedup._open_pairs
+    monkeypatch.setattr(near_dedup, "_open_pairs", lambda *a: counts.append((pairs := near_dedup.stored(made(*a), "late")).count()) or pairs)
+    near_dedup.classes(df).collect()
+    monkeypatch.setattr(near_dedup, "_open_pairs", made)
+    return counts[0]
+
+
+def test_mosaics_make_few_pairs(spark, docs, monkeypatch):
+    """Four times the documents make no more than about four times the pairs; where the passages' order makes rare
+    shingles, a document has at most RARE pairs for each of its 14."""
+    few, many = (late_pairs(monkeypatch, docs(mosaics(1, n))) for n in (400, 1600))
+    assert many <= 5 * max(few, 100)
+    monkeypatch.setattr(near_dedup, "RARE", 4)
+    assert late_pairs(monkeypatch, docs(mosaics(1, 1200, order=list))) <= 4 * 14 / 2 * 1200
+
+
+@pytest.mark.parametrize("tile", [16, 1024])
+def test_mosaics_against_brute_force(spark, docs, monkeypatch, tile):
+    """With mosaics alike in part and in whole, in buckets of one tile and of several."""
+    monkeypatch.setattr(near_dedup, "TILE", tile)
+    rng = random.Random(8)
+    rows = mosaics(2, 220, pool=14, parts=9)
+    rows += [(1000 + k, edited(rng, text.split(), rng.randrange(4))) for k, (_, text) in enumerate(rows[:60])]
+    got = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in near_dedup.classes(docs(rows)).collect()}
+    assert got == brute(rows, Settings())
