@@ -93,3 +93,69 @@ def test_the_greater_part_of_an_article_stays(spark):
 ])
 def test_one_word_of_a_name_drops_nothing(body, text):
     assert main_text(f"<body><nav>n</nav>{body}</body>", frozenset()) == text
+
+
+def rough(spark, n, host="https://s.example/", head="", foot=""):
+    """Pages whose classes say nothing: a list of links that are others on each page, a notice that is the same, a story."""
+    def page(i):
+        links = "".join(f"<li><a href='/{i}{k}'>Go {i * 7 + k}</a></li>" for k in range(8))
+        story = "".join(f"<p>Story {i} goes on, part {k}</p>" for k in range(3 + i % 4))
+        return f"<body><div class='x1'><ul>{links}</ul></div><div class='x2'>All rights are ours, you know</div><div class='x3'><h1>Title {i}</h1>{story}</div></body>"
+
+    return pages(spark, [(i, f"{host}{i}", page(i)) for i in range(n)])
+
+
+def test_the_tree_decides_without_telling_names(spark):
+    """Menus and notices of meaningless class names go where a host has enough pages, and stay where it has not."""
+    got = {r.page_id: r.text for r in site_style.extracted(rough(spark, 14)).collect()}
+    for i in range(14):
+        assert got[i] == "\n".join([f"Title {i}", *[f"Story {i} goes on, part {k}" for k in range(3 + i % 4)]])
+    few = site_style.extracted(rough(spark, 3)).first().text
+    assert "Go" in few and "rights" in few
+    sums = site_style.removals(rough(spark, 14)).agg({"by_tree": "min", "by_marks": "max"}).first()
+    assert sums[0] == 0 and sums[1] > 50 or sums[1] == 0 and sums[0] > 50
+
+
+def test_links_in_text_and_lists_of_other_shapes_stay(spark):
+    def page(i):
+        see = "".join(f"<li><a href='/{k}'>Paper {i} {k}</a></li>" for k in range(i % 6))
+        return f"<body><div class='x'><p>Read <a href='/a'>this {i}</a> first</p><p><a href='/b'>Source {i}</a></p><ul class='y'>{see}</ul></div></body>"
+
+    got = {r.page_id: r.text for r in site_style.extracted(pages(spark, [(i, f"https://q.example/{i}", page(i)) for i in range(18)])).collect()}
+    for i in range(18):
+        assert got[i] == "\n".join([f"Read this {i} first", f"Source {i}", *[f"Paper {i} {k}" for k in range(i % 6)]])
+
+
+def test_entropies_against_a_plain_version(spark):
+    from collections import Counter, defaultdict
+    from math import log
+
+    rows = rough(spark, 9).union(rough(spark, 5, "https://t.example/")).collect()
+    nodes, seen = defaultdict(list), set()
+    for r in rows:
+        host, found = r.url.split("/")[2], site_style.branches(r.html)
+        if (host, tuple(found)) not in seen:
+            seen.add((host, tuple(found)))
+            for path, node in site_style._by_node(found).items():
+                nodes[host, site_style._hash(path)].append(node)
+
+    def entropy(values):
+        n = len(values)
+        return 1.0 if n < 2 else -sum(k / n * log(k / n, n) for k in Counter(values).values())
+
+    df = spark.createDataFrame([(r.url.split("/")[2], r.html) for r in rows], "host string, html string")
+    table = df.mapInArrow(site_style._nodes, site_style.NODES).distinct()
+    got = {(r.host, r.path): r for r in site_style.importances(table).collect()}
+    assert set(got) == set(nodes)
+    for key, own in nodes.items():
+        assert got[key].pages == len(own) and got[key].linked == all(n.linked for n in own)
+        assert got[key].content == pytest.approx(entropy([n.content for n in own]), abs=1e-9)
+        assert got[key].layout == pytest.approx(entropy([n.layout for n in own]), abs=1e-9)
+        assert got[key].blocks == pytest.approx(sum(n.blocks for n in own) / len(own))
+
+
+def test_broadcast_and_joined_branches_give_the_same(spark, monkeypatch):
+    df = rough(spark, 14).union(pages(spark, [(90, None, "<p>a</p>"), (91, "https://lone.example/", "<p>b</p>")]))
+    want = sorted(map(tuple, site_style.extracted(df).collect()))
+    monkeypatch.setattr(site_style, "BROADCAST_BYTES", -1)
+    assert sorted(map(tuple, site_style.extracted(df).collect())) == want
