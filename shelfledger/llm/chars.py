@@ -6,7 +6,7 @@ from functools import cache
 
 import numpy as np
 
-PLANES = 0x30000  # code points from here on count as other characters
+PLANES = 0x323B0  # code points from here on count as other characters; none of them is a letter
 
 
 @cache

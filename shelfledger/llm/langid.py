@@ -19,6 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shelfledger.llm.chars import code_points, tables
 from shelfledger.llm.common import stored
@@ -141,16 +142,21 @@ def shares(model: Model, offsets: np.ndarray, data: np.ndarray) -> tuple[np.ndar
 def predict(docs: DataFrame, model: Model, text_col: str = "text", carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """The ``carry`` columns with lang_pred and score (the winner's corrected share, 0 to 1).
 
-    A null text, one without a letter, or a model of no language gives ``und`` and 0.
+    A null text, one without a letter, or a model of no language gives ``und`` and 0; of languages with equal shares the first by
+    name wins. Carried columns named lang_pred or score are replaced; others may have any name.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    extra, carried = text_col not in carry, len(carry)
+    carry = tuple(c for c in carry if c.lower() not in ("lang_pred", "score"))
+    carried = len(carry)
+    own = "text"
+    while own in {c.lower() for c in carry}:
+        own += "_"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         names = np.array([*m.languages, UNKNOWN], dtype=object)
         for batch in batches:
-            offsets, data = text_bytes(batch.column("__text" if extra else text_col))
+            offsets, data = text_bytes(batch.column(carried))
             for i, j in slices(offsets, PIECE):
                 share, total = shares(m, offsets[i : j + 1] - offsets[i], data[offsets[i] : offsets[j]])
                 known = (total > 0) & bool(m.languages)
@@ -162,6 +168,6 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text", carry: tuple[
                     [*part.schema.names[:carried], "lang_pred", "score"],
                 )
 
-    frame = docs.select(*carry, F.col(text_col).cast("string").alias("__text")) if extra else docs.select(*carry)
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in frame.schema.fields[:carried])
-    return frame.mapInArrow(run, f"{schema}, lang_pred string, score double")
+    frame = docs.select(*[F.col(f"`{c}`") for c in carry], F.col(text_col).cast("string").alias(own))
+    schema = T.StructType([*frame.schema.fields[:carried], T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
+    return frame.mapInArrow(run, schema)

@@ -53,21 +53,23 @@ def without_boilerplate(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """``docs`` with cross-site lines removed from the text, and lines_removed, their number.
 
     Null text stays null with 0 lines removed. Rows are told apart by id and text, so rows repeating an
-    id are each cleaned by their own lines. A column of the input named lines_removed is replaced.
+    id are each cleaned by their own lines. A column of the input named lines_removed is replaced; others may have any name.
     """
-    docs = without(docs, ADDED)
+    kept_columns = without(docs, ADDED).columns
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in kept_columns]).alias("row"), F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    rows = rows.withColumn("key", F.xxhash64("id", "text"))
     found = stored(boilerplate(docs, text_col, site_col, least_sites), "boilerplate")
-    key = F.xxhash64(F.col(id_col), F.col(text_col))
-    at = docs.select(key.alias("key"), F.posexplode(F.transform(_lines(F.col(text_col)), _hash)).alias("place", "line"))
+    at = rows.select("id", "key", F.posexplode(F.transform(_lines(F.col("text")), _hash)).alias("place", "line"))
     hits = at.join(small(found, found.count()), "line", "left_semi")
-    removed = stored(hits.groupBy("key").agg(F.collect_set("place").alias("removed")), "removed")
-    lines = _lines(F.col(text_col))
+    removed = stored(hits.groupBy("id", "key").agg(F.collect_set("place").alias("removed")), "removed")
+    lines = _lines(F.col("text"))
     kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("removed"))
     text = F.array_join(F.transform(kept, lambda i: F.get(lines, i)), "\n")
     # merged at every size: the lines to remove grow with the documents
-    places = removed.select(F.col("key").alias("__key"), "removed").hint("merge")
-    joined = docs.withColumn("__key", key).join(places, "__key", "left")
+    places = removed.select(F.col("id").alias("of"), F.col("key").alias("of_key"), "removed").hint("merge")
+    joined = rows.join(places, (F.col("key") == F.col("of_key")) & F.col("id").eqNullSafe(F.col("of")), "left")
+    own = lambda c: F.col("row").getField(c)
     return joined.select(
-        *[F.when(F.col("removed").isNotNull(), text).otherwise(F.col(c)).alias(c) if c == text_col else F.col(c) for c in docs.columns],
+        *[F.when(F.col("removed").isNotNull(), text).otherwise(own(c)).alias(c) if c == text_col else own(c).alias(c) for c in kept_columns],
         F.coalesce(F.size("removed"), F.lit(0)).cast("bigint").alias("lines_removed"),
     )

@@ -217,13 +217,17 @@ def taken(mixed: Mix) -> DataFrame:
 
 
 def mixed_rows(docs: DataFrame, seed: int = 11, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """The rows of ``docs``, each as often as the mix takes it, partitioned and ordered as its shards are."""
+    """The rows of ``docs``, each as often as the mix takes it, partitioned and ordered as its shards are.
+
+    Nulls and repeated rows as in ``mix``; no rows give none. Columns besides the three may have any name.
+    """
     drawn = mix(docs, seed=seed, id_col=id_col, text_col=text_col, source_col=source_col).rows
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    m = drawn.select(*[F.col(c).alias(f"_{c}") for c in ("doc_id", "source", "hash", "shard", "order")])
-    keyed = docs.withColumn("_h", F.xxhash64(F.lit(seed), F.col(id_col), text))
-    joined = keyed.join(
-        m, (F.col("_h") == F.col("_hash")) & F.col(id_col).eqNullSafe(F.col("_doc_id"))
-        & F.col(source_col).cast("string").eqNullSafe(F.col("_source"))
+    rows = docs.select(
+        F.struct("*").alias("row"), F.xxhash64(F.lit(seed), F.col(id_col), text).alias("h"), F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("from"),
+    )
+    joined = rows.join(
+        drawn.select("doc_id", "source", "hash", "shard", "order"),
+        (F.col("h") == F.col("hash")) & F.col("id").eqNullSafe(F.col("doc_id")) & F.col("from").eqNullSafe(F.col("source")),
     )
-    return joined.repartition("_shard", F.pmod("_order", F.lit(64))).sortWithinPartitions("_shard", "_order").select(*docs.columns)
+    return joined.repartition("shard", F.pmod("order", F.lit(64))).sortWithinPartitions("shard", "order").select("row.*")

@@ -52,3 +52,13 @@ def test_clash_empty_and_long(docs):
 def test_main_path_runs_no_python(docs):
     plan = line_dedup.without_boilerplate(docs(corpus()))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_clashing_columns_and_repeated_ids(docs):
+    line = "a line that stands on many sites"
+    rows = [(i % 5, f"own {i}\n{line}", None, f"site{i}") for i in range(12)] + [(None, f"null id\n{line}", None, "x"), (3, None, None, "y")]
+    df = docs(rows).selectExpr("*", "1 AS removed", "2 AS __key", "3 AS key", "4 AS id", "5 AS place", "6 AS line", "7 AS row", "8 AS of")
+    out = line_dedup.without_boilerplate(df)
+    assert out.columns == [*df.columns, "lines_removed"]
+    got = sorted(((r.doc_id, r.text, r.removed, r["__key"], r.row, r.of, r.lines_removed) for r in out.collect()), key=repr)
+    assert got == sorted([(i, t and t.split("\n")[0], 1, 2, 7, 8, int(t is not None)) for i, t, _, _ in rows], key=repr)
