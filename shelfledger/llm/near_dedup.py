@@ -170,7 +170,7 @@ def _open_pairs(buckets: DataFrame, found: DataFrame, reps: DataFrame, sets: Dat
     shingles for all others are left out first and members of the largest component only wait for partners.
     """
     known = buckets.join(found.select(F.col("node").alias("id"), "component"), "id", "left").select(
-        "bucket", "id", "n", F.coalesce("component", "id").alias("component")
+        "bucket", "band", "id", "n", F.coalesce("component", "id").alias("component")
     )
     mixed = known.groupBy("bucket").agg(
         F.min("component").alias("x"), F.max("component").alias("y"), F.min("n").alias("least")
@@ -200,40 +200,41 @@ def _open_pairs(buckets: DataFrame, found: DataFrame, reps: DataFrame, sets: Dat
     both = F.col("n") + F.col("nx")
     by_rare = met.filter((at_most * share >= s.percent * both) & (at_most * F.least("usual", "ux") < s.percent * both))
 
-    few = rows.filter("not rich").select("bucket", "id", "n", "component", "usual").join(reps.select("id", "signature"), "id")
+    few = rows.filter("not rich").select("bucket", "band", "id", "n", "component", "usual").join(reps.select("id", "signature"), "id")
     by_bucket = _tile_pairs(few).mapInArrow(*_alike_in_tiles(s))
     pair = [F.least("x", "id").alias("a"), F.greatest("x", "id").alias("b")]
     return by_rare.select(*pair).union(by_bucket).distinct()
 
 
 def _tile_pairs(few: DataFrame) -> DataFrame:
-    """(first, second): members of two tiles of a bucket; second is null for a tile with itself.
+    """(first, second, same, band): members of two tiles of a bucket; second is null for a tile with itself.
 
     A bucket of one tile is that tile. In larger ones the largest component has tiles of its own, which meet the tiles
     of other members only. Buckets of one component are left out.
     """
-    sizes = few.groupBy("bucket", "component").agg(F.count("*").alias("k"))
-    plan = sizes.groupBy("bucket").agg(F.max(F.struct("k", "component")).alias("top"), F.sum("k").alias("all"), F.count("*").alias("parts")).filter("parts > 1")
+    sizes = few.groupBy("bucket", "band", "component").agg(F.count("*").alias("k"))
+    plan = sizes.groupBy("bucket", "band").agg(F.max(F.struct("k", "component")).alias("top"), F.sum("k").alias("all"), F.count("*").alias("parts")).filter("parts > 1")
     single = F.col("all") <= TILE
-    plan = plan.select(
+    plan = plan.drop("band").select(
         "bucket", F.col("top.component").alias("largest"), single.alias("single"),
         F.when(single, 1).otherwise(F.ceil((F.col("all") - F.col("top.k")) / TILE)).cast("int").alias("minor"),
         F.when(single, 0).otherwise(F.ceil(F.col("top.k") / TILE)).cast("int").alias("major"),
     )
     share = lambda n: F.pmod(F.xxhash64("id"), F.greatest(n, F.lit(1))).cast("int")
     tile = F.when(F.col("single") | (F.col("component") != F.col("largest")), share(F.col("minor"))).otherwise(F.col("minor") + share(F.col("major")))
-    tiles = few.join(plan, "bucket").withColumn("tile", tile).groupBy("bucket", "tile", "minor", "major").agg(
+    tiles = few.join(plan, "bucket").withColumn("tile", tile).groupBy("bucket", "band", "tile", "minor", "major").agg(
         F.collect_list(F.struct("id", "n", "component", "usual", "signature")).alias("members")
     )
     met = F.when(F.col("tile") < F.col("minor"), F.col("minor") + F.col("major")).otherwise(F.col("minor"))
-    sent = tiles.select("bucket", "tile", "members", F.explode(F.sequence(F.lit(0), met - 1)).alias("other"))
-    pairs = sent.groupBy("bucket", F.least("tile", "other").alias("i"), F.greatest("tile", "other").alias("j")).agg(
+    sent = tiles.select("bucket", "band", "tile", "members", F.explode(F.sequence(F.lit(0), met - 1)).alias("other"))
+    pairs = sent.groupBy("bucket", "band", F.least("tile", "other").alias("i"), F.greatest("tile", "other").alias("j")).agg(
         F.sort_array(F.collect_list(F.struct("tile", "members"))).alias("both")
     )
-    return pairs.select(F.col("both")[0]["members"].alias("first"), F.get("both", F.lit(1))["members"].alias("second"), (F.col("i") == F.col("j")).alias("same"))
+    return pairs.select(F.col("both")[0]["members"].alias("first"), F.get("both", F.lit(1))["members"].alias("second"), (F.col("i") == F.col("j")).alias("same"), "band")
 
 
 def _alike_in_tiles(s: Settings):
+    """Pairs of two tiles whose signatures are alike, each in the bucket of the first band that the two share."""
     def tile(column: pa.Array, row: int):
         members = column[row].values
         ids, n, component, usual = (members.field(k).to_numpy() for k in range(4))
@@ -246,6 +247,7 @@ def _alike_in_tiles(s: Settings):
             for row in range(batch.num_rows):
                 if not (batch.column(1)[row].is_valid or batch.column(2)[row].as_py()):
                     continue  # the other tile has no members
+                band = batch.column(3)[row].as_py()
                 ids, n, component, usual, sig = tile(batch.column(0), row)
                 ids2, n2, component2, usual2, sig2 = tile(batch.column(1), row) if batch.column(1)[row].is_valid else (ids, n, component, usual, sig)
                 for i in range(0, len(ids), 32):
@@ -256,7 +258,9 @@ def _alike_in_tiles(s: Settings):
                     x, y = may.nonzero()
                     for k in range(0, len(x), 1 << 15):
                         p, q = x[k : k + (1 << 15)] + i, y[k : k + (1 << 15)]
-                        alike = (sig[p] == sig2[q]).sum(axis=1) >= least
+                        equal = sig[p] == sig2[q]
+                        alike = equal.sum(axis=1) >= least
+                        alike[alike] = equal[alike].reshape(-1, s.bands, s.rows).all(axis=2).argmax(axis=1) == band
                         out.append(np.stack([np.minimum(ids[p[alike]], ids2[q[alike]]), np.maximum(ids[p[alike]], ids2[q[alike]])]))
             if out:
                 pair = np.unique(np.concatenate(out, axis=1), axis=1)
@@ -281,7 +285,7 @@ def classes(docs: DataFrame, settings: Settings = Settings(), id_col: str = "doc
         ),
         "representatives",
     )
-    members = reps.select("id", "n", F.explode("bands").alias("bucket"))
+    members = reps.select("id", "n", F.posexplode("bands").alias("band", "bucket"))
     shared = (
         members.groupBy("bucket").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).filter("lo < hi")
     )
