@@ -107,11 +107,16 @@ def _lines_of(files: DataFrame, on_error: str) -> DataFrame:
     A file is read in ranges of ``RANGE_BYTES``; a line belongs to the range it begins in. Lines without
     content are left out, as Spark's reader does.
     """
-    skip = on_error == "permissive"
+    skip, blank = on_error == "permissive", b"\xef\xbb\xbf\r\n\t "
 
     def lines(path: str, start: int, size: int) -> list[str]:
         system, inner = FileSystem.from_uri(re.sub(r"^s3[an]:", "s3:", path))
         with system.open_input_file(inner) as stream:
+            head, more = b"", True
+            while more and not head.strip(blank):
+                more = stream.read(HEAD_BYTES)
+                head += more
+            header = head[: len(head) - len(head.lstrip(blank))].rfind(b"\n") + 1
             stream.seek(max(start - 1, 0))
             data, more = stream.read(size + (start > 0)), True
             while data and more and not data.endswith(b"\n"):
@@ -122,7 +127,7 @@ def _lines_of(files: DataFrame, on_error: str) -> DataFrame:
             data = data[data.find(b"\n") + 1 :] if b"\n" in data else b""
         text = data.decode("utf-8-sig" if not start else "utf-8", "replace")
         found = [x for x in re.split("\r\n|\n|\r", text) if x.strip()]
-        return found if start else found[1:]
+        return found[1:] if start <= header < start + size else found
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -195,3 +195,45 @@ def test_backfill_empties_a_day_whose_file_has_no_rows(spark, tmp_path):
     status = pos_ingest.backfill(spark, str(drop), target, asked, COLUMNS, NUMERIC, "total_qty_sales").collect()
     assert [r.status for r in status] == ["Verification failed"]
     assert [str(r.location) for r in versions.read(spark, target).collect()] == ["1217"]
+
+
+def test_a_hundred_thousand_small_files(spark, tmp_path):
+    """All are listed, two versions of each name stand against each other, and no path or row passes the driver on the way."""
+    (tmp_path / "one").write_text("PLU Number,Total Qty-Sales,Total Sales\n1,2,3\n")
+    (tmp_path / "two").write_text("PLU Number,Total Qty-Sales,Total Sales\n1,5,3\n")
+    os.utime(tmp_path / "one", (1_600_000_000, 1_600_000_000))
+    for k in range(100):
+        for version in ("one", "two"):
+            folder = tmp_path / "drop" / version / f"SRP_2024{k % 12 + 1:02d}" / f"part{k}"
+            folder.mkdir(parents=True)
+            for n in range(500):
+                os.link(tmp_path / version, folder / f"SRP_{k * 500 + n}_20240801.csv")
+    files = pos_files.drop_files(spark, str(tmp_path / "drop"))
+    assert files.count() == 100_000
+    latest = pos_files.latest_files(files)
+    assert latest.count() == 50_000 and latest.filter("file_path LIKE '%/one/%'").isEmpty()
+    few = latest.filter("name LIKE 'SRP_1234%'")
+    rows = pos_files.read_csv_tree(spark, str(tmp_path / "drop"), COLUMNS, NUMERIC, files=few)
+    assert rows.agg({"total_qty_sales": "sum"}).first()[0] == 5 * few.count()
+
+
+def test_path_tables_read_what_the_reader_reads(spark, tmp_path, monkeypatch):
+    """In ranges of a few bytes, with quotes, blank lines, a byte order mark, foreign line ends and files without rows."""
+    texts = [LINES, "﻿" + LINES, "\n \n" + LINES.replace("\n", "\r\n"), '"PLU, Number",Descriptor,Qty\n', "", '"PLU, Number",Descriptor,Qty\n9,last,"1,000"', LINES + "é,ü,4\n" * 50]
+    for k, text in enumerate(texts):
+        path = tmp_path / f"SRP_{k}_20240801.csv"
+        path.write_bytes(text.encode())
+    read = lambda files: sorted((tuple(r) for r in pos_files.read_csv_tree(
+        spark, str(tmp_path), ["plu,_number", "descriptor", "qty"], ["qty"], files=files).drop("_modified").collect()), key=repr)
+    want = read(None)
+    for size in (1, 7, 64, 1 << 20):
+        monkeypatch.setattr(pos_files, "RANGE_BYTES", size)
+        assert read(pos_files.drop_files(spark, str(tmp_path))) == want
+
+    class Closed:
+        @staticmethod
+        def from_uri(uri):
+            raise OSError(uri)
+
+    monkeypatch.setattr(pos_files, "FileSystem", Closed)
+    assert read(pos_files.drop_files(spark, str(tmp_path)).filter("file_path LIKE '%SRP_6%'")) == [r for r in want if "SRP_6" in str(r)]
