@@ -85,3 +85,46 @@ def test_more_than_64_languages(docs):
     rows = [(k * 10 + j, " ".join(w * 3), lang) for k, (lang, w) in enumerate(lang_words.items()) for j in range(2)]
     found = langid.predict(docs(rows), langid.fit(docs(rows)), carry=("doc_id", "lang")).collect()
     assert all(r.lang_pred == r.lang for r in found) and len(found) == 140
+
+
+def test_masks_correction_and_winner_against_plain_sets(docs, spark):
+    """The filters' corrected shares are those of exact sets of n-grams, and so is the winner, smaller names first in ties."""
+    import random
+    from collections import Counter, defaultdict
+
+    import numpy as np
+
+    from shelfledger.llm.words import text_bytes
+
+    rng = random.Random(6)
+    stems = {"aa": "kalo miru sete", "bb": "kalo brun tepp", "cc": "zwei drei vier", "dd": "zwei drei vier"}
+    text = lambda lang: " ".join(rng.choice(stems[lang].split()) + rng.choice(["", "na", "st", "ed"]) for _ in range(30))
+    rows = [(i, text(lang), lang) for i, lang in enumerate(sorted(stems) * 40)]
+    model = langid.fit(docs(rows))
+    assert model.languages == sorted(stems)
+
+    def grams(t):
+        import pyarrow as pa
+
+        return [int(g) for part, _ in langid.ngrams(*text_bytes(pa.array([t]))) for g in part]
+
+    counts = defaultdict(Counter)
+    for _, t, lang in rows:
+        counts[lang].update(grams(t))
+    total = {lang: sum(c.values()) for lang, c in counts.items()}
+    rate = {lang: {g: n / total[lang] for g, n in c.items() if n >= langid.LEAST_COUNT} for lang, c in counts.items()}
+    top = Counter()
+    for c in rate.values():
+        for g, r in c.items():
+            top[g] = max(top[g], r)
+    held = {lang: {g for g, r in c.items() if r >= langid.LEAST_SHARE * top[g]} for lang, c in rate.items()}
+
+    tests = [(1000 + i, text(lang), None) for i, lang in enumerate(sorted(stems) * 10)] + [(2000, "kalo zwei", None), (2001, "Kalo", None)]
+    found = {r.doc_id: r for r in langid.predict(docs(tests), model).collect()}
+    for i, t, _ in tests:
+        own = grams(t)
+        exact = [sum(g in held[lang] for g in own) / len(own) for lang in sorted(stems)]
+        assert abs(found[i].score - max(exact)) < 0.02
+        best = [lang for lang, x in zip(sorted(stems), exact) if x > max(exact) - 0.02]
+        assert found[i].lang_pred in best
+    assert np.all(model.chance < 0.02) and found[2001].lang_pred == "aa"

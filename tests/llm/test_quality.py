@@ -63,3 +63,59 @@ def test_flat_trees_equal_walking_them():
             total += value[node - len(feature)]
         assert np.isclose(trees.score(row[None])[0], 1 / (1 + np.exp(-total)))
     assert trees.score(np.zeros((0, 3), np.float32)).size == 0
+
+
+def plain_statistics(text):
+    """The statistics of one text, by loops over its bytes, words and lines."""
+    import re
+    from collections import Counter
+    from math import log1p
+
+    b = text.encode()
+    gaps = {9, 11, 12, 13, 32}
+
+    def kind(x):
+        if x == 10:
+            return "break"
+        if x in gaps:
+            return "gap"
+        if 97 <= x < 123:
+            return "letter"
+        if 65 <= x < 91:
+            return "upper"
+        if 48 <= x < 58:
+            return "digit"
+        if x in b"!',-.:;?":
+            return "stop"
+        return "symbol" if x < 9 or 33 <= x < 127 else "foreign"
+
+    per = Counter(map(kind, b))
+    words = re.findall(rb"[^\x20\x09-\x0D]+", b)
+    low = [w.lower() for w in words]  # bytes.lower() changes A-Z only
+    lines = [tuple(sorted(re.findall(rb"[^\x20\x09-\x0D]+", x.lower()))) for x in b.split(b"\n")]
+    lines = [x for x in lines if x]
+    size, w, ln = max(len(b), 1), max(len(words), 1), max(len(lines), 1)
+    of = lambda x: [kind(c) for c in x]
+    plain = lambda x: [k for k in of(x) if k in ("letter", "upper", "digit")]
+    shouted = sum(len(plain(x)) >= 2 and set(plain(x)) == {"upper"} for x in words)
+    bare = sum(not plain(x) and "foreign" not in of(x) for x in words)
+    return [
+        log1p(len(b)), log1p(len(words)), len(b) / w, *[per[k] / size for k in ("letter", "upper", "digit", "stop", "symbol", "foreign", "break")],
+        len(set(low)) / w, max(Counter(low).values(), default=0) / w, sum(x == y for x, y in zip(low, low[1:])) / w,
+        sum(of(x)[0] == "upper" for x in words) / w, shouted / w, sum(of(x)[-1] == "symbol" for x in words) / w, bare / w,
+        log1p(len(lines)), len(b) / ln, (len(lines) - len(set(lines))) / ln, len(set(zip(low, low[1:]))) / max(len(words) - 1, 1),
+        log1p(max(map(len, words), default=0)),
+    ]
+
+
+def test_statistics_against_a_plain_version():
+    import random
+
+    import numpy as np
+
+    rng = random.Random(1)
+    parts = ["word", "Word", "WORD", "A1", "12", "...", "%%", "é", "Ü!", "don't", "\n", "\n", " ", "  ", "\t", "x#", "\x02", "中文", "same", "same"]
+    texts = ["", " ", "\n", "a"] + ["".join(rng.choice(parts) + rng.choice([" ", " ", ""]) for _ in range(rng.randrange(60))) for _ in range(300)]
+    raw = [t.encode() for t in texts]
+    got = quality.statistics(np.concatenate([[0], np.cumsum([len(x) for x in raw])]), np.frombuffer(b"".join(raw), np.uint8))
+    assert np.allclose(got, np.array([plain_statistics(t) for t in texts]), rtol=1e-5, atol=1e-6)
