@@ -127,9 +127,9 @@ def _stored(t, path: str) -> DataFrame:
 def snk_replace_by_location(t):
     """A wrong load of everything, then the right one over it."""
     path, totals = scratch_path(t.spark, "by-location"), _file_totals(t)
-    export.replace_partitions(totals.withColumn("total_sales", -F.col("total_sales")), path, ["location"])
-    export.replace_partitions(totals, path, ["location"])
-    return _stored(t, path)
+    versions.reload(totals.withColumn("total_sales", -F.col("total_sales")), path, ["location"])
+    versions.reload(totals, path, ["location"])
+    return versions.read(t.spark, path)
 
 
 @query
