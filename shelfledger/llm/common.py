@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
 import shutil
 import tempfile
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable, Iterator
+from functools import wraps
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,6 +39,24 @@ def ship_code(spark: SparkSession) -> None:
         _shipped.add(app)
 
 
+Batches = Iterator[pa.RecordBatch]
+
+
+def released(run: Callable[[Batches], Batches]) -> Callable[[Batches], Batches]:
+    """A task function that gives freed memory back at its end: workers live on between tasks and stages."""
+
+    @wraps(run)
+    def task(batches: Batches) -> Batches:
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        try:
+            ctypes.CDLL("libc.so.6").malloc_trim(0)
+        except (OSError, AttributeError):
+            pass  # another C library
+
+    return task
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """The rows of ``df`` written to the shared scratch folder and read back.
 

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfledger.llm.chars import code_points, tables
-from shelfledger.llm.common import small, stored
+from shelfledger.llm.common import released, small, stored
 from shelfledger.llm.words import PIECE, mix, slices, span_hashes, text_bytes
 
 WINDOW = 8
@@ -173,6 +173,7 @@ def _fixed(rows: np.ndarray) -> pa.Array:
 ITEM_WINDOWS = "h bigint, width int, item bigint, item_id bigint, place int, words binary, kinds binary, item_words int, family bigint"
 
 
+@released
 def _item_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The windows of benchmark items with their words; of windows that an item repeats, the first."""
     names = [c.split()[0] for c in ITEM_WINDOWS.split(", ")]
@@ -203,6 +204,7 @@ def _item_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 def _doc_windows(shared, widths: list[int]):
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.frombuffer(shared.value, np.uint8)
         mask = np.uint64(len(bits) * 8 - 1)
@@ -268,6 +270,7 @@ def longest_run(words: set[int]) -> int:
     return int(np.diff(ends, prepend=-1).max()) if len(at) else 0
 
 
+@released
 def _judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The documents and items whose consistent windows suffice; a row has all windows of a document and an item."""
     names = ["id", "item_id", "covered_words", "item_words", "reparameterised"]

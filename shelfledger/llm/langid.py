@@ -22,14 +22,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfledger.llm.chars import code_points, tables
-from shelfledger.llm.common import stored
+from shelfledger.llm.common import released, stored
 from shelfledger.llm.words import mix, slices, text_bytes
 
 PROBES, SHIFT = 3, 21
 SAMPLE_PER_LANGUAGE = 4000  # labelled rows the filters are fitted on, about, chosen by hash of the id
 LEAST_COUNT, LEAST_SHARE = 3, 0.25
 MIN_SLOTS, MAX_SLOTS = 1 << 16, 1 << 21  # of 8 bytes per 64 languages: 16 MB at most
-PIECE = 1 << 20
+PIECE = 1 << 18
 UNKNOWN = "und"
 
 
@@ -65,6 +65,7 @@ def ngrams(offsets: np.ndarray, data: np.ndarray) -> Iterator[tuple[np.ndarray,
         yield mix(base[four] + c[3][four] * np.uint64(0x27D4EB2F165667C5) + np.uint64(1)), first[four]
 
 
+@released
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         offsets, data = text_bytes(batch.column(1))
@@ -152,6 +153,7 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text", carry: tuple[
     while own in {c.lower() for c in carry}:
         own += "_"
 
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         names = np.array([*m.languages, UNKNOWN], dtype=object)

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfledger.llm.common import small, stored
+from shelfledger.llm.common import released, small, stored
 from shelfledger.llm.components import components
 from shelfledger.llm.words import mix, row_sets
 
@@ -79,6 +79,7 @@ def minima(sets: np.ndarray, sizes: np.ndarray, s: Settings) -> np.ndarray:
 def _features(s: Settings):
     schema = "id bigint, n_shingles bigint, set_key binary, signature binary, bands array<bigint>"
 
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         salt = mix(np.arange(1, s.bands + 1, dtype=np.uint64))
         for batch in batches:
@@ -112,6 +113,7 @@ def _features(s: Settings):
 
 
 def _sets(s: Settings):
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i, j, sets, sizes in row_sets(batch.column(1), s.words):
@@ -129,6 +131,7 @@ def _sets(s: Settings):
 
 
 def _alike(s: Settings):
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
@@ -240,6 +243,7 @@ def _alike_in_tiles(s: Settings):
         ids, n, component, usual = (members.field(k).to_numpy() for k in range(4))
         return ids, n, component, usual, np.frombuffer(b"".join(members.field(4).to_pylist()), np.uint16).reshape(len(ids), -1)
 
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         least = int(np.ceil(s.least_estimate * s.hashes))
         for batch in batches:

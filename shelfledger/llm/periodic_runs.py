@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfledger.llm.common import stored, without
+from shelfledger.llm.common import released, stored, without
 from shelfledger.llm.damage import GAPS, split_words
 from shelfledger.llm.words import PIECE, mix, slices, text_bytes, words
 
@@ -169,6 +169,7 @@ def _fragments(k1: np.ndarray, k2: np.ndarray, base: np.ndarray, found: tuple[np
     return pa.RecordBatch.from_arrays([*cells, own], ["k1", "k2", "period", "start", "stop", "text"])
 
 
+@released
 def _whole_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         k1, k2 = batch.column(0).to_numpy(), batch.column(1).to_numpy()
@@ -180,6 +181,7 @@ def _whole_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _exploded(tile: int):
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds = (*[pa.int64()] * 3, *[pa.int32()] * 2, pa.binary())
         for batch in batches:
@@ -195,6 +197,7 @@ def _exploded(tile: int):
     return run
 
 
+@released
 def _tiles_solved(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         k1, k2, base, low, high = (batch.column(c).to_numpy().astype(np.int64) for c in range(5))
@@ -242,6 +245,7 @@ def runs(texts: DataFrame, tile: int = TILE) -> DataFrame:
     return stitched(near.union(dealt.mapInArrow(_tiles_solved, FRAGMENTS)))
 
 
+@released
 def _without_repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         kept = []

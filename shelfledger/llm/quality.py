@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfledger.llm.common import stored
+from shelfledger.llm.common import released, stored
 from shelfledger.llm.words import _GAP, PIECE, slices, text_bytes, words
 
 TRAIN_ROWS = 40_000  # labelled rows the trees are grown on, about, chosen by hash of the id
@@ -92,6 +92,7 @@ def statistics(offsets: np.ndarray, data: np.ndarray) -> np.ndarray:
     ]).astype(np.float32)
 
 
+@released
 def _statistics(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         offsets, data = text_bytes(batch.column(batch.num_columns - 1))
@@ -182,6 +183,7 @@ def scored(docs: DataFrame, labels: DataFrame, learn_from, id_col: str = "doc_id
     x = np.array(sample["statistics"].tolist(), np.float32).reshape(-1, len(NAMES))
     shared = docs.sparkSession.sparkContext.broadcast(grow(x, sample["label"].to_numpy(np.float64)))
 
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = np.asarray(batch.column(1).flatten(), np.float32).reshape(-1, len(NAMES))

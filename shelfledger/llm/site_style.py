@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfledger.llm.common import small, stored
+from shelfledger.llm.common import released, small, stored
 
 LEAST_PAGES = 4
 LEAST_IMPORTANCE = 0.3
@@ -280,6 +280,7 @@ def _article(found: list[Block]) -> tuple[list[Block], bool]:
 NODES = "host string, whole bigint, path bigint, content bigint, layout bigint, blocks bigint, linked boolean"
 
 
+@released
 def _nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The nodes of each page; ``whole`` is the text of its article, or else of all of it."""
     for batch in batches:
@@ -379,6 +380,7 @@ def removed_chars(page: str | None, low: frozenset[int], same: frozenset[int] =
 
 def _judge(held, run, names: list[str], kinds: list):
     """``run`` of each page with its host's branches, which are broadcast or else stand beside it."""
+    @released
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict = {}
         for batch in batches:

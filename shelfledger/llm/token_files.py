@@ -27,12 +27,14 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from shelfledger.llm.common import released
 from shelfledger.llm.words import mix, slices, span_hashes, text_bytes
 
 CHUNK_IDS = 1 << 16
 END_ID = 2
 LEVEL = 3
-BATCH_BYTES = 1 << 20
+BATCH_BYTES = 1 << 18
+TOGETHER_BYTES = 1 << 16  # of new words that are encoded as one text
 KNOWN_WORDS = 1_000_000  # distinct words an encoder remembers, in about 50 MB, before it starts anew
 SCHEMA = """shard int, chunk int, first bigint, n bigint, doc_ids array<bigint>, doc_first array<bigint>,
     doc_tokens array<bigint>, check bigint, planes array<binary>"""
@@ -115,10 +117,15 @@ class Encoder:
 
     def _learn(self, hashes: np.ndarray, pieces: list[bytes]) -> None:
         led = np.array([len(p) > 1 and p[0] == 32 and not _MAY_BE_GAP[p[1]] for p in pieces])
-        found = self._together([p for p, x in zip(pieces, led) if x]) if led.any() else None
-        if found:
-            self._keep(hashes[led], *found)
-            hashes, pieces = hashes[~led], [p for p, x in zip(pieces, led) if not x]
+        of = np.flatnonzero(led)
+        size = np.cumsum([len(pieces[k]) for k in of]) // TOGETHER_BYTES
+        for own in np.split(of, np.flatnonzero(np.diff(size)) + 1):
+            found = self._together([pieces[k] for k in own]) if len(own) else None
+            if found:
+                self._keep(hashes[own], *found)
+            else:
+                led[own] = False
+        hashes, pieces = hashes[~led], [p for p, x in zip(pieces, led) if not x]
         if pieces:
             ids = [f.ids for f in self.tokenizer.encode_batch_fast([p.decode() for p in pieces], add_special_tokens=False)]
             self._keep(hashes, np.fromiter((i for x in ids for i in x), np.uint32), np.cumsum([len(x) for x in ids]))
@@ -156,6 +163,7 @@ def _encoder(path: str) -> Encoder:
 
 
 def _chunks(tokenizer: str, size: int):
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(tokenizer)
         docs: list[tuple] = []  # of those with ids not yet put out: id, first, number
@@ -224,6 +232,7 @@ def index(spark: SparkSession, path: str) -> DataFrame:
     return chunks.join(shards.select("shard", before.alias("shard_start")), "shard")
 
 
+@released
 def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A row per document and chunk: whole documents with their crc32, others with this chunk's ids."""
     for batch in batches:

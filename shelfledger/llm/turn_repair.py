@@ -33,6 +33,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shelfledger.llm.common import released
+
 KEEP, DELETE, REROLE, INSERT, TRUNCATED = 0, 4, 3, 3, 3
 WHITE = " \t\n\x0b\x0c\r"
 FOLLOWS = {(0, "s"): 1, (0, "u"): 2, (1, "u"): 2, (2, "a"): 3, (3, "u"): 2}
@@ -168,6 +170,7 @@ def steps(audit: str, roles: str) -> list[dict]:
     return out
 
 
+@released
 def _repairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     kind = pa.list_(pa.struct([("edit", pa.string()), ("source", pa.int32()), ("role", pa.string())]))
     for batch in batches:

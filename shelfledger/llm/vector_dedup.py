@@ -27,13 +27,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfledger.llm.common import stored
+from shelfledger.llm.common import released, stored
 from shelfledger.llm.components import components
 
 COSINE = 0.98
-TILE = 1024
+TILE = 1024  # points of a tile, or fewer, so that it has about NUMBERS components at most
+NUMBERS = 1 << 20
 STRIPS = 32
-SAMPLE = 4096
+SAMPLE = 4096  # points, or fewer, of NUMBERS components at most
 ROUNDING = 1e-9  # far above what double and single precision lose in the bounds
 _WIDTH = 1024  # whole products of so many codes are exact in single precision
 _PAIRS = 1 << 15
@@ -95,6 +96,7 @@ def forest(n: int, left: np.ndarray, right: np.ndarray) -> np.ndarray:
 
 
 def _placed(direction: np.ndarray):
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             lists = batch.column(batch.schema.get_field_index("vector"))
@@ -118,6 +120,7 @@ def _tile(column: pa.Array, row: int) -> list[np.ndarray]:
 
 
 def _compared(cosine: float):
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(batch.num_rows):
@@ -144,9 +147,10 @@ def _compared(cosine: float):
 
 def _direction(points: DataFrame) -> np.ndarray:
     """The first principal direction of at most ``SAMPLE`` points that are as long as most of them."""
-    some = [np.array(r[0], float) for r in points.select("vector").limit(SAMPLE).collect()]
-    if not some:
+    longest = points.agg(F.max("size")).first()[0]
+    if longest is None:
         return np.ones(1)
+    some = [np.array(r[0], float) for r in points.select("vector").limit(max(16, min(SAMPLE, NUMBERS // longest))).collect()]
     sizes = np.bincount([len(v) for v in some])
     rows = unit(np.stack([v for v in some if len(v) == sizes.argmax()]))
     return np.linalg.svd(rows - rows.mean(axis=0), full_matrices=False)[2][0] if len(rows) > 1 else rows[0]
@@ -155,14 +159,15 @@ def _direction(points: DataFrame) -> np.ndarray:
 def _tiles(points: DataFrame, tile: int) -> DataFrame:
     """Points (point, id, weight, label, size, vector, at) by tile: (label, size, strip, part, points), and of each strip its
     number of parts and the ends of its projections."""
+    held = F.greatest(F.lit(16), F.least(F.lit(tile), F.floor(F.lit(NUMBERS) / F.col("size"))))
     kinds = points.groupBy("label", "size").agg(
-        F.least(F.ceil(F.count("*") / tile), F.lit(STRIPS)).cast("int").alias("strips"),
+        F.least(F.ceil(F.count("*") / held), F.lit(STRIPS)).cast("int").alias("strips"),
         F.percentile_approx("at", [k / STRIPS for k in range(1, STRIPS)], 1000).alias("cuts"),
     )
     strip = (F.size(F.filter("cuts", lambda c: c < F.col("at"))) * F.col("strips") / STRIPS).cast("int")
     placed = points.join(kinds, ["label", "size"]).withColumn("strip", strip)
     ends = placed.groupBy("label", "size", "strip").agg(
-        F.min("at").alias("low"), F.max("at").alias("high"), F.ceil(F.count("*") / tile).cast("int").alias("parts")
+        F.min("at").alias("low"), F.max("at").alias("high"), F.ceil(F.count("*") / held).cast("int").alias("parts")
     )
     placed = placed.join(ends, ["label", "size", "strip"]).withColumn("part", F.pmod(F.xxhash64("point"), F.col("parts")).cast("int"))
     return stored(placed.groupBy("label", "size", "strip", "part").agg(
