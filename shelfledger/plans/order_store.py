@@ -2,8 +2,8 @@
 
 Order lines, receipts and allocations are written once, each in the same number of buckets by the number of
 their order. Reports over them join bucket by bucket: no row is shuffled by order number again, however often
-they run. The session must let rows that are dealt by one join key meet on more
-(``spark.sql.requireAllClusterKeysForCoPartition=false``, set by ``build_session``).
+they run. Rows that are dealt by one join key may meet on more: storing and reporting set
+``spark.sql.requireAllClusterKeysForCoPartition=false``. Receipts without an order number meet none and are not stored.
 """
 
 from __future__ import annotations
@@ -25,12 +25,12 @@ def store(tables: Mapping[str, DataFrame], name: str, buckets: int, path: str |
     bucket should be about as large as a shuffle partition; an order is never split, so a
     hot order number makes one large bucket. ``path``: the folder for the files, by default the warehouse.
     """
-    made = documents(tables)
+    made = documents(tables, buckets)
     spark = made.orders.sparkSession
     for kind, number in ORDER_NUMBER.items():
         rows = getattr(made, kind)
-        # dealt by order number first, so that a task writes whole buckets and not a piece of each
-        writer = rows.repartition(buckets, number).write.mode("overwrite").bucketBy(buckets, number).sortBy(number)
+        # joined in the partitioning of the buckets, so that a task writes its whole bucket and not a piece of each
+        writer = rows.write.mode("overwrite").bucketBy(buckets, number).sortBy(number)
         (writer.option("path", f"{path}/{kind}") if path else writer).saveAsTable(f"{name}_{kind}")
     return read(spark, name)
 
