@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfledger.functions import calendar, classify
-from shelfledger.operators.lookups import header_lines
+from shelfledger.operators.lookups import header_lines, of_known_size
 
 
 def adjustments(tables: Mapping[str, DataFrame]) -> DataFrame:
@@ -22,7 +22,9 @@ def adjustments(tables: Mapping[str, DataFrame]) -> DataFrame:
     levels = tables["hierarchy"].select(
         F.col("category").alias("h_category"), "group_desc", "deptdesc", "subdeptdesc", "categorydesc"
     )
-    known = lines.join(levels, lines["category"] == levels["h_category"], "inner")
+    # the labels come last: what is shuffled by document is without them
+    joined = header_lines(header, lines, ("RefNo", "line_refno"))
+    joined = joined.join(of_known_size(levels), joined["category"] == F.col("h_category"), "inner")
     kind = F.col("adjtype")
     labels = {
         **calendar.sales_calendar(F.col("docdate")),
@@ -42,5 +44,4 @@ def adjustments(tables: Mapping[str, DataFrame]) -> DataFrame:
         "UnitPrice": classify.signed(kind, F.col("unitprice")),
         "TotalPrice": classify.signed(kind, F.col("totalprice")),
     }
-    joined = header_lines(header, known, ("RefNo", "line_refno"))
     return joined.select(*[c.alias(name) for name, c in labels.items()])
