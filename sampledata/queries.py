@@ -375,7 +375,8 @@ def agg_receipt_grains(t):
     lines = t.pos_panda.select("bizdate", "location", "dept", "refno", "amount")
     numbers = receipts.receipt_numbers(lines, "refno", ["bizdate", "location"])
     keys = ["bizdate", "location", "dept"]
-    fine = receipts.receipt_bitmaps(lines.join(numbers, "refno", "left"), keys).withColumn("month", F.trunc("bizdate", "MONTH"))
+    fine = receipts.kept(receipts.receipt_bitmaps(lines.join(numbers, "refno", "left"), keys))
+    fine = fine.withColumn("month", F.trunc("bizdate", "MONTH"))
     sums = lines.groupBy(*keys).agg(F.sum("amount").alias("amount")).withColumn("month", F.trunc("bizdate", "MONTH"))
 
     def grain(*by: str) -> DataFrame:

@@ -46,6 +46,13 @@ def receipt_bitmaps(lines: DataFrame, keys: Sequence[str], number: str = NUMBER)
     )
 
 
+def kept(bitmaps: DataFrame) -> DataFrame:
+    """The bitmaps stored in the scratch folder, so that several grains do not build them again each."""
+    path = scratch_path(bitmaps.sparkSession, "bitmaps")
+    bitmaps.write.option("compression", "zstd").parquet(path)
+    return bitmaps.sparkSession.read.schema(bitmaps.schema).parquet(path)
+
+
 def rolled_up(bitmaps: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Bitmaps of a coarser grain: ``keys`` are columns of ``bitmaps`` that its own keys determine, or a part of these."""
     return bitmaps.groupBy(*keys, BUCKET).agg(F.bitmap_or_agg(BITS).alias(BITS))
