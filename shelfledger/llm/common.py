@@ -10,7 +10,7 @@ from functools import wraps
 from pathlib import Path
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from shelfledger.session import scratch_path
@@ -57,17 +57,32 @@ def released(run: Callable[[Batches], Batches]) -> Callable[[Batches], Batches]:
     return task
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
+def tasks_for(spark: SparkSession, rows: int, each: int) -> int:
+    """Tasks that write a table of so many rows: ``each`` rows for one at most, and as many as the session has cores at least."""
+    return max(spark.sparkContext.defaultParallelism, -(-rows // each))
+
+
+def stored(df: DataFrame, label: str, tasks: int | None = None) -> DataFrame:
     """The rows of ``df`` written to the shared scratch folder and read back.
 
-    Cuts the lineage: a lost executor costs its own tasks, not the plan before the table.
+    Cuts the lineage: a lost executor costs its own tasks, not the plan before the table. ``tasks``: files at most,
+    so that small tables don't come in a file for each shuffle partition where a session does not join partitions.
     """
+    df = df.coalesce(tasks) if tasks else df
     spark = df.sparkSession
     path = scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def counted(df: DataFrame, label: str, tasks: int | None = None) -> tuple[DataFrame, int]:
+    """``stored``, and the number of rows, taken as they are written."""
+    seen = Observation()
+    df = df.coalesce(tasks) if tasks else df
+    table = stored(df.observe(seen, F.count(F.lit(1)).alias("rows")), label)
+    return table, seen.get["rows"]
+
+
 def small(df: DataFrame, rows: int, limit: int = BROADCAST_ROWS) -> DataFrame:
     """``df``, marked for broadcast when its counted rows are within the limit."""
     return F.broadcast(df) if rows <= limit else df

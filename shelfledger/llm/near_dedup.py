@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfledger.llm.common import released, small, stored
+from shelfledger.llm.common import counted, released, small, stored, tasks_for
 from shelfledger.llm.components import components
 from shelfledger.llm.words import mix, row_sets
 
@@ -33,6 +33,7 @@ from shelfledger.llm.words import mix, row_sets
 
 RARE = 16  # documents with a shingle, at most, for it to be rare
 TILE = 1024  # members of a bucket that meet others in one task
+ROWS = 8192  # documents whose signatures, members or pairs one task writes
 
 
 @dataclass(frozen=True)
@@ -144,7 +145,7 @@ def _alike(s: Settings):
     return run, "a bigint, b bigint"
 
 
-def _linked(reps: DataFrame, sets: DataFrame, pairs: DataFrame, s: Settings) -> DataFrame:
+def _linked(reps: DataFrame, sets: DataFrame, pairs: DataFrame, s: Settings, tasks: int) -> DataFrame:
     """Those pairs (a, b) whose signatures and then whole sets are alike."""
     sig = reps.select("id", "n", "signature")
     both = (
@@ -153,7 +154,7 @@ def _linked(reps: DataFrame, sets: DataFrame, pairs: DataFrame, s: Settings) ->
         .filter(100 * F.least("na", "nb") >= s.percent * F.greatest("na", "nb"))
         .select("a", "b", "sa", "sb")
     )
-    likely = stored(both.mapInArrow(*_alike(s)), "likely")
+    likely = stored(both.coalesce(tasks).mapInArrow(*_alike(s)), "likely")
     common = F.size(F.array_intersect("xa", "xb"))
     return (
         likely.join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("xb")), "b")
@@ -163,7 +164,7 @@ def _linked(reps: DataFrame, sets: DataFrame, pairs: DataFrame, s: Settings) ->
     )
 
 
-def _open_pairs(buckets: DataFrame, found: DataFrame, reps: DataFrame, sets: DataFrame, s: Settings) -> DataFrame:
+def _open_pairs(buckets: DataFrame, found: DataFrame, reps: DataFrame, sets: DataFrame, s: Settings, tasks: int) -> DataFrame:
     """Pairs (a, b) in different components that share a bucket and can be alike.
 
     A shingle that at most RARE open documents have is rare. Two documents have in common at most their
@@ -178,19 +179,21 @@ def _open_pairs(buckets: DataFrame, found: DataFrame, reps: DataFrame, sets: Dat
     mixed = known.groupBy("bucket").agg(
         F.min("component").alias("x"), F.max("component").alias("y"), F.min("n").alias("least")
     ).filter("x < y").select("bucket", "least")
-    rows = stored(known.join(mixed, "bucket"), "open")
-    ids = stored(rows.groupBy("id").agg(F.first("n").alias("n"), F.first("component").alias("component")), "ids")
-    spread = sets.join(small(ids, ids.count()), "id").select("id", "n", "component", F.explode("shingles").alias("shingle"))
-    scarce = stored(spread.groupBy("shingle").agg(F.count("*").alias("k")).filter(F.col("k") <= RARE), "scarce")
-    rare = stored(spread.join(scarce, "shingle"), "rare")
-    usual = stored(
-        rare.groupBy("id").agg(F.count("*").alias("rare")).join(ids, "id", "right")
+    rows, n = counted(known.join(mixed, "bucket"), "open", tasks)
+    if not n:
+        return rows.select(F.col("id").alias("a"), F.col("id").alias("b"))
+    ids, n = counted(rows.groupBy("id").agg(F.first("n").alias("n"), F.first("component").alias("component")), "ids", tasks)
+    spread = sets.join(small(ids, n), "id").select("id", "n", "component", F.explode("shingles").alias("shingle"))
+    scarce = stored(spread.groupBy("shingle").agg(F.count("*").alias("k")).filter(F.col("k") <= RARE), "scarce", tasks)
+    rare = stored(spread.join(scarce, "shingle"), "rare", tasks)
+    usual = small(stored(
+        rare.groupBy("id").agg(F.count("*").alias("rare")).join(small(ids, n), "id", "right")
         .select("id", (F.col("n") - F.coalesce("rare", F.lit(0))).alias("usual")),
-        "usual",
-    )
+        "usual", tasks,
+    ), n)
     at_most = 100 + s.percent
     rich = (100 * F.col("usual") < s.percent * F.col("n")) | (at_most * F.col("usual") < s.percent * (F.col("n") + F.col("least")))
-    rows = stored(rows.join(usual, "id").withColumn("rich", rich), "rows")
+    poor = stored(rows.join(usual, "id").filter(~rich), "poor", tasks)
 
     mine = rare.filter("k > 1")
     theirs = mine.select("shingle", F.col("id").alias("x"), F.col("n").alias("nx"), F.col("component").alias("cx"))
@@ -203,7 +206,7 @@ def _open_pairs(buckets: DataFrame, found: DataFrame, reps: DataFrame, sets: Dat
     both = F.col("n") + F.col("nx")
     by_rare = met.filter((at_most * share >= s.percent * both) & (at_most * F.least("usual", "ux") < s.percent * both))
 
-    few = rows.filter("not rich").select("bucket", "band", "id", "n", "component", "usual").join(reps.select("id", "signature"), "id")
+    few = poor.select("bucket", "band", "id", "n", "component", "usual").join(reps.select("id", "signature"), "id")
     by_bucket = _tile_pairs(few).mapInArrow(*_alike_in_tiles(s))
     pair = [F.least("x", "id").alias("a"), F.greatest("x", "id").alias("b")]
     return by_rare.select(*pair).union(by_bucket).distinct()
@@ -281,35 +284,35 @@ def classes(docs: DataFrame, settings: Settings = Settings(), id_col: str = "doc
     """
     s = settings
     docs = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text"))
-    every = stored(docs.mapInArrow(*_features(s)), "features")
+    every, n = counted(docs.mapInArrow(*_features(s)), "features")
+    tasks = tasks_for(docs.sparkSession, n, ROWS)
     reps = stored(
         every.filter("id is not null and n_shingles > 0").groupBy("set_key").agg(
             F.min("id").alias("id"), F.first("n_shingles").alias("n"),
             F.first("signature").alias("signature"), F.first("bands").alias("bands"),
         ),
-        "representatives",
+        "representatives", tasks,
     )
     members = reps.select("id", "n", F.posexplode("bands").alias("band", "bucket"))
     shared = (
         members.groupBy("bucket").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).filter("lo < hi")
     )
-    buckets = stored(members.join(shared, "bucket"), "buckets")
-    ids = stored(buckets.select("id").distinct(), "ids")
-    sets = stored(
-        docs.join(small(ids, ids.count()), "id", "left_semi").select("id", "text").mapInArrow(*_sets(s)), "sets"
-    )
+    buckets = stored(members.join(shared, "bucket"), "buckets", tasks)
+    ids, n = counted(buckets.select("id").distinct(), "ids", tasks)
+    sets = stored(docs.join(small(ids, n), "id", "left_semi").select("id", "text").mapInArrow(*_sets(s)), "sets")
     pairs = stored(
         buckets.select(F.explode(F.array(
             F.struct(F.col("lo").alias("a"), F.col("id").alias("b")), F.struct(F.col("id").alias("a"), F.col("hi").alias("b")),
         )).alias("p")).select("p.a", "p.b").filter("a < b").distinct(),
-        "pairs",
+        "pairs", tasks,
     )
-    links = stored(_linked(reps, sets, pairs, s), "links")
+    links = stored(_linked(reps, sets, pairs, s, tasks), "links", tasks)
     found = components(links)
-    more = stored(_open_pairs(buckets, found, reps, sets, s).join(pairs, ["a", "b"], "left_anti"), "pairs")
-    late = stored(_linked(reps, sets, more, s), "links")
-    if not late.isEmpty():
-        found = components(links.union(late))
+    more, n = counted(_open_pairs(buckets, found, reps, sets, s, tasks).join(pairs, ["a", "b"], "left_anti"), "pairs", tasks)
+    if n:
+        late, n = counted(_linked(reps, sets, more, s, tasks), "links", tasks)
+        if n:
+            found = components(found.select(F.col("node").alias("u"), F.col("component").alias("v")).union(late))
 
     named = reps.select("set_key", F.col("id").alias("node")).join(found, "node", "left").select(
         "set_key", F.coalesce("component", "node").alias("component_id")
@@ -324,7 +327,7 @@ def classes(docs: DataFrame, settings: Settings = Settings(), id_col: str = "doc
 
 def drop_near_copies(docs: DataFrame, settings: Settings, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay: one id of each class. Columns as they were."""
-    gone = stored(classes(docs, settings, id_col, text_col).filter("not kept").select(id_col).distinct(), "gone")
-    return docs.join(small(gone, gone.count()), id_col, "left_anti").select(*docs.columns)
+    gone, n = counted(classes(docs, settings, id_col, text_col).filter("not kept").select(id_col).distinct(), "gone")
+    return docs.join(small(gone, n), id_col, "left_anti").select(*docs.columns)
 
 

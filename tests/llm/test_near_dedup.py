@@ -1,5 +1,6 @@
 import random
 import re
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -89,6 +90,39 @@ def test_components_of_paths_stars_and_rings(spark):
     assert components(spark.createDataFrame([], "u long, v long")).collect() == []
 
 
+def test_components_of_stars_take_one_pass(spark):
+    """Few jobs: each leaves plans, code and threads in the driver."""
+    links = spark.createDataFrame([(100 * (j % 3), 100 * (j % 3) + j + 1) for j in range(60)] + [(0, 1), (1, 0)], "u long, v long")
+    spark.sparkContext.setJobGroup("stars", "components of stars")
+    try:
+        found = components(links)
+        jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup("stars"))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        spark.sparkContext.setLocalProperty("spark.job.description", None)
+    assert {(r.node, r.component) for r in found.collect()} == {(100 * (j % 3) + k, 100 * (j % 3)) for j in range(60) for k in (0, j + 1)}
+    assert jobs <= 4
+
+
+def test_small_tables_have_few_files(spark, docs):
+    """Not a file for each shuffle partition, each of which costs a task to write and others to read."""
+    scratch = Path(spark.conf.get("spark.checkpoint.dir"))
+    old = {p.name for p in scratch.iterdir()}
+    own = {"spark.sql.shuffle.partitions": "20", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in own}
+    rows = [(i, f"{text} end" * (i % 2)) for i, text in mosaics(4, 20)] + [(100 + i, text) for i, text in mosaics(4, 20)]
+    for k, v in own.items():
+        spark.conf.set(k, v)
+    try:
+        got = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in near_dedup.classes(docs(rows)).collect()}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    files = {p.name: len([*p.glob("part-*")]) for p in scratch.iterdir() if p.name not in old}
+    assert got == brute(rows, Settings())
+    assert len(files) > 8 and max(files.values()) <= 2 * spark.sparkContext.defaultParallelism  # a union has the files of both its sides
+
+
 def mosaics(seed, n, pool=40, parts=8, order=sorted):
     """Documents put together from passages of one pool: many share bands, few are alike."""
     rng = random.Random(seed)
