@@ -13,6 +13,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 
 from shelfledger.plans.supply_chain import Documents, documents
+from shelfledger.session import shuffles_freed
 
 #: Column of the order number in each stored table.
 ORDER_NUMBER = {"orders": "POM_RefNo", "receipts": "GRC_PORefNo", "allocations": "POCFT_RefNo"}
@@ -30,10 +31,12 @@ def store(tables: Mapping[str, DataFrame], name: str, buckets: int, path: str |
     for kind, number in ORDER_NUMBER.items():
         rows = getattr(made, kind)
         # joined in the partitioning of the buckets, so that a task writes its whole bucket and not a piece of each
-        writer = rows.write.mode("overwrite").bucketBy(buckets, number).sortBy(number)
-        (writer.option("path", f"{path}/{kind}") if path else writer).saveAsTable(f"{name}_{kind}")
+        writer = rows.write.mode("overwrite").option("compression", "zstd").bucketBy(buckets, number).sortBy(number)
+        with shuffles_freed(spark):
+            (writer.option("path", f"{path}/{kind}") if path else writer).saveAsTable(f"{name}_{kind}")
     return read(spark, name)
 
 
 def read(spark: SparkSession, name: str) -> Documents:
-    return Documents(*[spark.table(f"{name}_{kind}") for kind in ORDER_NUMBER])
+    told = spark.sql(f"DESCRIBE EXTENDED {name}_orders").filter("col_name = 'Num Buckets'").first()
+    return Documents(*[spark.table(f"{name}_{kind}") for kind in ORDER_NUMBER], buckets=int(told["data_type"]))
