@@ -31,7 +31,7 @@ def commercial(sales: DataFrame, division: str, horizon: str, as_of: date | str
 
 def division_sales(tables: Mapping[str, DataFrame], division: str, horizon: str, as_of: date | str | Column) -> DataFrame:
     """The same from the feeds, of which only the division's lines are summed and joined."""
-    return commercial(unified_sales(tables, division), division, horizon, as_of)
+    return commercial(unified_sales(tables, division, filtered=True), division, horizon, as_of)
 
 
 def create_views(
