@@ -1,14 +1,17 @@
 """What is shuffled: wide rows by one key only, whatever the session's settings."""
 
 import re
+import time
 from datetime import date
 
 import pytest
 from pyspark.sql import functions as F
 
-from sampledata.queries import all_queries
+from sampledata.queries import _ByName, all_queries
+from sampledata.tables import RetailTables
 from shelfledger.operators import lookups, receipts
-from shelfledger.plans import adjustments, supply_chain
+from shelfledger.plans import adjustments, order_store, sales, supply_chain
+from shelfledger.sources import versions
 
 DATA = "/root/testdata/sf0.001"
 COPARTITION, LIMIT = "spark.sql.requireAllClusterKeysForCoPartition", "spark.sql.autoBroadcastJoinThreshold"
@@ -87,3 +90,114 @@ def test_bitmaps_are_built_once(spark, rows):
     got = receipts.receipt_counts(fine, ["site"])
     assert "bitmap_construct_agg" not in got._jdf.queryExecution().executedPlan().toString()
     assert rows(got) == [("a", 2), ("b", 1)] and receipts.receipt_counts(fine, []).first()[0] == 2
+
+
+def exchanges(df):
+    """(keys, number of columns) of each shuffle of the plan."""
+    found = []
+
+    def walk(node):
+        if node.nodeName() == "Exchange":
+            keys = re.search(r"hashpartitioning\((.*), \d+\)", node.outputPartitioning().toString())
+            found.append((re.sub(r"#\d+", "", keys[1]) if keys else "", node.output().size()))
+        below = node.initialPlan() if node.nodeName() == "AdaptiveSparkPlan" else None
+        for child in [below] if below is not None else [node.children().apply(i) for i in range(node.children().size())]:
+            walk(child)
+
+    walk(df._jdf.queryExecution().executedPlan())
+    return found
+
+
+@pytest.fixture
+def retail(spark):
+    return _ByName(RetailTables(spark, DATA))
+
+
+def shuffle_files(spark):
+    files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {f for f in (files.apply(i).getName() for i in range(files.size())) if f.startswith("shuffle_")}
+
+
+def test_order_lines_do_not_go_to_their_items(strange, retail):
+    for report in (supply_chain.po_gr(retail, "1998-06-30"), supply_chain.po_gr_dc(retail)):
+        wide = [keys for keys, n in exchanges(report) if n > 12]
+        assert wide and not [k for k in wide if "tem" in k]
+
+
+def test_stored_orders_do_not_go_to_the_stock(strange, retail, tmp_path):
+    docs = order_store.store(retail, "apart", 8, str(tmp_path))
+    assert docs.buckets == 8
+    for report in (supply_chain.po_gr(retail, "1998-06-30", docs), supply_chain.po_gr_dc(retail, docs)):
+        found = exchanges(report)
+        assert found and not [x for x in found if x[1] > 4]
+
+
+def test_known_orders_are_the_lines_with_labels_and_averages(spark, rows):
+    def made(columns, values):
+        names = list(columns)
+        return spark.createDataFrame([tuple(v.get(c) for c in names) for v in values], ", ".join(f"{c} string" for c in names))
+
+    tables = {
+        "po_main": made(supply_chain.PO_HEADER, [
+            {"refno": "P1", "location": "B1"}, {"refno": "P1", "location": "B2"}, {"refno": "P2"}, {"refno": "P3", "location": "B9"}, {"location": "B1"}]),
+        "po_child": made(supply_chain.PO_LINE, [
+            {"refno": "P1", "itemcode": "i1"}, {"refno": "P1", "itemcode": "i1"}, {"refno": "P1", "itemcode": "i2"}, {"refno": "P1"},
+            {"refno": "P2", "itemcode": "i1"}, {"refno": "P3", "itemcode": "i9"}, {"itemcode": "i1"}]),
+        "item": made(["itemcode", "dept", "subdept", "category"], [
+            {"itemcode": i, "dept": "1", "subdept": "2", "category": "3"} for i in ("i1", "i2", "i2", None)]),
+        "hierarchy": made(["dept", "deptdesc", "subdept", "subdeptdesc", "category", "categorydesc"], [
+            {"dept": "1", "deptdesc": "D", "subdept": "2", "subdeptdesc": "S", "category": "3", "categorydesc": "C"}]),
+        "branch": made(["branch_code", "branch_name", "banner"], [{"branch_code": "B1", "branch_name": "One"}]),
+        "item_branch_stock": made(["itemcode", "branch", "ads"], [
+            {"itemcode": "i1", "branch": "B1", "ads": "5"}, {"itemcode": "i1", "branch": "B1", "ads": "6"}, {"itemcode": "i1", "ads": "7"}]),
+    }
+    got = supply_chain.known_orders(tables, averages=True).select("POM_RefNo", "POM_Location", "POC_Itemcode", "Dept", "POM_branch", "IM_BS_ads")
+    label = "1-D"
+    assert rows(got) == sorted([
+        *[("P1", "B1", "i1", label, "One", a) for a in ("5", "6")] * 2, *[("P1", "B2", "i1", label, None, None)] * 2,
+        *[("P1", "B1", "i2", label, "One", None)] * 2, *[("P1", "B2", "i2", label, None, None)] * 2,
+        ("P2", None, "i1", label, None, None)], key=repr)
+
+
+@pytest.mark.parametrize("filtered", [True, False])
+def test_rows_of_the_view_do_not_go_to_the_budgets(strange, retail, filtered):
+    """But for receipt lines without an item code, a part of their own that is empty in the sample."""
+    found = exchanges(sales.unified_sales(retail, filtered=filtered))
+    assert len([x for x in found if "subdept" in x[0] and "," in x[0] and x[1] > 6]) == 1
+
+
+def test_a_line_without_a_code_has_the_budget_of_its_sub_department(spark, retail):
+    """Budgets are not of items; those of two rows count twice, as before."""
+    day, texts = date(2024, 1, 5), ("site", "code", "dept", "subdept", "category", "description", "refno")
+    lines = spark.createDataFrame(
+        [(day, "1001", c, "10", s, "1001AA", "x", "r1", 2) for c, s in ((None, "1001"), (None, None), ("i1", "1001"), ("i1", "1002"), ("i1", "1009"))],
+        "day date, " + ", ".join(f"{c} string" for c in texts) + ", n int")
+    figures = ("qty", "sumgrosssales", "amount_after_tax", "sumdisc", "amount", "cost")
+    tables = {n: retail[n] for n in ("item", "hierarchy", "item_cost", "vendor", "branch")}
+    tables["pos_panda"] = lines.withColumnsRenamed({"day": "bizdate", "site": "location", "code": "itemcode"}).withColumns(
+        {**{c: F.col("n").cast("decimal(12,2)") for c in figures}, "consign": F.lit(0)}).drop("n")
+    tables["budget"] = spark.createDataFrame(
+        [("20240105", "1001", "1001", 7), ("20240105", "1001", "1002", 8), ("20240105", "1001", "1002", 8), ("20240105", "1002", "1009", 9)],
+        "date string, site string, category string, sales_budget int").withColumn("sales_budget", F.col("sales_budget").cast("decimal(18,4)"))
+    for ahead in (False, True):
+        view = sales.panda_sales(tables, sales.Lookups(tables, ahead))
+        got = [(r.Itemcode, int(r.Budget), int(r.Qty)) for r in view.collect()]
+        assert sorted(got, key=repr) == sorted([("i1", 7, 2), ("i1", 8, 4), ("i1", 0, 2), (None, 7, 2), (None, 0, 2)], key=repr)
+
+
+def test_writes_leave_no_shuffle_behind(strange, retail, tmp_path):
+    def left():
+        return {f for f in shuffle_files(strange) - before if f.endswith(".data")}
+
+    before = shuffle_files(strange)
+    order_store.store(retail, "freed", 4, str(tmp_path / "orders"))
+    rows = strange.range(100).select((F.col("id") % 3).alias("k"), "id")
+    versions.reload([rows.repartition("id"), rows.repartition("k")], str(tmp_path / "table"), ["k"])
+    kept = lookups.staged(rows.repartition("id"))
+    until = time.time() + 20  # they are removed in the background
+    while left() and time.time() < until:
+        time.sleep(0.2)
+    assert not left()
+    assert kept.count() == 100 and versions.read(strange, str(tmp_path / "table")).count() == 200
+    with pytest.raises(ValueError):
+        versions.reload([rows, rows.withColumn("id", F.lit("x"))], str(tmp_path / "table"), ["k"])
